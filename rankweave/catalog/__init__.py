@@ -1,0 +1,6 @@
+"""Registered queries, by area."""
+
+from rankweave.catalog import retrieval
+from rankweave.catalog.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "retrieval"]
