@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from rankweave.catalog.registry import register
 from rankweave.operators import sampling
-from rankweave.operators.ordering import positions
+from rankweave.operators.ordering import exact_median, positions
 from rankweave.plans.workbench import Workbench
+from rankweave.sources.tables import table
 
 SEED = 17
 PAIRS = 2000
@@ -214,9 +215,6 @@ def candidate_lists(w: Workbench):
            min(n_chars) AS chars_min, max(n_chars) AS chars_max
     FROM documents GROUP BY source, lang""")
 def group_summary(w: Workbench):
-    from rankweave.operators.ordering import exact_median
-    from rankweave.sources.tables import table
-
     docs = table(w.spark, w.folder, "documents").select("source", "lang", "n_chars")
     sums = docs.groupBy("source", "lang").agg(
         F.count(F.lit(1)).alias("docs"), F.avg("n_chars").alias("chars_mean"),

@@ -56,7 +56,7 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
     @keyword_only
     def __init__(self, *, inputCol="scaled", outputCol="projected", gamma=0.0, components=256, seed=7):
         super().__init__()
-        self._setDefault(gamma=0.0, components=256, seed=7)
+        self._setDefault(inputCol="scaled", outputCol="projected", gamma=0.0, components=256, seed=7)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
