@@ -9,6 +9,7 @@ from rankweave.catalog.registry import register
 from rankweave.catalog.training import _TRIPLE_COLUMNS, _TRIPLES, SEED
 from rankweave.operators import measures, sampling
 from rankweave.operators.index import append_documents, clear_index, read_index
+from rankweave.operators.search import judged_queries
 from rankweave.plans.workbench import DEPTH, Workbench
 from rankweave.session import new_path
 from rankweave.sources import tables, trec
@@ -37,11 +38,11 @@ def src_queries(w: Workbench):
 
 
 @register("split_union", "qid:s text:s", """
-    SELECT qid, text || ' (second)' AS text FROM queries WHERE length(text) % 2 = 0
-    UNION ALL SELECT qid, text FROM queries WHERE length(text) % 2 = 1""", "queries")
+    SELECT qid, CASE WHEN qid IN (SELECT qid FROM positives) THEN text || ' (second)' ELSE text END AS text
+    FROM queries""", "queries", "positives")
 def split_union(w: Workbench):
-    later = w.queries.filter(F.length("text") % 2 == 0).withColumn("text", F.concat("text", F.lit(" (second)")))
-    return trec.merge_queries([w.queries, later])
+    judged = judged_queries(w.queries, sampling.positives(w.qrels))
+    return trec.merge_queries([w.queries, judged.withColumn("text", F.concat("text", F.lit(" (second)")))])
 
 
 @register("src_qrels", "qid:s docid:s rel:i", "SELECT * FROM positives", "positives")

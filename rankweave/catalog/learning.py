@@ -58,7 +58,7 @@ def svr_rank(w: Workbench):
 @register("cluster_rank", "run_id:s qid:s docid:s rank:i score:d")
 def cluster_rank(w: Workbench):
     rows = training_features(w, graded=True)
-    ranker = models.fit_cluster_ranker(rows, query_vectors(w), CLUSTERS, seed=SEED)
+    ranker = models.fit_cluster_ranker(rows, query_vectors(w), 3, seed=SEED)
     path = new_path(w.spark, "cluster-ranker")
     ranker.save(path)
     scored = models.ClusterRanker.load(path).score(w.features, query_vectors(w))

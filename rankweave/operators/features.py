@@ -90,9 +90,7 @@ def static_features(pairs: DataFrame, docs: DataFrame, index: Index) -> DataFram
     Lengths come from the index, so of `docs` only docid and url are read.
     """
     ids = pairs.select("docid").distinct()
-    lengths = index.postings.join(ids, "docid", "left_semi").groupBy("docid").agg(
-        *[F.max(F.when(F.col("field") == f, F.col("dl"))).alias(f"len_{f}") for f in FIELDS]
-    )
+    lengths = _lengths(pairs, index)
     urls = docs.select("docid", "url").join(ids, "docid", "left_semi").select(
         "docid", text.slash_count(F.col("url")).alias("slashes"), F.length("url").alias("url_chars")
     )
@@ -102,6 +100,14 @@ def static_features(pairs: DataFrame, docs: DataFrame, index: Index) -> DataFram
     )
 
 
+def _lengths(pairs: DataFrame, index: Index) -> DataFrame:
+    """(docid, len_body, len_title, len_url_text) of the paired documents; null where a field has no tokens."""
+    ids = pairs.select("docid").distinct()
+    return index.postings.select("docid", "field", "dl").join(ids, "docid", "left_semi").groupBy("docid").agg(
+        *[F.max(F.when(F.col("field") == f, F.col("dl"))).alias(f"len_{f}") for f in FIELDS]
+    )
+
+
 def pmi_features(pairs: DataFrame, terms: DataFrame, small: bool, index: Index, pmi: DataFrame) -> DataFrame:
     """(qid, docid, nine PMI features): sum, maximum and mean over query terms x field tokens.
 
@@ -118,14 +124,26 @@ def pmi_features(pairs: DataFrame, terms: DataFrame, small: bool, index: Index,
             F.sum("qtf").alias("w_count"),
         )
     )
-    asked = pairs.select("qid", "docid").join(terms.select("qid", "q_len").distinct(), "qid")
-    postings = index.postings.select("field", "docid", "dl", "term", "tf")
-    lists = postings.join(asked, "docid")
-    scored = lists.join(after, ["qid", "term"], "left").groupBy("qid", "docid", "field").agg(
-        F.max(F.col("q_len") * F.col("dl")).alias("pairs"),
-        F.coalesce(F.sum(F.col("tf") * F.col("w_sum")), F.lit(0.0)).alias("hit_sum"),
+    pairs = pairs.select("qid", "docid")
+    few = fits_in_memory(pairs)
+    lists = lookup_join(
+        index.postings.select("field", "docid", "term", "tf"), pairs, ["docid"], ["term"], few
+    )
+    hits = lists.join(after, ["qid", "term"]).groupBy("qid", "docid", "field").agg(
+        F.sum(F.col("tf") * F.col("w_sum")).alias("hit_sum"),
         F.max("w_max").alias("hit_max"),
-        F.coalesce(F.sum(F.col("tf") * F.col("w_count")), F.lit(0)).alias("hits"),
+        F.sum(F.col("tf") * F.col("w_count")).alias("hits"),
+    )
+    lengths = _lengths(pairs, index)
+    sizes = pairs.join(terms.select("qid", "q_len").distinct(), "qid").join(lengths, "docid").select(
+        "qid", "docid",
+        F.inline(F.array(*[
+            F.struct(F.lit(f).alias("field"), (F.col("q_len") * F.col(f"len_{f}")).alias("pairs")) for f in FIELDS
+        ])),
+    )
+    scored = sizes.filter(F.col("pairs") > 0).join(hits, ["qid", "docid", "field"], "left").select(
+        "qid", "docid", "field", "pairs", "hit_max",
+        F.coalesce("hit_sum", F.lit(0.0)).alias("hit_sum"), F.coalesce("hits", F.lit(0)).alias("hits"),
     )
     total = F.col("hit_sum") + F.lit(NO_PAIR) * (F.col("pairs") - F.col("hits"))
     best = F.when(F.col("hits") == F.col("pairs"), F.col("hit_max")).otherwise(

@@ -192,35 +192,45 @@ def evaluate(run: DataFrame, qrels: DataFrame, max_depth: int | None = None, nam
     wide = query_measures(run, qrels, max_depth, needed or ["num_ret"])
     run_label = F.lit(run_id) if run_id else F.lit("run")
 
-    def as_rows(columns: dict[str, Column]) -> Column:
-        return F.inline(F.array(*[
-            F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
-            for name, value in columns.items()
-        ]))
-
     def quoted(name: str) -> Column:
         return F.col(f"`{name}`")
 
-    overall = {name: (F.sum if name in COUNTS else F.avg)(quoted(name)) for name in plain}
-    overall |= {
-        name: F.exp(F.avg(F.log(F.greatest(quoted(GEOMETRIC[name]), F.lit(GEO_FLOOR)))))
-        for name in names if name in GEOMETRIC
+    # What each measure contributes per query: its value, the logarithm for a geometric mean, 1 for the query count.
+    parts = {name: quoted(name) for name in plain}
+    parts |= {
+        name: F.log(F.greatest(quoted(GEOMETRIC[name]), F.lit(GEO_FLOOR))) for name in names if name in GEOMETRIC
     }
     if "num_q" in names:
-        overall["num_q"] = F.count(F.lit(1))
-    pooled = wide.agg(*[value.alias(name) for name, value in overall.items()])
-    rows = pooled.select(F.lit("all").alias("qid"), as_rows({name: quoted(name) for name in overall}))
-    if plain:
-        rows = wide.select("qid", as_rows({name: quoted(name) for name in plain})).unionByName(rows)
-    return rows.select(run_label.alias("run_id"), "qid", "metric", "value")
+        parts["num_q"] = F.lit(1.0)
+    per_query = wide.select(
+        "qid",
+        F.inline(F.array(*[
+            F.struct(F.lit(name).alias("metric"), part.cast("double").alias("value")) for name, part in parts.items()
+        ])),
+    )
+    metric = F.col("metric")
+    both = per_query.groupingSets([["qid", "metric"], ["metric"]], "qid", "metric").agg(
+        F.grouping("qid").alias("overall"), F.sum("value").alias("total"), F.avg("value").alias("mean")
+    )
+    pooled_only = metric.isin(*GEOMETRIC, "num_q")
+    value = (
+        F.when(metric.isin(*COUNTS, "num_q"), F.col("total"))
+        .when(metric.isin(*GEOMETRIC), F.exp("mean"))
+        .otherwise(F.col("mean"))
+    )
+    return both.filter((F.col("overall") == 1) | ~pooled_only).select(
+        run_label.alias("run_id"),
+        F.when(F.col("overall") == 1, F.lit("all")).otherwise(F.col("qid")).alias("qid"),
+        "metric", value.alias("value"),
+    )
 
 
-def binary_ndcg(scored: DataFrame, cut: int | None = None, pooled: bool = False,
-                max_depth: int | None = None) -> DataFrame:
+def binary_ndcg(scored: DataFrame, cut: int | None = None, pooled: bool = False, max_depth: int | None = None,
+                ideal: DataFrame | None = None) -> DataFrame:
     """(qid, ndcg) with gain 1 for a positive, from (qid, docid, score, label); an ideal gain of 0 counts as 1.
 
     By default each query ranks its own documents. `pooled` ranks the documents of all queries together and lets
-    every query score its own positives in that one order.
+    every query score its own positives in that one order. `ideal(qid, ideal)` saves computing it again.
     """
     label = (F.col("label") > 0).cast("int")
     group = [] if pooled else ["qid"]
@@ -232,14 +242,13 @@ def binary_ndcg(scored: DataFrame, cut: int | None = None, pooled: bool = False,
     got = placed.groupBy("qid").agg(
         F.sum(F.when(inside & (F.col("label") == 1), 1 / F.log2(F.col("pos") + 1.0)).otherwise(F.lit(0.0))).alias("dcg")
     )
-    positives = scored.filter(F.col("label") > 0).select("qid", F.lit(1).alias("rel"))
-    ideal = ideal_gains_at(positives, cut)
+    ideal = ideal if ideal is not None else ideal_gains_at(scored.filter(F.col("label") > 0), cut)
     best = F.coalesce(F.col("ideal"), F.lit(1.0))
     return got.join(ideal, "qid", "left").select("qid", (F.col("dcg") / best).alias("ndcg"))
 
 
 def ideal_gains_at(positives: DataFrame, cut: int | None) -> DataFrame:
-    """(qid, ideal) of binary positives, down to any cut-off."""
+    """(qid, ideal): discounted gain of all positives on top, from one row per positive, down to any cut-off."""
     n = F.count(F.lit(1))
     counts = positives.groupBy("qid").agg((F.least(n, F.lit(cut)) if cut else n).cast("long").alias("n"))
     chunks = counts.select(
