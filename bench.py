@@ -20,7 +20,7 @@ from rankweave.session import build_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-STAGES = ("index", "candidates", "other_run", "qrels", "pmi")
+STAGES = ("index", "candidates", "other_run", "qrels", "pmi", "features")
 HEADLINE = (
     "bm25_top10", "bm25_or_top10", "bm25_lib_top10", "search_run", "scorer_compare", "term_freq", "bigram_counts",
     "pmi", "features_all", "query_features", "ev_all", "ev_ndcg", "win_count", "err_too_low", "triples", "train_pairs",

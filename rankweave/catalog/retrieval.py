@@ -20,7 +20,7 @@ from rankweave.sources import tables
 @register("tokens", "docid:s pos:i term:s", """
     SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks WHERE field = 'body'""", "toks")
 def tokens(w: Workbench):
-    return w.docs.select("docid", F.posexplode(text.analyze(F.col("body"))).alias("pos", "term"))
+    return w.texts.select("docid", F.posexplode(text.analyze(F.col("body"))).alias("pos", "term"))
 
 
 @register("tokens_url", "docid:s pos:i term:s", f"""
@@ -38,7 +38,7 @@ def stems(w: Workbench):
 
 @register("stemmed_tokens", "docid:s pos:i term:s")
 def stemmed_tokens(w: Workbench):
-    return w.docs.select("docid", F.posexplode(text.analyze(F.col("body"), stem=True)).alias("pos", "term"))
+    return w.texts.select("docid", F.posexplode(text.analyze(F.col("body"), stem=True)).alias("pos", "term"))
 
 
 @register("url_statics", "docid:s slashes:i url_chars:i", """
@@ -55,7 +55,7 @@ def url_statics(w: Workbench):
         FROM (SELECT docid, toks, unnest(range(1, len(toks))) AS i FROM toks WHERE field = 'body'))
     GROUP BY docid, t1, t2""", "toks")
 def ngrams(w: Workbench):
-    pairs = field_tokens(w.docs, ("body",)).select("docid", F.inline(text.with_next(F.col("tokens"))))
+    pairs = field_tokens(w.texts, ("body",)).select("docid", F.inline(text.with_next(F.col("tokens"))))
     return pairs.filter(F.col("t2").isNotNull()).groupBy("docid", "t1", "t2").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -103,17 +103,17 @@ def doc_len(w: Workbench):
 
 @register("unigram_counts", "term:s n:i", "SELECT * FROM unigrams", "unigrams")
 def unigram_counts(w: Workbench):
-    return cooccurrence.unigram_counts(cooccurrence.successor_counts(field_tokens(w.docs, ("body",))))
+    return cooccurrence.unigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",))))
 
 
 @register("bigram_counts", "t1:s t2:s n:i", "SELECT * FROM successors WHERE t2 IS NOT NULL", "successors")
 def bigram_counts(w: Workbench):
-    return cooccurrence.bigram_counts(cooccurrence.successor_counts(field_tokens(w.docs, ("body",))))
+    return cooccurrence.bigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",))))
 
 
 @register("pmi", "t1:s t2:s n:i pmi:d", "SELECT * FROM pmi", "pmi")
 def pmi(w: Workbench):
-    return cooccurrence.corpus_pmi(w.docs)
+    return cooccurrence.corpus_pmi(w.texts)
 
 
 _TOP = """SELECT qid, docid, rank, score FROM (

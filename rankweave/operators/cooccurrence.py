@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions import text
 from rankweave.operators.index import Index, field_tokens
-from rankweave.operators.joins import lookup_join
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.session import materialize
 
 # Fixed value: the score of a pair that never occurs.
@@ -33,11 +33,15 @@ def bigram_counts(successors: DataFrame) -> DataFrame:
     return successors.filter(F.col("t2").isNotNull())
 
 
-def pmi(bigrams: DataFrame, unigrams: DataFrame, n_tokens: int) -> DataFrame:
-    """(t1, t2, n, pmi) with pmi = ln( (n12/N) / ((n1/N)(n2/N)) ) for every pair that occurs."""
-    counts = bigrams.join(
-        unigrams.select(F.col("term").alias("t1"), F.col("n").alias("_n1")), "t1"
-    ).join(unigrams.select(F.col("term").alias("t2"), F.col("n").alias("_n2")), "t2")
+def pmi(bigrams: DataFrame, unigrams: DataFrame, n_tokens: int, unigrams_fit: bool = False) -> DataFrame:
+    """(t1, t2, n, pmi) with pmi = ln( (n12/N) / ((n1/N)(n2/N)) ) for every pair that occurs.
+
+    A frequent term starts or ends very many pairs, so the counts are looked up by broadcast or with salt.
+    """
+    first = unigrams.select(F.col("term").alias("t1"), F.col("n").alias("_n1"))
+    second = unigrams.select(F.col("term").alias("t2"), F.col("n").alias("_n2"))
+    counts = lookup_join(bigrams, first, ["t1"], ["t2"], unigrams_fit)
+    counts = lookup_join(counts, second, ["t2"], ["t1"], unigrams_fit)
     total = F.lit(float(n_tokens))
     return counts.select("t1", "t2", "n", F.log(F.col("n") * total / (F.col("_n1") * F.col("_n2"))).alias("pmi"))
 
@@ -49,7 +53,8 @@ def corpus_pmi(docs: DataFrame, stem: bool = False) -> DataFrame:
     """
     successors = materialize(successor_counts(field_tokens(docs, ("body",), stem)), "successors")
     n_tokens = successors.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return pmi(bigram_counts(successors), unigram_counts(successors), n_tokens)
+    unigrams = unigram_counts(successors)
+    return pmi(bigram_counts(successors), unigrams, n_tokens, fits_in_memory(unigrams))
 
 
 def vocabulary_pmi(docs: DataFrame, index: Index, vocabulary: DataFrame, vocabulary_fits: bool) -> DataFrame:
@@ -63,4 +68,4 @@ def vocabulary_pmi(docs: DataFrame, index: Index, vocabulary: DataFrame, vocabul
                         "left_semi")
     bigrams = pairs.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"))
     unigrams = index.term_stats().filter(F.col("field") == "body").select("term", F.col("cf").alias("n"))
-    return pmi(bigrams, unigrams, index.totals()["body"].field_len)
+    return pmi(bigrams, unigrams, index.totals()["body"].field_len, fits_in_memory(unigrams))

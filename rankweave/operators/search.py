@@ -14,6 +14,8 @@ from rankweave.operators.ordering import top_k
 
 Scorer = Callable[[scoring.Stats], Column]
 
+RUN_COLUMNS = ("run_id", "qid", "docid", "rank", "score")
+
 
 def query_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     """(qid, term, qtf, q_len, n_terms): distinct analysed terms with their count in the query."""
@@ -45,13 +47,13 @@ def search(queries: DataFrame, index: Index, scorer: Scorer = scoring.okapi, k:
 
     `and` keeps documents that hold every query term, `or` those that hold at least one.
     """
-    scored = score_matches(matches(queries, index, field), index, scorer, mode, field)
-    return top_k(scored, k).select(F.lit(run_id).alias("run_id"), "qid", "docid", "rank", "score")
+    scored = score_matches(matches(queries, index, field), index, {run_id: scorer}, mode, field)
+    return top_k(scored, k).select(*RUN_COLUMNS)
 
 
-def score_matches(matched: DataFrame, index: Index, scorer: Scorer, mode: str = "and",
+def score_matches(matched: DataFrame, index: Index, scorers: dict[str, Scorer], mode: str = "and",
                   field: str = "body") -> DataFrame:
-    """(qid, docid, score) summed over the matched terms."""
+    """(run_id, qid, docid, score), one row per scorer, all from one aggregation over the matched terms."""
     if mode not in ("and", "or"):
         raise ValueError(f"mode must be 'and' or 'or', not {mode!r}")
     totals = index.totals()[field]
@@ -59,13 +61,21 @@ def score_matches(matched: DataFrame, index: Index, scorer: Scorer, mode: str =
         F.lit(float(totals.n_docs)), F.col("df"), F.col("tf"), F.col("dl"), F.lit(totals.avg_len)
     )
     scored = matched.groupBy("qid", "docid").agg(
-        scoring.stable(F.sum(scorer(stats))).alias("score"),
         F.count(F.lit(1)).alias("_matched"),
         F.max("n_terms").alias("_wanted"),
+        *[scoring.stable(F.sum(scorer(stats))).alias(f"_s_{run_id}") for run_id, scorer in scorers.items()],
     )
     if mode == "and":
         scored = scored.filter(F.col("_matched") == F.col("_wanted"))
-    return scored.drop("_matched", "_wanted")
+    if len(scorers) == 1:
+        run_id = next(iter(scorers))
+        return scored.select(F.lit(run_id).alias("run_id"), "qid", "docid", F.col(f"_s_{run_id}").alias("score"))
+    return scored.select(
+        "qid", "docid",
+        F.inline(F.array(*[
+            F.struct(F.lit(run_id).alias("run_id"), F.col(f"_s_{run_id}").alias("score")) for run_id in scorers
+        ])),
+    ).select("run_id", "qid", "docid", "score")
 
 
 def matched_terms(queries: DataFrame, index: Index, run: DataFrame, field: str = "body") -> DataFrame:
@@ -79,17 +89,8 @@ def matched_terms(queries: DataFrame, index: Index, run: DataFrame, field: str =
 def compare_scorers(queries: DataFrame, index: Index, scorers: dict[str, Scorer], k: int = 10, mode: str = "and",
                     field: str = "body") -> DataFrame:
     """The runs of several scorers on the same matches, tagged by run_id."""
-    matched = matches(queries, index, field)
-    runs = [
-        top_k(score_matches(matched, index, scorer, mode, field), k).select(
-            F.lit(run_id).alias("run_id"), "qid", "docid", "rank", "score"
-        )
-        for run_id, scorer in scorers.items()
-    ]
-    both = runs[0]
-    for run in runs[1:]:
-        both = both.unionByName(run)
-    return both
+    scored = score_matches(matches(queries, index, field), index, scorers, mode, field)
+    return top_k(scored, k, group=["run_id", "qid"]).select(*RUN_COLUMNS)
 
 
 def query_index(queries: DataFrame) -> Index:

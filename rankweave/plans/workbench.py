@@ -45,6 +45,11 @@ class Workbench:
     def docs(self) -> DataFrame:
         return tables.documents(self.spark, self.folder)
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents for work on their whole text, over all cores."""
+        return tables.spread(self.docs, "docid")
+
     @property
     def queries(self) -> DataFrame:
         return tables.queries(self.spark, self.folder)
@@ -73,7 +78,7 @@ class Workbench:
 
         def build() -> DataFrame:
             vocabulary = query_terms(self.queries).select("term").distinct()
-            return cooccurrence.vocabulary_pmi(self.docs, self.index, vocabulary, fits_in_memory(vocabulary))
+            return cooccurrence.vocabulary_pmi(self.texts, self.index, vocabulary, fits_in_memory(vocabulary))
 
         return self.stage("pmi", build)
 

@@ -25,6 +25,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A file scan with fewer splits than the session has cores (a file of few row groups), dealt out by `key`.
+
+    Large inputs have more splits than cores and are left alone.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted, key) if scan.rdd.getNumPartitions() < wanted else scan
+
+
 def web_urls(spark: SparkSession, folder: str) -> DataFrame:
     """(docid, url) of the web pages."""
     return table(spark, folder, "pages").select(F.col("page_id").cast("string").alias("docid"), "url")
