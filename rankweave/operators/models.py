@@ -30,6 +30,9 @@ from rankweave.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Fixed value: the solvers stop when a step improves by less than this share.
+TOLERANCE = 1e-3
+
 
 def fourier_map(gamma: float, components: int, seed: int):
     """An Arrow function from arrays to cosines of random projections; the projection follows from the seed."""
@@ -79,14 +82,14 @@ def _pipeline(learner, kernel: bool, components: int, seed: int) -> Pipeline:
 def fit_classifier(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
                    max_iter: int = 100, reg: float = 1e-4) -> PipelineModel:
     """Margin classifier on rows with columns `features` (array) and `label` (0 or 1)."""
-    learner = LinearSVC(maxIter=max_iter, regParam=reg)
+    learner = LinearSVC(maxIter=max_iter, regParam=reg, tol=TOLERANCE)
     return _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
 
 
 def fit_regressor(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
                   max_iter: int = 100, reg: float = 1e-3) -> PipelineModel:
     """Robust (Huber) regression on rows with columns `features` (array) and `label`."""
-    learner = LinearRegression(loss="huber", maxIter=max_iter, regParam=reg)
+    learner = LinearRegression(loss="huber", maxIter=max_iter, regParam=reg, tol=TOLERANCE)
     return _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
 
 
