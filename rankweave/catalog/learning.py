@@ -77,20 +77,33 @@ def labelled_features(w: Workbench):
     return w.features.join(labelled(w).select("qid", "docid", "label"), ["qid", "docid"])
 
 
-@register("adarank_weak", "qid:s feat:i score:d", """
-    SELECT r.qid, feat, coalesce(sum(1 / log2(pos + 1)) FILTER (label = 1), 0) / coalesce(max(i.ideal), 1) AS score
-    FROM (SELECT f.qid, f.feat, CASE WHEN p.rel IS NULL THEN 0 ELSE 1 END AS label,
-                 row_number() OVER (PARTITION BY f.qid, f.feat ORDER BY round(f.value, 6) + 0.0 DESC, f.docid DESC) AS pos
-          FROM long_features f LEFT JOIN positives p ON p.qid = f.qid AND p.docid = f.docid) r
-    LEFT JOIN (SELECT qid, sum(1 / log2(pos + 1)) AS ideal FROM (
-                   SELECT p.qid, row_number() OVER (PARTITION BY p.qid) AS pos
-                   FROM positives p JOIN candidates c ON c.qid = p.qid AND c.docid = p.docid) GROUP BY qid) i
-        ON i.qid = r.qid
-    GROUP BY r.qid, feat""", "long_features", "positives", "candidates", extra=FEATURE_CTES)
+_WEAK = FEATURE_CTES | {
+    "weak": (("long_features", "positives", "candidates"), """
+        SELECT r.qid, feat, coalesce(sum(1 / log2(pos + 1)) FILTER (label = 1), 0) / coalesce(max(i.ideal), 1) AS score
+        FROM (SELECT f.qid, f.feat, CASE WHEN p.rel IS NULL THEN 0 ELSE 1 END AS label,
+                     row_number() OVER (
+                         PARTITION BY f.qid, f.feat ORDER BY round(f.value, 6) + 0.0 DESC, f.docid DESC) AS pos
+              FROM long_features f LEFT JOIN positives p ON p.qid = f.qid AND p.docid = f.docid) r
+        LEFT JOIN (SELECT qid, sum(1 / log2(pos + 1)) AS ideal FROM (
+                       SELECT p.qid, row_number() OVER (PARTITION BY p.qid) AS pos
+                       FROM positives p JOIN candidates c ON c.qid = p.qid AND c.docid = p.docid) GROUP BY qid) i
+            ON i.qid = r.qid
+        GROUP BY r.qid, feat"""),
+}
+
+
+@register("adarank_weak", "qid:s feat:i score:d", "SELECT * FROM weak", "weak", extra=_WEAK)
 def adarank_weak(w: Workbench):
     return adarank.weak_scores(labelled_features(w), max_depth=DEPTH)
 
 
+@register("adarank_round", "feat:i avg:d alpha:d", """
+    SELECT feat, avg(score) AS avg, 0.5 * ln((1 + avg(score)) / (1 - avg(score))) AS alpha FROM weak GROUP BY feat""",
+          "weak", extra=_WEAK)
+def adarank_round(w: Workbench):
+    return adarank.weighted_choice(adarank.weak_scores(labelled_features(w), max_depth=DEPTH))
+
+
 @register("adarank_rank", "run_id:s qid:s docid:s rank:i score:d")
 def adarank_rank(w: Workbench):
     alpha = adarank.fit(labelled_features(w), rounds=5, max_depth=DEPTH)

@@ -31,12 +31,16 @@ def tokens_url(w: Workbench):
     return urls.select("docid", F.posexplode(text.analyze(text.url_text(F.col("url")))).alias("pos", "term"))
 
 
-@register("stems", "term:s stem:s")
+@register("stems", "term:s stem:s", "SELECT DISTINCT s.term, s.stem FROM stems s JOIN tokens t ON t.term = s.term",
+          "stems", "tokens")
 def stems(w: Workbench):
     return stem_vocabulary(w.index.postings)
 
 
-@register("stemmed_tokens", "docid:s pos:i term:s")
+@register("stemmed_tokens", "docid:s pos:i term:s", """
+    SELECT t.docid, t.pos, s.stem AS term FROM (
+        SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks WHERE field = 'body') t
+    JOIN stems s ON s.term = t.term""", "toks", "stems")
 def stemmed_tokens(w: Workbench):
     return w.texts.select("docid", F.posexplode(text.analyze(F.col("body"), stem=True)).alias("pos", "term"))
 
@@ -136,6 +140,27 @@ def bm25_lib_top10(w: Workbench):
     return search.search(w.queries, w.index, scoring.smoothed, k=10)
 
 
+@register("bm25_stemmed_top10", "qid:s docid:s rank:i score:d", """
+    SELECT qid, docid, rank, score FROM (
+        SELECT qid, docid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid DESC) AS rank FROM (
+            SELECT q.qid, p.docid, round(sum(
+                ln(t.n_docs / s.df) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / t.avg_len))), 6) + 0.0 AS score
+            FROM stemmed_qterms q JOIN stemmed_postings p ON p.term = q.term AND p.field = 'body'
+            JOIN (SELECT term, count(*) AS df FROM stemmed_postings WHERE field = 'body' GROUP BY term) s
+                ON s.term = q.term
+            JOIN totals t ON t.field = 'body'
+            GROUP BY q.qid, p.docid HAVING count(*) = max(q.n_terms)))
+    WHERE rank <= 10""", "stemmed_qterms", "stemmed_postings", "totals")
+def bm25_stemmed_top10(w: Workbench):
+    return search.search(w.queries, w.stemmed_index, k=10)
+
+
+@register("stemmed_term_stats", "field:s term:s df:i cf:i", """
+    SELECT field, term, count(*) AS df, sum(tf) AS cf FROM stemmed_postings GROUP BY field, term""", "stemmed_postings")
+def stemmed_term_stats(w: Workbench):
+    return w.stemmed_index.term_stats()
+
+
 @register("bm25_scores", "qid:s docid:s term:s score:d", """
     SELECT qid, docid, term, ln(n_docs / df) * 2.2 * tf / (1.2 * (0.25 + 0.75 * dl / avg_len) + tf) AS score
     FROM matches""", "matches")

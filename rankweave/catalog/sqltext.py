@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rankweave.functions.stemming import STEP2, STEP3, STEP4
 from rankweave.functions.text import MIN_TOKEN_LENGTH, STOP_WORDS
 
 TOKEN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"
@@ -16,6 +17,91 @@ def tokens_of(text: str) -> str:
     )
 
 
+def _shape(word: str) -> str:
+    """One letter per character, v or c, built from left to right because y depends on the letter before it."""
+    return (
+        f"list_reduce(string_split({word}, ''), lambda s, ch: s || CASE WHEN ch IN ('a', 'e', 'i', 'o', 'u') "
+        "OR (ch = 'y' AND right(s, 1) = 'c') THEN 'v' ELSE 'c' END, '')"
+    )
+
+
+def _measure(word: str) -> str:
+    shape = _shape(word)
+    return f"((length({shape}) - length(replace({shape}, 'vc', ''))) // 2)"
+
+
+def _cut(ending: str) -> str:
+    return f"left(w, length(w) - {len(ending)})"
+
+
+def _short_end(word: str) -> str:
+    return f"(right({_shape(word)}, 3) = 'cvc' AND right({word}, 1) NOT IN ('w', 'x', 'y'))"
+
+
+def _swaps(pairs) -> str:
+    cases = " ".join(
+        f"WHEN suffix(w, '{old}') THEN CASE WHEN {_measure(_cut(old))} > 0 THEN {_cut(old)} || '{new}' ELSE w END"
+        for old, new in sorted(pairs, key=lambda pair: -len(pair[0]))
+    )
+    return f"CASE {cases} ELSE w END"
+
+
+def _strips() -> str:
+    cases = []
+    for ending in sorted(STEP4, key=lambda e: -len(e)):
+        root = _cut(ending)
+        extra = f" AND right({root}, 1) IN ('s', 't')" if ending == "ion" else ""
+        cases.append(f"WHEN suffix(w, '{ending}') THEN CASE WHEN {_measure(root)} > 1{extra} THEN {root} ELSE w END")
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+def _past() -> str:
+    mended = (
+        "CASE WHEN suffix(r, 'at') OR suffix(r, 'bl') OR suffix(r, 'iz') THEN r || 'e' "
+        f"WHEN length(r) > 1 AND right(r, 1) = left(right(r, 2), 1) AND right({_shape('r')}, 1) = 'c' "
+        "AND right(r, 1) NOT IN ('l', 's', 'z') THEN left(r, length(r) - 1) "
+        f"WHEN {_measure('r')} = 1 AND {_short_end('r')} THEN r || 'e' ELSE r END"
+    )
+    return (
+        f"CASE WHEN suffix(w, 'eed') THEN CASE WHEN {_measure(_cut('eed'))} > 0 THEN {_cut('d')} ELSE w END "
+        f"WHEN r IS NOT NULL AND contains({_shape('r')}, 'v') THEN {mended} ELSE w END"
+    )
+
+
+def _final_e() -> str:
+    root = _cut("e")
+    return (
+        f"CASE WHEN suffix(w, 'e') AND ({_measure(root)} > 1 OR ({_measure(root)} = 1 AND NOT {_short_end(root)})) "
+        f"THEN {root} ELSE w END"
+    )
+
+
+# Suffix stripping over the table `words(term)`, one step per line.
+_STEM_STEPS = (
+    ("w", f"""CASE WHEN suffix(w, 'sses') OR suffix(w, 'ies') THEN {_cut('ss')}
+              WHEN suffix(w, 's') AND NOT suffix(w, 'ss') THEN {_cut('s')} ELSE w END"""),
+    ("r", f"CASE WHEN suffix(w, 'ed') THEN {_cut('ed')} WHEN suffix(w, 'ing') THEN {_cut('ing')} END"),
+    ("w", _past()),
+    ("w", f"CASE WHEN suffix(w, 'y') AND contains({_shape(_cut('y'))}, 'v') THEN {_cut('y')} || 'i' ELSE w END"),
+    ("w", _swaps(STEP2)),
+    ("w", _swaps(STEP3)),
+    ("w", _strips()),
+    ("w", _final_e()),
+    ("w", f"CASE WHEN suffix(w, 'll') AND {_measure(_cut('l'))} > 1 THEN {_cut('l')} ELSE w END"),
+)
+
+
+def _stem_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
+    out = {"stem_0": (("words",), "SELECT term, term AS w, NULL::VARCHAR AS r FROM words WHERE length(term) > 2")}
+    for i, (column, expression) in enumerate(_STEM_STEPS):
+        kept = "r" if column == "w" else "w"
+        out[f"stem_{i + 1}"] = ((f"stem_{i}",), f"SELECT term, {expression} AS {column}, {kept} FROM stem_{i}")
+    out["stems"] = ((f"stem_{len(_STEM_STEPS)}", "words"), f"""
+        SELECT term, w AS stem FROM stem_{len(_STEM_STEPS)} UNION ALL
+        SELECT term, term FROM words WHERE length(term) <= 2""")
+    return out
+
+
 def signed_log(x: str) -> str:
     return f"(CASE WHEN ({x}) > 0 THEN ln(abs({x}) + 1) ELSE -ln(abs({x}) + 1) END)"
 
@@ -114,6 +200,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT qid, rel, row_number() OVER (PARTITION BY qid ORDER BY rel DESC) AS pos FROM positives"""),
 }
 
+CTES |= _stem_ctes() | {
+    "words": (("tokens", "qterms"), "SELECT term FROM tokens UNION SELECT term FROM qterms"),
+    "stemmed_postings": (("postings", "stems"), """
+        SELECT p.field, p.docid, p.dl, s.stem AS term, sum(p.tf) AS tf
+        FROM postings p JOIN stems s ON s.term = p.term GROUP BY p.field, p.docid, p.dl, s.stem"""),
+    "stemmed_qterms": (("qterms", "stems"), """
+        SELECT qid, term, count(*) OVER (PARTITION BY qid) AS n_terms
+        FROM (SELECT DISTINCT q.qid, s.stem AS term FROM qterms q JOIN stems s ON s.term = q.term)"""),
+}
+
 
 def with_ctes(body: str, *names: str, extra: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
     """`body` behind a WITH clause that holds the named expressions and all they read."""

@@ -58,6 +58,10 @@ class Workbench:
     def index(self) -> Index:
         return build_index(self.docs)
 
+    @cached_property
+    def stemmed_index(self) -> Index:
+        return build_index(self.docs, stem=True)
+
     @property
     def candidates(self) -> DataFrame:
         """The 100 best documents of each query, any term matching."""
