@@ -13,7 +13,7 @@ from rankweave.operators.measures import (
     COUNTS, CUTS, GEO_FLOOR, GEOMETRIC, RECALL_LEVELS, RPREC_FACTORS, SUCCESS_CUTS,
 )
 from rankweave.plans.workbench import DEPTH, Workbench
-from rankweave.sources import tables
+from rankweave.sources import tables, trec
 
 
 def _ratio(part: str, whole: str) -> str:
@@ -241,7 +241,7 @@ def run_union(w: Workbench):
 
 @register("candidate_docs", "docid:s", "SELECT DISTINCT docid FROM candidates", "candidates")
 def candidate_docs(w: Workbench):
-    return w.candidates.select("docid").distinct()
+    return trec.candidate_docs(w.candidates)
 
 
 # re-ranking

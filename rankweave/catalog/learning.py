@@ -62,7 +62,7 @@ def cluster_rank(w: Workbench):
     path = new_path(w.spark, "cluster-ranker")
     ranker.save(path)
     scored = models.ClusterRanker.load(path).score(w.features, query_vectors(w))
-    return rerank.rerank(scored, "clusvm", max_depth=DEPTH)
+    return rerank.rerank(scored, "cluster", max_depth=DEPTH)
 
 
 @register("adarank_weights", "feat:i name:s alpha:d")

@@ -56,7 +56,7 @@ def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def false_positives(run: DataFrame, qrels: DataFrame, docs: DataFrame | None = None, n: int = SHOWN) -> DataFrame:
     """(qid, docid, rank): the first n retrieved documents that are not relevant, of queries with a relevant one."""
     good = _relevant(qrels)
-    rows = run.join(good.select("qid"), "qid", "left_semi")
+    rows = run.join(good.select("qid").distinct(), "qid", "left_semi")
     rows = rows.join(good.select("qid", "docid"), ["qid", "docid"], "left_anti")
     rows = top_k(rows, n, order=[F.asc("rank")], rank="_place").select("qid", "docid", "rank")
     return _with_text(rows, docs) if docs is not None else rows

@@ -58,7 +58,7 @@ def matched_values(pairs: DataFrame, terms: DataFrame, small: bool, index: Index
     postings = index.postings.filter(F.col("field").isin(*fields)).select("field", "docid", "dl", "term", "tf")
     vocabulary = terms.select("term").distinct()
     postings = lookup_join(postings, vocabulary, ["term"], ["docid"], small, "left_semi")
-    found = postings.join(wanted, ["docid", "term"]).join(F.broadcast(stats) if small else stats, ["field", "term"])
+    found = lookup_join(postings.join(wanted, ["docid", "term"]), stats, ["field", "term"], ["qid", "docid"], small)
     totals = index.totals()
     n_docs = F.lit(float(next(iter(totals.values())).n_docs))
     field_len = F.lit(None).cast("double")
@@ -116,7 +116,7 @@ def pmi_features(pairs: DataFrame, terms: DataFrame, small: bool, index: Index,
     """
     first = terms.select("qid", F.col("term").alias("t1"), "qtf")
     after = (
-        first.join(pmi.select("t1", "t2", "pmi"), "t1")
+        lookup_join(pmi.select("t1", "t2", "pmi"), first, ["t1"], ["t2"], small)
         .groupBy("qid", F.col("t2").alias("term"))
         .agg(
             F.sum(F.col("qtf") * F.col("pmi")).alias("w_sum"),
@@ -169,7 +169,7 @@ def pair_features(pairs: DataFrame, queries: DataFrame, docs: DataFrame, index:
     body. `clean` turns values that are not finite into 0.
     """
     pairs = pairs.select("qid", "docid").distinct()
-    asked = queries.join(pairs.select("qid"), "qid", "left_semi")
+    asked = queries.join(pairs.select("qid").distinct(), "qid", "left_semi")
     terms = query_terms(asked, index.stem)
     small = fits_in_memory(terms)
     fields = FIELDS if use_title else FIELDS[:1]
@@ -207,11 +207,12 @@ def query_features(queries: DataFrame, index: Index, pmi: DataFrame) -> DataFram
     small = fits_in_memory(terms)
     vocabulary = terms.select("term").distinct()
     stats = index.term_stats(vocabulary, small).filter(F.col("field") == "body").select("term", "df", "cf")
-    with_stats = terms.join(F.broadcast(stats) if small else stats, "term", "left")
+    with_stats = lookup_join(terms, stats, ["term"], ["qid"], small, "left")
     second = terms.select("qid", F.col("term").alias("t2"), F.col("qtf").alias("qtf2"))
     hits = (
-        terms.select("qid", F.col("term").alias("t1"))
-        .join(pmi.select("t1", "t2", "pmi"), "t1")
+        lookup_join(
+            pmi.select("t1", "t2", "pmi"), terms.select("qid", F.col("term").alias("t1")), ["t1"], ["t2"], small
+        )
         .join(second, ["qid", "t2"])
         .groupBy("qid", F.col("t1").alias("term"))
         .agg(F.sum(F.col("qtf2") * F.col("pmi")).alias("hit_sum"), F.sum("qtf2").alias("hits"))

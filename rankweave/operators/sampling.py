@@ -76,7 +76,7 @@ def judge_triples(candidates: DataFrame, qrels: DataFrame, seed: int, depth: int
     One rank in 1..depth is drawn per topic; topics without a relevant document are left out.
     """
     good = positives(qrels)
-    topics = candidates.join(good.select("qid"), "qid", "left_semi")
+    topics = candidates.join(good.select("qid").distinct(), "qid", "left_semi")
     at_rank = F.col("rank") == draw_int(seed, F.lit(depth), "qid") + 1
     flagged = topics.select("qid", "docid", "rank", at_rank.alias("drawn")).join(
         good.select("qid", "docid", F.lit(True).alias("is_positive")), ["qid", "docid"], "left"

@@ -37,7 +37,7 @@ def matches(queries: DataFrame, index: Index, field: str = "body") -> DataFrame:
     terms = query_terms(queries, index.stem)
     small = fits_in_memory(terms)
     stats = index.term_stats(terms.select("term").distinct(), small).filter(F.col("field") == field)
-    weighted = terms.join(stats.select("term", "df"), "term")
+    weighted = lookup_join(terms, stats.select("term", "df"), ["term"], ["qid"], small)
     return lookup_join(index.field(field), weighted, ["term"], ["docid"], small)
 
 
@@ -100,7 +100,7 @@ def query_index(queries: DataFrame) -> Index:
 
 def judged_queries(queries: DataFrame, qrels: DataFrame) -> DataFrame:
     """Queries that have at least one judgment."""
-    return queries.join(qrels.select("qid"), "qid", "left_semi")
+    return queries.join(qrels.select("qid").distinct(), "qid", "left_semi")
 
 
 def transfer_judgments(pairs: DataFrame, pair_queries: DataFrame, passages: DataFrame, queries_index: Index,

@@ -23,7 +23,11 @@ def index_new_files(spark: SparkSession, source: str, index_path: str, state_pat
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        append_documents(index_path, batch, f"{name}-{batch_id}", fields, stem)
+        batch.persist()  # read several times below
+        try:
+            append_documents(index_path, batch, f"{name}-{batch_id}", fields, stem)
+        finally:
+            batch.unpersist()
 
     return (
         reader.parquet(source)
