@@ -231,3 +231,24 @@ def test_query_features_against_loops(spark, micro, built):
         wanted = [sum(c) / len(words) for c in columns] + [max(c) for c in columns] + [sum(c) for c in columns]
         wanted.append(math.log(len(words) + 1))
         assert rows[qid] == pytest.approx([signed(x) for x in wanted], abs=1e-9)
+
+
+def test_features_without_broadcast(micro, built, monkeypatch):
+    from rankweave.operators import features
+
+    docs, queries = micro
+    pmi_table = cooccurrence.corpus_pmi(docs)
+    pairs = queries.select("qid", F.explode(F.array(*[F.lit(d) for d in ("d1", "d2", "d3")])).alias("docid"))
+
+    def vectors():
+        rows = pair_features(pairs, queries, docs, built, pmi_table).collect()
+        asked = query_features(queries, built, pmi_table).collect()
+        return ({(r["qid"], r["docid"]): r["features"] for r in rows}, {r["qid"]: list(r)[1:] for r in asked})
+
+    small = vectors()
+    monkeypatch.setattr(features, "fits_in_memory", lambda *a, **k: False)
+    large = vectors()
+    for one, two in zip(small, large, strict=True):
+        assert one.keys() == two.keys()
+        for key in one:
+            assert one[key] == pytest.approx(two[key], abs=1e-9)
