@@ -37,7 +37,11 @@ def matches(queries: DataFrame, index: Index, field: str = "body") -> DataFrame:
     terms = query_terms(queries, index.stem)
     small = fits_in_memory(terms)
     stats = index.term_stats(terms.select("term").distinct(), small).filter(F.col("field") == field)
-    weighted = lookup_join(terms, stats.select("term", "df"), ["term"], ["qid"], small)
+    stats = stats.select("term", "df")
+    if small:  # streaming the statistics keeps the rows of a term together in the table broadcast below
+        weighted = lookup_join(stats, terms, ["term"], ["term"], small)
+    else:
+        weighted = lookup_join(terms, stats, ["term"], ["qid"], small)
     return lookup_join(index.field(field), weighted, ["term"], ["docid"], small)
 
 
