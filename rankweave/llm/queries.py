@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, sharding
-from rankweave.session import new_path
+from rankweave.llm import bpe, language, quality, rules, rules_sql, secrets, sharding
+from rankweave.llm.common import remainder
+from rankweave.session import materialize, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +66,48 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op3_secrets")
+def find_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    def joined(of: str) -> Column:
+        each = F.transform(F.col(of), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.array_join(each, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(F.col("found"), lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    scanned = table(spark, folder, "documents", "doc_id", "text").select("doc_id", secrets.scan(text()).alias("found"))
+    base = scanned.withColumn("base", F.filter(F.col("found"), lambda x: x["kind"] != "literal"))
+    return base.select(
+        "doc_id", *[count(kind) for kind in secrets.KINDS[:3]],
+        F.sha2(joined("base"), 256).alias("base_sha256"), joined("found").alias("spans"), count("literal"),
+    )
+
+
+@register("op5_language_codes")
+def language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.filter(~held_out))
+    told = docs.select("doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model).alias("told"))
+    return told.select("doc_id", "held_out", F.col("told.lang").alias("lang_pred"), "told.score", "told.ambiguous")
+
+
+@register("op6_rule_cascade", rules_sql.SQL)
+def rule_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    judged = docs.select("doc_id", rules.verdicts(F.col("text"), rules.cascade(docs)).alias("verdict"))
+    return judged.select("doc_id", "verdict.*")
+
+
+@register("op9_quality_discriminant")
+def quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text").select("doc_id", quality.features(F.col("text")).alias("features"))
+    described = materialize(docs, "features")
+    model = quality.fit(quality.training_rows(described, table(spark, folder, "labels", "doc_id", "quality")))
+    scored = described.select("doc_id", quality.score(F.col("features"), model).alias("score"))
+    return scored.select(
+        "doc_id", (remainder(F.col("doc_id"), quality.HELD_OUT_PARTS) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
