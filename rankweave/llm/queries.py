@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, language, quality, rules, rules_sql, secrets, sharding
+from rankweave.llm import bpe, language, packing, quality, rules, rules_sql, secrets, sharding
 from rankweave.llm.common import remainder
 from rankweave.session import materialize, new_path
 
@@ -111,3 +111,9 @@ def quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (remainder(F.col("doc_id"), quality.HELD_OUT_PARTS) == 0).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@register("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = packing.share(spark, tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(table(spark, folder, "documents", "doc_id", "text"), tokenizer)
