@@ -1,0 +1,50 @@
+"""Connected components of a graph given by its links, by alternating star operations.
+
+A star operation links the neighbours of a node to the smallest of them. Alternating between larger and smaller
+neighbours turns every component into one star around its smallest node, in a number of rounds that grows with the
+logarithm of the longest path. Links stay in the shared folder; nothing comes to the driver but counts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rankweave.session import materialize
+
+MOST_ROUNDS = 60
+
+
+def _star(links: DataFrame, larger: bool) -> DataFrame:
+    """links (a, b) with a > b; the result has the same form."""
+    if larger:
+        around = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        center = around.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        moved = around.join(center, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    else:
+        center = links.groupBy("a").agg(F.min("b").alias("m"))
+        moved = links.join(center, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = moved.unionByName(center.select("a", F.col("m").alias("b")))
+    return moved.filter("a > b").distinct()
+
+
+def _state(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def connected_components(links: DataFrame) -> DataFrame:
+    """(node, root) of every node that has a link; root is the smallest node of its component.
+
+    `links` has two columns of one type; direction, repeats and links of a node to itself do not matter.
+    """
+    one, two = (F.col(c) for c in links.columns)
+    now = materialize(links.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b")).filter("a > b").distinct(), "links")
+    state = _state(now)
+    for _ in range(MOST_ROUNDS):
+        now = materialize(_star(_star(now, larger=True), larger=False), "links")
+        after = _state(now)
+        if after == state:
+            roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        state = after
+    raise RuntimeError("the components did not settle")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, language, packing, quality, rules, rules_sql, secrets, sharding
+from rankweave.llm import bpe, fingerprints, language, near_dedup, packing, quality, rules, rules_sql, secrets, sharding
 from rankweave.llm.common import remainder
 from rankweave.session import materialize, new_path
 
@@ -117,3 +117,28 @@ def quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = packing.share(spark, tokenizer_path("word_bpe_49k.json"))
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"), tokenizer)
+
+
+@register("op8_prob_minhash")
+def prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@register("op10_bottom_k")
+def bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text").select("doc_id", text().alias("text"))
+    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sketched = docs.withColumn("sketch", fingerprints.sketch(F.col("text")))
+    along = fingerprints.with_next(sketched, "doc_id", ["text", "sketch"], blocks)
+    chars = F.char_length("text")
+    moved = F.floor(chars / 2).cast("int")
+    edited = along.select(
+        "doc_id", chars.cast("long").alias("n_chars"), "sketch", F.col("next.sketch").alias("next_sketch"),
+        F.concat(F.substring("text", F.lit(1), chars - moved), F.substring(F.col("next.text"), F.lit(1), moved)).alias("edited"))
+    both = edited.withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
+    return both.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.spelled(F.col("sketch")).alias("fingerprint"),
+        fingerprints.spelled(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
