@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, fingerprints, language, near_dedup, packing, quality, rules, rules_sql, secrets, sharding
+from rankweave.llm import bpe, fingerprints, language, language_model, near_dedup, packing, quality, rules, rules_sql, secrets, sharding
 from rankweave.llm.common import remainder
 from rankweave.session import materialize, new_path
 
@@ -142,3 +142,9 @@ def bottom_k(spark: SparkSession, folder: str) -> DataFrame:
         fingerprints.spelled(F.col("edited_sketch")).alias("edited_fingerprint"),
         fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+@register("op4_backoff_automaton")
+def backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return language_model.score_documents(docs, remainder(F.col("doc_id"), 10) == 0)
