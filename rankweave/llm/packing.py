@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from rankweave.llm.bpe import OTHER_SPACE, printable_bytes
 from rankweave.llm.common import column, of_worker
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.session import materialize
 
 CAPACITY = 2048
@@ -253,7 +254,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     base = by_block.select("block", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     counts = {r.length: r.n for r in by_block.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = slots(Planner(counts, capacity).plan())
-    ranked = pieces.join(base, ["block", "length"]).withColumn("put", _assign(F.col("length"), F.col("base") + F.col("place"), table))
+    found = lookup_join(pieces, base, ["block", "length"], ["place"], fits_in_memory(base))
+    ranked = found.withColumn("put", _assign(F.col("length"), F.col("base") + F.col("place"), table))
     return ranked.select(*[c for c in pieces.columns if c not in ("block", "place")], "put.sequence_id", "put.offset")
 
 
