@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -25,7 +26,8 @@ from pyspark.sql import Column, SparkSession
 
 from rankweave.llm.common import arrow_function, of_worker
 
-CACHE = 600_000
+CACHE = 250_000
+KEPT_LENGTH = 64
 NEVER = 1 << 40
 # The public splitting pattern of byte-level BPE, and the white space outside ASCII blanks.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -81,20 +83,21 @@ class Encoder:
         special = vocabulary["special"]
         self.special = special
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.ids = {}
-        for i, token in enumerate(vocabulary["tokens"]):
-            spelled = token.decode("latin-1")
-            if token and not (i in special.values() and token.decode("utf-8", "replace") in special):
-                self.ids[spelled] = i
-        self.merge = {}
-        self.parts = {}
+        self.spelled = [token.decode("latin-1") for token in vocabulary["tokens"]]
+        self.ids = {x: i for i, x in enumerate(self.spelled) if x and not (x in special and special[x] == i)}
+        if any(chr(b) not in self.ids for b in range(256)):
+            raise ValueError("the vocabulary does not cover every byte")
+        self.merge, self.parts = {}, {}
         for rank, (left, right, made) in enumerate(vocabulary["merges"]):
-            self.merge.setdefault((left, right), rank)
+            self.merge.setdefault(left << 32 | right, rank)
             self.parts.setdefault(made, (left, right, rank))
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.automaton = ahocorasick.Automaton()
+        self.tails = _Cache(lambda token: self._edge(token, 1))
+        self.heads = _Cache(lambda token: self._edge(token, 0))
+        self.shorter = _Cache(self._shorter)
+        self.fits = _Cache(self._pair_fits)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for spelled, i in self.ids.items():
-            self.automaton.add_word(spelled, (i, len(spelled)))
+            self.automaton.add_word(spelled, i)
         self.automaton.make_automaton()
         self.pieces = regex.compile(PIECES)
         self.segments = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
@@ -102,67 +105,78 @@ class Encoder:
         self.piece_ids = _Cache(self._piece)
         self.segment_ids = _Cache(self._segment)
 
-    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+    def _edge(self, token: int, side: int) -> tuple[tuple[int, int], ...]:
         """The tokens that stood at one side of `token` as it was built, each with the rank of the merge that took it."""
         edge, taken = [(token, NEVER)], self.parts.get(token)
         while taken:
             token = taken[side]
             edge.append((token, taken[2]))
             taken = self.parts.get(token)
-        return edge
+        return tuple(edge)
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Whether `right` can follow `left`: no merge across the boundary comes before both are built.
+    def _pair_fits(self, pair: int) -> bool:
+        """Whether the second token can follow the first: no merge across their boundary comes before both are built.
 
-        Equal merges run from left to right, so one across the boundary loses to the same merge inside `left` and wins
-        against the same merge inside `right`.
+        Equal merges run from left to right, so one across the boundary loses to the same merge inside the left token
+        and wins against the same merge inside the right one.
         """
-        known = self.fits.get((left, right))
-        if known is None:
-            heads = self._edge(right, 0)
-            known = not any(
-                (rank := self.merge.get((a, b))) is not None and rank < a_taken and rank <= b_taken
-                for a, a_taken in self._edge(left, 1) for b, b_taken in heads
-            )
-            if len(self.fits) >= CACHE:
-                self.fits.clear()
-            self.fits[left, right] = known
-        return known
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        merge, heads = self.merge, self.heads[right]
+        for a, a_taken in self.tails[left]:
+            for b, b_taken in heads:
+                rank = merge.get(a << 32 | b)
+                if rank is not None and rank < a_taken and rank <= b_taken:
+                    return False
+        return True
+
+    def compatible(self, left: int, right: int) -> bool:
+        return self.fits[left << 32 | right]
+
+    def _shorter(self, token: int) -> int:
+        """The longest token that is a proper beginning of this one; -1 if there is none."""
+        spelled = self.spelled[token]
+        return next((i for n in range(len(spelled) - 1, 0, -1) if (i := self.ids.get(spelled[:n])) is not None), -1)
 
     def encode_bytes(self, piece: str) -> list[int]:
-        """Ids of one piece, given with one character per byte."""
+        """Ids of one piece, given with one character per byte.
+
+        The longest tokens from the left are the answer when all neighbours are compatible, which is tried first.
+        """
         if (whole := self.ids.get(piece)) is not None:
             return [whole]
-        size = len(piece)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for last, (token, length) in self.automaton.iter(piece):
-            found[last + 1 - length].append((token, last + 1))
+        ids = [token for _, token in self.automaton.iter_long(piece)]
+        fits, before = self.fits, ids[0] if ids else 0
+        for token in ids[1:]:
+            if not fits[before << 32 | token]:
+                return self._backtrack(piece)
+            before = token
+        return ids
+
+    def _backtrack(self, piece: str) -> list[int]:
+        size, fits, spelled, shorter, longest = len(piece), self.fits, self.spelled, self.shorter, self.automaton.iter_long
         dead = bytearray(size + 1)
         ids: list[int] = []
-        starts, left_to_try, at = [], [len(found[0])], 0
-        while at < size:
-            options, i = found[at], left_to_try[-1]
-            while i:
-                i -= 1
-                token, end = options[i]
-                if not dead[end] and (not ids or self.compatible(ids[-1], token)):
-                    left_to_try[-1] = i
-                    ids.append(token)
-                    starts.append(at)
-                    at = end
-                    left_to_try.append(len(found[at]) if at < size else 0)
+        at, token = 0, next(longest(piece, 0))[1]
+        while True:
+            while token >= 0:
+                end = at + len(spelled[token])
+                if not dead[end] and (not ids or fits[ids[-1] << 32 | token]):
                     break
+                token = shorter[token]
+            if token >= 0:
+                ids.append(token)
+                at = end
+                if at == size:
+                    return ids
+                token = next(longest(piece, at))[1]
             else:
-                if not ids:
-                    raise ValueError("the vocabulary does not cover every byte")
                 dead[at] = 1
-                left_to_try.pop()
-                ids.pop()
-                at = starts.pop()
-        return ids
+                token = ids.pop()
+                at -= len(spelled[token])
+                token = shorter[token]
 
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.encode_bytes(piece.encode().decode("latin-1")), np.int32).tobytes()
+        return array("i", self.encode_bytes(piece if piece.isascii() else piece.encode().decode("latin-1"))).tobytes()
 
     def _segment(self, segment: str) -> bytes:
         return b"".join(map(self.piece_ids.__getitem__, self.pieces.findall(segment)))
@@ -172,10 +186,15 @@ class Encoder:
             return self._segment(text)
         # A blank after another character always begins a new piece, so segments can be encoded on their own.
         segments = self.segments.findall(text)
-        self.segment_ids.trim()
-        self.piece_ids.trim()
+        self._trim()
         return b"".join(map(self.segment_ids.__getitem__, segments))
 
+    def _trim(self):
+        """Between texts, caches that have grown past their bound are emptied."""
+        for cache in (self.segment_ids, self.piece_ids, self.fits):
+            if len(cache) > CACHE:
+                cache.clear()
+
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
         if not self.special or not self.at_special.search(text):
@@ -185,7 +204,7 @@ class Encoder:
 
 
 class _Cache(dict):
-    """Results by argument; emptied between texts when it has grown past its bound."""
+    """Results by argument; long texts are not kept."""
 
     def __init__(self, function):
         super().__init__()
@@ -193,33 +212,27 @@ class _Cache(dict):
 
     def __missing__(self, key):
         value = self.function(key)
-        if len(key) <= 64:
+        if isinstance(key, int) or len(key) <= KEPT_LENGTH:
             self[key] = value
         return value
 
-    def trim(self):
-        if len(self) > CACHE:
-            self.clear()
-
 
 def share(spark: SparkSession, path: str) -> Broadcast:
     """The vocabulary on every executor; its size is that of the tokenizer file."""
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
+def _as_lists(coded: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *[len(x) // 4 for x in coded]])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32), pa.int32()))
+
+
 def encode(text: Column, vocabulary: Broadcast) -> Column:
     """array<int> of ids."""
 
     def make():
         encoder = of_worker(vocabulary, "encoder", Encoder)
-
-        def apply(texts: pa.Array) -> pa.Array:
-            coded = [encoder.encode(x or "") for x in texts.to_pylist()]
-            ends = np.cumsum([0, *[len(x) // 4 for x in coded]])
-            values = pa.array(np.frombuffer(b"".join(coded), np.int32), pa.int32())
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-
-        return apply
+        return lambda texts: _as_lists([encoder.encode(x or "") for x in texts.to_pylist()])
 
     return arrow_function(make, "array<int>")(text)
 
@@ -239,3 +252,19 @@ def decode(ids: Column, vocabulary: Broadcast) -> Column:
         return apply
 
     return arrow_function(make, "string")(ids)
+
+
+def round_trip(text: Column, vocabulary: Broadcast) -> Column:
+    """struct<ids, decoded>: both ways in one worker, so an executor holds one vocabulary per task."""
+
+    def make():
+        encoder, decoder = of_worker(vocabulary, "encoder", Encoder), of_worker(vocabulary, "decoder", Decoder)
+
+        def apply(texts: pa.Array) -> pa.Array:
+            coded = [encoder.encode(x or "") for x in texts.to_pylist()]
+            decoded = [decoder.decode(np.frombuffer(x, np.int32)).decode("utf-8", "replace") for x in coded]
+            return pa.StructArray.from_arrays([_as_lists(coded), pa.array(decoded, pa.string())], names=["ids", "decoded"])
+
+        return apply
+
+    return arrow_function(make, "struct<ids:array<int>,decoded:string>")(text)

@@ -58,8 +58,8 @@ def external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
 @register("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.share(spark, tokenizer_path("byte_bpe_50k.json"))
-    coded = table(spark, folder, "documents", "doc_id", "text").select("doc_id", bpe.encode(text(), vocabulary).alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    both = docs.select("doc_id", bpe.round_trip(text(), vocabulary).alias("both")).select("doc_id", "both.*")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
