@@ -60,7 +60,7 @@ def longest_grams(stream: bytes) -> np.ndarray:
     sign = np.maximum.accumulate(np.where(b == END, at, 0))
     order = np.minimum(at[1:] - sign[:-1] + 1, ORDER)
     window = np.zeros(len(b) - 1, np.int64)
-    for back in range(ORDER):
+    for back in range(min(ORDER, len(b))):
         window[max(back - 1, 0) :] |= b[max(1 - back, 0) : len(b) - back] << (8 * back)
     return (window & (MARK[order] - 1)) | MARK[order]
 
