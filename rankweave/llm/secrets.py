@@ -89,7 +89,8 @@ def name_score(name: str) -> int:
 
 
 def literal_score(value: str) -> int:
-    """How much a literal looks like a secret; negative for placeholders and prose."""
+    """How much a literal looks like a secret; negative for placeholders, masks and prose."""
+    value = value.replace(MASK, "")
     bare = value.strip("<>[]{}$%*.x-_ ").lower()
     if len(value) < LEAST_LITERAL or bare in PLACEHOLDERS or len(set(bare)) < 4 or re.search(r"\s|\$\{|\{\{|<[a-z]", value):
         return -9
