@@ -101,8 +101,9 @@ class TextStats:
         return _covered(np.unique(np.concatenate([left, right])), self.n_words)
 
     def _repeats_by_content(self, windows: np.ndarray) -> int:
-        counts = Counter(map(bytes, windows.copy()))
-        return _covered(np.array([i for i, w in enumerate(windows.copy()) if counts[bytes(w)] > 1]), self.n_words)
+        runs = [w.tobytes() for w in windows]
+        counts = Counter(runs)
+        return _covered(np.array([i for i, w in enumerate(runs) if counts[w] > 1], np.int64), self.n_words)
 
     @cached_property
     def word_entropy(self) -> float:
