@@ -12,10 +12,13 @@ from rankweave.operators import cooccurrence, index, search
 from rankweave.operators.index import field_tokens
 from rankweave.operators.ordering import top_k
 from rankweave.operators.search import query_terms
-from rankweave.plans.workbench import Workbench
+from rankweave.plans.workbench import CANDIDATE_SHARE, Workbench
 from rankweave.session import new_path
 from rankweave.sources import tables
 
+# Texts are near a document that holds at least one in so many of their terms.
+NEAR_SHARE = 5
+
 
 @register("tokens", "docid:s pos:i term:s", """
     SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks WHERE field = 'body'""", "toks")
@@ -162,22 +165,23 @@ def stemmed_term_stats(w: Workbench):
 
 
 @register("bm25_scores", "qid:s docid:s term:s score:d", """
-    SELECT qid, docid, term, ln(n_docs / df) * 2.2 * tf / (1.2 * (0.25 + 0.75 * dl / avg_len) + tf) AS score
-    FROM matches""", "matches")
+    SELECT m.qid, m.docid, term, ln(n_docs / df) * 2.2 * tf / (1.2 * (0.25 + 0.75 * dl / avg_len) + tf) AS score
+    FROM matches m JOIN candidates c ON c.qid = m.qid AND c.docid = m.docid""", "matches", "candidates")
 def bm25_scores(w: Workbench):
     totals = w.index.totals()["body"]
     stats = scoring.Stats(
         F.lit(float(totals.n_docs)), F.col("df"), F.col("tf"), F.col("dl"), F.lit(totals.avg_len)
     )
-    return search.matches(w.queries, w.index).select("qid", "docid", "term", scoring.okapi(stats).alias("score"))
+    found = search.run_matches(w.queries, w.index, w.candidates)
+    return found.select("qid", "docid", "term", scoring.okapi(stats).alias("score"))
 
 
 @register("search_run", "run_id:s qid:s docid:s rank:i score:d", """
     SELECT 'okapi' AS run_id, qid, docid, rank, score FROM (
         SELECT qid, docid, okapi AS score, row_number() OVER (PARTITION BY qid ORDER BY okapi DESC, docid DESC) AS rank
-        FROM scored) WHERE rank <= 1000""", "scored")
+        FROM scored WHERE has_fifth) WHERE rank <= 1000""", "scored")
 def search_run(w: Workbench):
-    return search.search(w.queries, w.index, mode="or")
+    return search.search(w.queries, w.index, mode=CANDIDATE_SHARE)
 
 
 @register("matched_terms", "qid:s docid:s terms:s", """
@@ -189,27 +193,27 @@ def matched_terms(w: Workbench):
 
 
 @register("scorer_compare", "run_id:s qid:s docid:s rank:i score:d", f"""
-    SELECT 'okapi' AS run_id, * FROM ({_TOP.format(name="okapi", where="true")})
-    UNION ALL SELECT 'bm25', * FROM ({_TOP.format(name="bm25", where="true")})""", "scored")
+    SELECT 'okapi' AS run_id, * FROM ({_TOP.format(name="okapi", where="has_fifth")})
+    UNION ALL SELECT 'bm25', * FROM ({_TOP.format(name="bm25", where="has_fifth")})""", "scored")
 def scorer_compare(w: Workbench):
     return search.compare_scorers(
-        w.queries, w.index, {"okapi": scoring.okapi, "bm25": scoring.smoothed}, k=10, mode="or")
+        w.queries, w.index, {"okapi": scoring.okapi, "bm25": scoring.smoothed}, k=10, mode=CANDIDATE_SHARE)
 
 
 def _near_sql(asked: str, collection: str) -> str:
-    """The five documents of a collection nearest to each asked text, any term matching."""
+    """The five documents of a collection nearest to each asked text, among those with a fifth of its terms."""
     return f"""
     SELECT qid, docid, rank, score FROM (
         SELECT qid, docid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid DESC) AS rank
         FROM (SELECT a.qid, p.docid,
                      round(sum(ln(n.n / s.df) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / n.avg_len))), 6) + 0.0
                          AS score
-              FROM (SELECT DISTINCT qid, unnest(toks) AS term FROM {asked}) a
+              FROM (SELECT DISTINCT qid, unnest(toks) AS term, len(list_distinct(toks)) AS n_terms FROM {asked}) a
               JOIN {collection}_p p ON p.term = a.term
               JOIN (SELECT term, count(*) AS df FROM {collection}_p GROUP BY term) s ON s.term = a.term,
                    (SELECT (SELECT count(*) FROM {collection}) AS n,
                            sum(tf) / (SELECT count(*) FROM {collection}) AS avg_len FROM {collection}_p) n
-              GROUP BY a.qid, p.docid))
+              GROUP BY a.qid, p.docid HAVING {NEAR_SHARE} * count(*) >= max(a.n_terms)))
     WHERE rank <= 5"""
 
 
@@ -235,14 +239,14 @@ _TURNS = {
 def query_to_query(w: Workbench):
     pairs = tables.passage_pairs(w.spark, w.folder)
     asked = search.judged_queries(tables.passage_queries(w.spark, w.folder), pairs)
-    return search.search(asked, search.query_index(w.queries), k=5, mode="or")
+    return search.search(asked, search.query_index(w.queries), k=5, mode=NEAR_SHARE)
 
 
 @register("passage_to_doc", "qid:s docid:s rank:i score:d", "SELECT * FROM near_docs", "near_docs", extra=_TURNS)
 def passage_to_doc(w: Workbench):
     pairs = tables.passage_pairs(w.spark, w.folder).select("pid")
     shown = tables.passages(w.spark, w.folder).join(pairs, "pid", "left_semi")
-    return search.search(shown.withColumnRenamed("pid", "qid"), w.index, k=5, mode="or")
+    return search.search(shown.withColumnRenamed("pid", "qid"), w.index, k=5, mode=NEAR_SHARE)
 
 
 @register("judgment_transfer", "qid:s docid:s rel:i", """
@@ -251,7 +255,7 @@ def passage_to_doc(w: Workbench):
 def judgment_transfer(w: Workbench):
     return search.transfer_judgments(
         tables.passage_pairs(w.spark, w.folder), tables.passage_queries(w.spark, w.folder),
-        tables.passages(w.spark, w.folder), search.query_index(w.queries), w.index, mode="or",
+        tables.passages(w.spark, w.folder), search.query_index(w.queries), w.index, mode=NEAR_SHARE,
     )
 
 

@@ -138,18 +138,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM qterms q JOIN postings p ON p.term = q.term AND p.field = 'body'
         JOIN term_stats s ON s.term = q.term AND s.field = 'body' JOIN totals t ON t.field = 'body'"""),
     "scored": (("matches",), """
-        SELECT qid, docid, count(*) = max(n_terms) AS has_all,
+        SELECT qid, docid, count(*) = max(n_terms) AS has_all, 5 * count(*) >= max(n_terms) AS has_fifth,
                round(sum(ln(n_docs / df) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avg_len))), 6) + 0.0 AS okapi,
                round(sum((ln(n_docs / (df + 1)) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avg_len))), 6) + 0.0
                    AS bm25
         FROM matches GROUP BY qid, docid"""),
     "candidates": (("scored",), """
         SELECT * FROM (SELECT 'okapi' AS run_id, qid, docid, okapi AS score,
-                              row_number() OVER (PARTITION BY qid ORDER BY okapi DESC, docid DESC) AS rank FROM scored)
+                              row_number() OVER (PARTITION BY qid ORDER BY okapi DESC, docid DESC) AS rank
+                       FROM scored WHERE has_fifth)
         WHERE rank <= 100"""),
     "other_run": (("scored",), """
         SELECT * FROM (SELECT 'bm25' AS run_id, qid, docid, bm25 AS score,
-                              row_number() OVER (PARTITION BY qid ORDER BY bm25 DESC, docid DESC) AS rank FROM scored)
+                              row_number() OVER (PARTITION BY qid ORDER BY bm25 DESC, docid DESC) AS rank
+                       FROM scored WHERE has_fifth)
         WHERE rank <= 100"""),
     "qrels": (("qterms", "postings"), """
         SELECT o.qid, o.docid, CASE WHEN l.quality = 0 OR l.toxic = 1 THEN 0 WHEN c = n THEN 3

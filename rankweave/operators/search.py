@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankweave.functions import scoring, text
 from rankweave.operators.index import Index, build_index
 from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import top_k
+from rankweave.session import materialize
 
 Scorer = Callable[[scoring.Stats], Column]
 
@@ -32,34 +34,95 @@ def query_terms(queries: DataFrame, stem: bool = False) -> DataFrame:
     )
 
 
-def matches(queries: DataFrame, index: Index, field: str = "body") -> DataFrame:
-    """Every (query term, posting) match: qid, docid, term, tf, dl, df, qtf, q_len, n_terms."""
-    terms = query_terms(queries, index.stem)
-    small = fits_in_memory(terms)
+def wanted_share(mode: str | int) -> int | None:
+    """The d of "at least one in d query terms": 1 for `and`, None for `or`, else the number given."""
+    known = {"and": 1, "or": None}
+    if isinstance(mode, int) and mode > 0:
+        return mode
+    if mode not in known:
+        raise ValueError(f"mode must be 'and', 'or' or a positive number, not {mode!r}")
+    return known[mode]
+
+
+def _weighted(terms: DataFrame, small: bool, index: Index, field: str) -> DataFrame:
+    """`terms` that occur in the field, with their df."""
     stats = index.term_stats(terms.select("term").distinct(), small).filter(F.col("field") == field)
     stats = stats.select("term", "df")
-    if small:  # streaming the statistics keeps the rows of a term together in the table broadcast below
-        weighted = lookup_join(stats, terms, ["term"], ["term"], small)
-    else:
-        weighted = lookup_join(terms, stats, ["term"], ["qid"], small)
-    return lookup_join(index.field(field), weighted, ["term"], ["docid"], small)
+    if small:  # streaming the statistics keeps the rows of a term together in a table that is broadcast later
+        return lookup_join(stats, terms, ["term"], ["term"], small)
+    return lookup_join(terms, stats, ["term"], ["qid"], small)
+
+
+def anchors(weighted: DataFrame, one_in: int) -> DataFrame:
+    """(qid, term): the rarest terms of each query, one of which is in every document that can match.
+
+    A document with m of n terms lacks n - m of them, so it holds one of any n - m + 1. Terms that occur nowhere
+    are the rarest of all and need no look-up; a query that is left without anchors matches nothing.
+    """
+    whole = W.partitionBy("qid")  # as many rows as a query has terms
+    by_rarity = whole.orderBy("df", "term")
+    least = F.ceil(F.col("n_terms") / one_in)
+    placed = weighted.select(
+        "qid", "term", "n_terms", F.count(F.lit(1)).over(whole).alias("_known"), F.row_number().over(by_rarity).alias("_pos"))
+    return placed.filter(F.col("_pos") <= F.col("_known") - least + 1).select("qid", "term")
+
+
+def pair_matches(pairs: DataFrame, weighted: DataFrame, small: bool, index: Index, field: str = "body") -> DataFrame:
+    """The matches of the given (qid, docid) pairs only; a pair's document is looked up, not its terms' postings."""
+    few = fits_in_memory(pairs)
+    vocabulary = weighted.select("term").distinct()
+    near = lookup_join(index.field(field), vocabulary, ["term"], ["docid"], small, "left_semi")
+    held = near.join(F.broadcast(pairs) if few else pairs, "docid")  # a document has a bounded number of postings
+    return lookup_join(held, weighted, ["qid", "term"], ["docid"], small)
+
+
+def matches(queries: DataFrame, index: Index, field: str = "body", mode: str | int = "or",
+            within: DataFrame | None = None) -> DataFrame:
+    """(query term, posting) matches: qid, docid, term, tf, dl, df, qtf, q_len, n_terms.
+
+    With a mode that wants more than one term, documents are found by the rarest terms of a query and looked up
+    for the others, so frequent terms are never multiplied with all their postings. `within(docid)` keeps only
+    those documents.
+    """
+    one_in = wanted_share(mode)
+    terms = materialize(query_terms(queries, index.stem), "query-terms")
+    small = fits_in_memory(terms)
+    weighted = _weighted(terms, small, index, field)
+    postings = index.field(field)
+    if within is not None:
+        ids = within.select("docid").distinct()
+        postings = lookup_join(postings, ids, ["docid"], ["term"], fits_in_memory(ids), "left_semi")
+    if one_in is None:
+        return lookup_join(postings, weighted, ["term"], ["docid"], small)
+    weighted = materialize(weighted, "weighted-terms")
+    found = lookup_join(postings.select("docid", "term"), anchors(weighted, one_in), ["term"], ["docid"], small)
+    pairs = materialize(found.select("qid", "docid").distinct(), "anchored")
+    return pair_matches(pairs, weighted, small, index, field)
+
+
+def run_matches(queries: DataFrame, index: Index, run: DataFrame, field: str = "body") -> DataFrame:
+    """The matches of a run's (qid, docid) pairs."""
+    terms = materialize(query_terms(queries, index.stem), "query-terms")
+    small = fits_in_memory(terms)
+    weighted = materialize(_weighted(terms, small, index, field), "weighted-terms")
+    return pair_matches(run.select("qid", "docid").distinct(), weighted, small, index, field)
 
 
-def search(queries: DataFrame, index: Index, scorer: Scorer = scoring.okapi, k: int = 1000, mode: str = "and",
+def search(queries: DataFrame, index: Index, scorer: Scorer = scoring.okapi, k: int = 1000, mode: str | int = "and",
            field: str = "body", run_id: str = "okapi") -> DataFrame:
     """The k best documents of each query as a run (run_id, qid, docid, rank, score).
 
-    `and` keeps documents that hold every query term, `or` those that hold at least one.
+    `and` keeps documents that hold every query term, `or` those that hold at least one, a number d those that hold
+    at least one in d of the terms.
     """
-    scored = score_matches(matches(queries, index, field), index, {run_id: scorer}, mode, field)
+    scored = score_matches(matches(queries, index, field, mode), index, {run_id: scorer}, mode, field)
     return top_k(scored, k).select(*RUN_COLUMNS)
 
 
-def score_matches(matched: DataFrame, index: Index, scorers: dict[str, Scorer], mode: str = "and",
+def score_matches(matched: DataFrame, index: Index, scorers: dict[str, Scorer], mode: str | int = "and",
                   field: str = "body") -> DataFrame:
     """(run_id, qid, docid, score), one row per scorer, all from one aggregation over the matched terms."""
-    if mode not in ("and", "or"):
-        raise ValueError(f"mode must be 'and' or 'or', not {mode!r}")
+    one_in = wanted_share(mode)
     totals = index.totals()[field]
     stats = scoring.Stats(
         F.lit(float(totals.n_docs)), F.col("df"), F.col("tf"), F.col("dl"), F.lit(totals.avg_len)
@@ -69,8 +132,8 @@ def score_matches(matched: DataFrame, index: Index, scorers: dict[str, Scorer],
         F.max("n_terms").alias("_wanted"),
         *[scoring.stable(F.sum(scorer(stats))).alias(f"_s_{run_id}") for run_id, scorer in scorers.items()],
     )
-    if mode == "and":
-        scored = scored.filter(F.col("_matched") == F.col("_wanted"))
+    if one_in is not None:
+        scored = scored.filter(one_in * F.col("_matched") >= F.col("_wanted"))
     if len(scorers) == 1:
         run_id = next(iter(scorers))
         return scored.select(F.lit(run_id).alias("run_id"), "qid", "docid", F.col(f"_s_{run_id}").alias("score"))
@@ -84,16 +147,16 @@ def score_matches(matched: DataFrame, index: Index, scorers: dict[str, Scorer],
 
 def matched_terms(queries: DataFrame, index: Index, run: DataFrame, field: str = "body") -> DataFrame:
     """(qid, docid, terms): the query terms found in each retrieved document, in alphabetical order."""
-    found = matches(queries, index, field).select("qid", "docid", "term")
-    return found.join(run.select("qid", "docid"), ["qid", "docid"]).groupBy("qid", "docid").agg(
+    found = run_matches(queries, index, run, field).select("qid", "docid", "term")
+    return found.groupBy("qid", "docid").agg(
         F.array_join(F.array_sort(F.collect_set("term")), " ").alias("terms")
     )
 
 
-def compare_scorers(queries: DataFrame, index: Index, scorers: dict[str, Scorer], k: int = 10, mode: str = "and",
+def compare_scorers(queries: DataFrame, index: Index, scorers: dict[str, Scorer], k: int = 10, mode: str | int = "and",
                     field: str = "body") -> DataFrame:
     """The runs of several scorers on the same matches, tagged by run_id."""
-    scored = score_matches(matches(queries, index, field), index, scorers, mode, field)
+    scored = score_matches(matches(queries, index, field, mode), index, scorers, mode, field)
     return top_k(scored, k, group=["run_id", "qid"]).select(*RUN_COLUMNS)
 
 
@@ -108,7 +171,7 @@ def judged_queries(queries: DataFrame, qrels: DataFrame) -> DataFrame:
 
 
 def transfer_judgments(pairs: DataFrame, pair_queries: DataFrame, passages: DataFrame, queries_index: Index,
-                       docs_index: Index, k: int = 5, mode: str = "and",
+                       docs_index: Index, k: int = 5, mode: str | int = "and",
                        scorer: Scorer = scoring.okapi) -> DataFrame:
     """Carry (qid, pid, rel) judgments of passages over to documents: (qid, docid, rel).
 

@@ -20,6 +20,8 @@ from rankweave.session import materialize
 from rankweave.sources import tables
 
 DEPTH = sampling.CANDIDATE_DEPTH
+# A candidate holds at least one in so many of the query's terms.
+CANDIDATE_SHARE = 5
 _OPEN: dict[tuple[str, str], Workbench] = {}
 
 
@@ -64,13 +66,13 @@ class Workbench:
 
     @property
     def candidates(self) -> DataFrame:
-        """The 100 best documents of each query, any term matching."""
-        return self.stage("candidates", lambda: search(self.queries, self.index, k=DEPTH, mode="or"))
+        """The 100 best documents of each query among those with a fifth of its terms."""
+        return self.stage("candidates", lambda: search(self.queries, self.index, k=DEPTH, mode=CANDIDATE_SHARE))
 
     @property
     def other_run(self) -> DataFrame:
         return self.stage("other-run", lambda: search(
-            self.queries, self.index, scoring.smoothed, k=DEPTH, mode="or", run_id="bm25"))
+            self.queries, self.index, scoring.smoothed, k=DEPTH, mode=CANDIDATE_SHARE, run_id="bm25"))
 
     @property
     def qrels(self) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.operators.index import Index
-from rankweave.operators.joins import fits_in_memory, lookup_join
-from rankweave.operators.search import query_terms
+from rankweave.operators.search import matches
+
+# A document is judged for a query when it holds at least one in so many of the query's terms.
+JUDGED_SHARE = 5
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,12 +51,11 @@ def judgments(spark: SparkSession, folder: str, index: Index) -> DataFrame:
 
     Poor or toxic documents get grade 0, others 1, from two fifths of the terms on 2, with all terms 3.
     """
-    terms = query_terms(queries(spark, folder), index.stem)
-    found = lookup_join(index.field("body"), terms, ["term"], ["docid"], fits_in_memory(terms))
-    shared = found.groupBy("qid", "docid").agg(F.count(F.lit(1)).alias("c"), F.max("n_terms").alias("n"))
     labels = table(spark, folder, "labels").select(
         F.col("doc_id").cast("string").alias("docid"), "quality", "toxic"
     )
+    found = matches(queries(spark, folder), index, "body", JUDGED_SHARE, within=labels)
+    shared = found.groupBy("qid", "docid").agg(F.count(F.lit(1)).alias("c"), F.max("n_terms").alias("n"))
     c, n = F.col("c"), F.col("n")
     rel = (
         F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 0)
@@ -62,7 +63,7 @@ def judgments(spark: SparkSession, folder: str, index: Index) -> DataFrame:
         .when(5 * c >= 2 * n, 2)
         .otherwise(1)
     )
-    return shared.filter(5 * c >= n).join(labels, "docid").select("qid", "docid", rel.alias("rel"))
+    return shared.filter(JUDGED_SHARE * c >= n).join(labels, "docid").select("qid", "docid", rel.alias("rel"))
 
 
 def _turn_id(turn: Column) -> Column:
