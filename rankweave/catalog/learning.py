@@ -106,7 +106,7 @@ def adarank_round(w: Workbench):
 
 @register("adarank_rank", "run_id:s qid:s docid:s rank:i score:d")
 def adarank_rank(w: Workbench):
-    alpha = adarank.fit(labelled_features(w), rounds=5, max_depth=DEPTH)
+    alpha = adarank.fit(labelled_features(w), max_depth=DEPTH)
     return rerank.rerank(rerank.linear_score(w.features, alpha), "adarank", max_depth=DEPTH)
 
 
@@ -188,8 +188,7 @@ def query_clusters(w: Workbench):
 
 @register("k_sweep", "k:i calinski_harabasz:d davies_bouldin:d silhouette:d")
 def k_sweep(w: Workbench):
-    points = tables.points(w.spark, w.folder).drop("cluster")
-    return clustering.k_sweep(points, "id", range(10, 60, 10))
+    return clustering.k_sweep(query_vectors(w).withColumnRenamed("query_features", "point"), "qid")
 
 
 @register("calinski_harabasz", "calinski_harabasz:d", """

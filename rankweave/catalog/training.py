@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from rankweave.catalog.registry import register
 from rankweave.operators import sampling
 from rankweave.operators.ordering import exact_median, positions
+from rankweave.plans import study
 from rankweave.plans.workbench import Workbench
 from rankweave.sources.tables import table
 
 SEED = 17
-PAIRS = 2000
-GRADED = 25_000
-CORPUS_DRAWS = 5000
+PAIRS = study.NUM_PAIRS
+GRADED = study.NUM_GRADED
+CORPUS_DRAWS = 1_000_000
 LIST_PAGE = 1000
 
 
@@ -176,10 +177,11 @@ def best_grades(w: Workbench):
     return sampling.best_grades(w.qrels.unionByName(w.candidates.select("qid", "docid", F.lit(1).alias("rel"))))
 
 
-@register("pmi_corpus", "draw:i docid:s body:s", f"""
-    SELECT d.draw, c.docid, c.body FROM (
-        SELECT draw, {_draw_int(SEED, "(SELECT count(DISTINCT docid) FROM candidates)", "draw")} + 1 AS pos
-        FROM (SELECT unnest(range({CORPUS_DRAWS})) AS draw)) d
+@register("pmi_corpus", "docid:s copies:i body:s", f"""
+    SELECT c.docid, d.copies, c.body FROM (
+        SELECT pos, count(*) AS copies FROM (
+            SELECT {_draw_int(SEED, "(SELECT count(DISTINCT docid) FROM candidates)", "draw")} + 1 AS pos
+            FROM (SELECT unnest(range({CORPUS_DRAWS})) AS draw)) GROUP BY pos) d
     JOIN (SELECT docid, row_number() OVER (ORDER BY docid) AS pos FROM (SELECT DISTINCT docid FROM candidates)) s
         ON s.pos = d.pos
     JOIN docs c ON c.docid = s.docid WHERE length(rtrim(c.body)) > 0""", "candidates", "docs")

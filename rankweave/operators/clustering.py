@@ -11,9 +11,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.models import with_vector
 from rankweave.operators.ordering import exact_median
 from rankweave.operators.sampling import split
+from rankweave.session import materialize
 
 
 def _sum(values: Column) -> Column:
@@ -70,28 +72,22 @@ def calinski_harabasz(points: DataFrame) -> DataFrame:
 
 
 def davies_bouldin(points: DataFrame) -> DataFrame:
-    """(davies_bouldin): mean over clusters of the worst ratio of spreads to centre distance."""
-    centres = centroids(points).select("cluster", "centre")
-    gaps = F.zip_with("point", "centre", lambda x, c: (x - c) * (x - c))
-    spreads = (
-        points.select("cluster", F.col("point").cast("array<double>").alias("point"))
-        .join(centres, "cluster")
-        .groupBy("cluster", "centre")
-        .agg(F.avg(F.sqrt(_sum(gaps))).alias("spread"))
-    )
-    known = spreads.collect()  # one row per cluster
-    others = F.array(*[
-        F.struct(F.lit(row["cluster"]).alias("cluster"), F.lit(row["centre"]).alias("centre"),
-                 F.lit(row["spread"]).alias("spread"))
-        for row in known
-    ])
-
-    def ratio(other: Column) -> Column:
-        apart = F.sqrt(_sum(F.zip_with("centre", other["centre"], lambda x, c: (x - c) * (x - c))))
-        return F.when(other["cluster"] != F.col("cluster"), (F.col("spread") + other["spread"]) / apart)
+    """(davies_bouldin): mean over clusters of the worst ratio of spreads to centre distance.
 
-    worst = F.array_max(F.transform(others, ratio))
-    return spreads.select(worst.alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+    Centres are looked up by every point through a measured broadcast or with salt, and compared with each other:
+    clusters x clusters rows, whatever the number of points.
+    """
+    centres = materialize(centroids(points).select("cluster", "centre"), "centres")
+    gaps = F.zip_with("point", "centre", lambda x, c: (x - c) * (x - c))
+    placed = points.select("cluster", F.col("point").cast("array<double>").alias("point"))
+    spreads = lookup_join(placed, centres, ["cluster"], ["point"], fits_in_memory(centres)).groupBy("cluster", "centre").agg(
+        F.avg(F.sqrt(_sum(gaps))).alias("spread"))
+    known = materialize(spreads, "spreads")
+    other = known.select(*[F.col(c).alias(f"other_{c}") for c in known.columns])
+    apart = F.sqrt(_sum(F.zip_with("centre", "other_centre", lambda x, c: (x - c) * (x - c))))
+    ratios = known.join(other, F.col("cluster") != F.col("other_cluster")).select(
+        "cluster", F.try_divide(F.col("spread") + F.col("other_spread"), apart).alias("ratio"))
+    return ratios.groupBy("cluster").agg(F.max("ratio").alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def silhouette(points: DataFrame) -> float:
@@ -102,16 +98,21 @@ def silhouette(points: DataFrame) -> float:
 
 def k_sweep(points: DataFrame, key: str, ks: Iterable[int] = range(10, 300, 10), test_share: float = 0.25,
             seed: int = 7) -> DataFrame:
-    """(k, calinski_harabasz, davies_bouldin, silhouette) on held-out points, a new split for each k."""
+    """(k, calinski_harabasz, davies_bouldin, silhouette) on held-out points, a new split for each k.
+
+    Values are null where the held-out points lie in one cluster or each in its own, for which they are not defined.
+    """
+    schema = "k int, calinski_harabasz double, davies_bouldin double, silhouette double"
     rows = []
     for k in ks:
         train, test = split(points, key, test_share, seed + k)
-        assigned = kmeans_assign(kmeans_fit(train, k, seed), test).persist()
+        assigned = materialize(kmeans_assign(kmeans_fit(train, k, seed), test), "swept")
+        used, n = assigned.agg(F.count_distinct("cluster"), F.count(F.lit(1))).first()
+        if not 1 < used < n:
+            rows.append((k, None, None, None))
+            continue
         rows.append((
             k, float(calinski_harabasz(assigned).first()[0]), float(davies_bouldin(assigned).first()[0]),
             float(silhouette(assigned)),
         ))
-        assigned.unpersist()
-    return points.sparkSession.createDataFrame(
-        rows, "k int, calinski_harabasz double, davies_bouldin double, silhouette double"
-    )
+    return points.sparkSession.createDataFrame(rows, schema)

@@ -30,8 +30,8 @@ from rankweave.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed value: the solvers stop when a step improves by less than this share.
-TOLERANCE = 1e-3
+# Fixed value: the limit of solver steps. A fit that reaches its limit has not converged and raises an error.
+MOST_STEPS = 100_000
 
 
 def fourier_map(gamma: float, components: int, seed: int):
@@ -79,18 +79,25 @@ def _pipeline(learner, kernel: bool, components: int, seed: int) -> Pipeline:
     return Pipeline(stages=[*stages, learner])
 
 
+def _converged(model: PipelineModel, steps: int, most: int) -> PipelineModel:
+    if steps >= most:
+        raise RuntimeError(f"the solver stopped at its limit of {most} steps before it converged")
+    return model
+
+
 def fit_classifier(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
-                   max_iter: int = 100, reg: float = 1e-4) -> PipelineModel:
+                   max_iter: int = MOST_STEPS, reg: float = 1e-4) -> PipelineModel:
     """Margin classifier on rows with columns `features` (array) and `label` (0 or 1)."""
-    learner = LinearSVC(maxIter=max_iter, regParam=reg, tol=TOLERANCE)
-    return _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
+    model = _pipeline(LinearSVC(maxIter=max_iter, regParam=reg), kernel, components, seed).fit(with_vector(rows))
+    return _converged(model, model.stages[-1].summary().totalIterations, max_iter)
 
 
 def fit_regressor(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
-                  max_iter: int = 100, reg: float = 1e-3) -> PipelineModel:
+                  max_iter: int = MOST_STEPS, reg: float = 1e-3) -> PipelineModel:
     """Robust (Huber) regression on rows with columns `features` (array) and `label`."""
-    learner = LinearRegression(loss="huber", maxIter=max_iter, regParam=reg, tol=TOLERANCE)
-    return _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
+    learner = LinearRegression(loss="huber", maxIter=max_iter, regParam=reg)
+    model = _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
+    return _converged(model, model.stages[-1].summary.totalIterations, max_iter)
 
 
 def score(model: PipelineModel, features: DataFrame, kind: str = "value") -> DataFrame:
@@ -112,16 +119,12 @@ def load_model(path: str) -> PipelineModel:
 def regression_report(predicted: DataFrame) -> DataFrame:
     """(mse, r2, median_ae, exact) from columns `prediction` and `label`."""
     error = F.col("prediction") - F.col("label")
-    medians = exact_median(predicted.select(F.lit(0).alias("g"), F.abs(error).alias("ae")), ["g"], "ae")
-    sums = predicted.agg(
-        F.avg(error * error).alias("mse"),
-        F.var_pop("label").alias("_variance"),
+    median = exact_median(predicted.select(F.abs(error).alias("ae")), [], "ae").first()[0]
+    r2 = F.when(F.var_pop("label") > 0, 1 - F.avg(error * error) / F.var_pop("label")).otherwise(F.lit(0.0))
+    return predicted.agg(
+        F.avg(error * error).alias("mse"), r2.alias("r2"), F.lit(median).cast("double").alias("median_ae"),
         F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("exact"),
     )
-    r2 = F.when(F.col("_variance") > 0, 1 - F.col("mse") / F.col("_variance")).otherwise(F.lit(0.0))
-    return sums.withColumn("g", F.lit(0)).join(medians, "g").select(
-        "mse", r2.alias("r2"), F.col("median").alias("median_ae"), "exact"
-    )
 
 
 def accuracy(predicted: DataFrame) -> DataFrame:
@@ -146,7 +149,7 @@ def assign_clusters(model: KMeansModel, rows: DataFrame, column: str = "query_fe
 
 @dataclass
 class ClusterRanker:
-    """A regressor per query cluster; clusters with few rows share the one fitted on all rows."""
+    """A regressor per query cluster; a cluster without training rows uses the one fitted on all rows."""
 
     clusters: KMeansModel
     shared: PipelineModel
@@ -154,12 +157,17 @@ class ClusterRanker:
 
     def score(self, features: DataFrame, query_rows: DataFrame) -> DataFrame:
         """(qid, docid, score) of `features(qid, docid, features)`, each row by the model of its query's cluster."""
-        routed = features.join(assign_clusters(self.clusters, query_rows).select("qid", "cluster"), "qid")
-        out = score(self.shared, routed.filter(~F.col("cluster").isin(*self.own) if self.own else F.lit(True)))
+        routed = materialize(features.join(assign_clusters(self.clusters, query_rows).select("qid", "cluster"), "qid"), "routed")
+        out = score(self.shared, routed.filter(F.col("cluster").isin(*self.unfitted)) if self.unfitted else routed.limit(0))
         for cluster, model in self.own.items():
             out = out.unionByName(score(model, routed.filter(F.col("cluster") == cluster)))
         return out
 
+    @property
+    def unfitted(self) -> list[int]:
+        """The clusters that had no training row."""
+        return [c for c in range(len(self.clusters.clusterCenters())) if c not in self.own]
+
     def save(self, path: str) -> None:
         self.clusters.write().overwrite().save(f"{path}/clusters")
         save_model(self.shared, f"{path}/shared")
@@ -176,16 +184,15 @@ class ClusterRanker:
         return cls(KMeansModel.load(f"{path}/clusters"), load_model(f"{path}/shared"), own)
 
 
-def fit_cluster_ranker(rows: DataFrame, query_rows: DataFrame, k: int, min_rows: int = 10, seed: int = 7,
-                       **options) -> ClusterRanker:
-    """Fit on `rows(qid, features, label)` and `query_rows(qid, query_features)`, for a small number k of clusters."""
+def fit_cluster_ranker(rows: DataFrame, query_rows: DataFrame, k: int, seed: int = 7, **options) -> ClusterRanker:
+    """Fit on `rows(qid, features, label)` and `query_rows(qid, query_features)`, for a small number k of clusters.
+
+    Every cluster that has a training row gets its own regressor.
+    """
     clusters = fit_query_clusters(query_rows.join(rows.select("qid"), "qid", "left_semi"), k, seed)
     routed = materialize(
         rows.join(assign_clusters(clusters, query_rows).select("qid", "cluster"), "qid"), "cluster-rows"
     )
-    sizes = routed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows).collect()
-    own = {
-        row["cluster"]: fit_regressor(routed.filter(F.col("cluster") == row["cluster"]), seed=seed, **options)
-        for row in sizes
-    }
+    used = sorted(row["cluster"] for row in routed.select("cluster").distinct().collect())  # at most k
+    own = {c: fit_regressor(routed.filter(F.col("cluster") == c), seed=seed, **options) for c in used}
     return ClusterRanker(clusters, fit_regressor(routed, seed=seed, **options), own)

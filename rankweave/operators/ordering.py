@@ -12,8 +12,9 @@ GROUP_LIMIT = 1000
 
 
 def positions(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, Column] | None = None,
-              bounded: bool = False) -> DataFrame:
-    """Add `pos` (1-based place in its group) and running sums up to and including the row.
+              bounded: bool = False, size: str | None = None) -> DataFrame:
+    """Add `pos` (1-based place in its group) and running sums up to and including the row; `size` names a column for
+    the number of rows of the group.
 
     With `bounded=True` the caller vouches for a fixed largest group (such as a run cut at depth k) and one window
     is enough. Otherwise a group may be larger than a task should hold: rows are range-partitioned by
@@ -33,7 +34,8 @@ def positions(df: DataFrame, group: list[str], order: list[Column], sums: dict[s
         ).drop(*[f"_v_{name}" for name in sums])
 
     if bounded:
-        return local(rows, group)
+        whole = [F.count(F.lit(1)).over(W.partitionBy(*group)).alias(size)] if size else []
+        return local(rows.select("*", *whole), group)
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(name) for name in group]
@@ -49,11 +51,13 @@ def positions(df: DataFrame, group: list[str], order: list[Column], sums: dict[s
         "_block",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0.0)).alias(f"_b_{name}") for name in sums],
+        *([F.sum("_n").over(W.partitionBy(*group)).alias(size)] if size else []),
     )
     joined = local(blocks, [*group, "_block"]).join(shifts, [*group, "_block"])
     return joined.select(
         *df.columns,
         (F.col("pos") + F.col("_before")).alias("pos"),
+        *([size] if size else []),
         *[(F.col(name) + F.col(f"_b_{name}")).alias(name) for name in sums],
     )
 
@@ -72,8 +76,8 @@ def top_k(scored: DataFrame, k: int, group: list[str] | None = None, order: list
 
 def exact_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """(group, median) by position instead of holding a group's values in one task."""
-    placed = positions(df.select(*group, value), group, [F.asc(value)])
-    middle = placed.join(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), group).filter(
-        (F.col("pos") == F.floor((F.col("_n") + 1) / 2)) | (F.col("pos") == F.floor(F.col("_n") / 2) + 1)
+    placed = positions(df.select(*group, value), group, [F.asc(value)], size="_size")
+    middle = placed.filter(
+        (F.col("pos") == F.floor((F.col("_size") + 1) / 2)) | (F.col("pos") == F.floor(F.col("_size") / 2) + 1)
     )
     return middle.groupBy(*group).agg(F.avg(value).alias("median"))

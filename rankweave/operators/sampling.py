@@ -161,7 +161,15 @@ def training_rows(sampled: DataFrame, graded: DataFrame | None = None) -> DataFr
 
 
 def sampled_corpus(candidates: DataFrame, docs: DataFrame, k: int, seed: int) -> DataFrame:
-    """(draw, docid, body): k draws with replacement from the candidate documents, empty bodies left out."""
-    drawn = sample_rows(candidates.select("docid").distinct(), "docid", k, seed)
+    """(docid, copies, body): k draws with replacement from the candidate documents, empty bodies left out.
+
+    A document has one row with the number of its draws, so many draws do not copy bodies.
+    """
+    placed = positions(candidates.select("docid").distinct(), [], [F.asc("docid")])
+    n = placed.count()
+    if not n:
+        return docs.select("docid", F.lit(0).cast("long").alias("copies"), "body").limit(0)
+    draws = candidates.sparkSession.range(k).select((draw_int(seed, F.lit(n), "id") + 1).alias("pos"))
+    copies = draws.groupBy("pos").agg(F.count(F.lit(1)).alias("copies"))
     bodies = docs.select("docid", "body").filter(F.length(F.rtrim("body")) > 0)
-    return drawn.join(bodies, "docid").select("draw", "docid", "body")
+    return placed.join(copies, "pos").join(bodies, "docid").select("docid", "copies", "body")

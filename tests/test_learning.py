@@ -68,7 +68,7 @@ def accuracy(scored, df):
 @pytest.mark.parametrize("kernel", [True, False])
 def test_classifier(spark, labelled, kernel):
     df = labelled[1]
-    model = models.fit_classifier(df, kernel=kernel, components=64, max_iter=30)
+    model = models.fit_classifier(df, kernel=kernel, components=64)
     path = new_path(spark, "svc")
     models.save_model(model, path)
     loaded = models.load_model(path)
@@ -82,16 +82,29 @@ def test_cluster_ranker(spark, labelled):
     df = labelled[1]
     queries = spark.createDataFrame(
         [(f"q{i}", [float(i < 6) * 10, 0.0]) for i in range(12)], "qid string, query_features array<double>")
-    ranker = models.fit_cluster_ranker(df, queries, 2, min_rows=10, kernel=False, max_iter=30)
-    assert len(ranker.own) == 2
+    ranker = models.fit_cluster_ranker(df, queries, 2, kernel=False)
+    assert len(ranker.own) == 2 and not ranker.unfitted
     path = new_path(spark, "ranker")
     ranker.save(path)
     again = models.ClusterRanker.load(path)
     first = {(r["qid"], r["docid"]): r["score"] for r in ranker.score(df, queries).collect()}
     second = {(r["qid"], r["docid"]): r["score"] for r in again.score(df, queries).collect()}
     assert len(first) == df.count() and first == pytest.approx(second)
-    pooled = models.fit_cluster_ranker(df, queries, 2, min_rows=1000, kernel=False, max_iter=30)
-    assert not pooled.own and pooled.score(df, queries).count() == df.count()
+    pooled = models.ClusterRanker(ranker.clusters, ranker.shared, {})
+    assert pooled.unfitted == [0, 1] and pooled.score(df, queries).count() == df.count()
+
+
+def test_one_row_is_enough_for_a_cluster_of_its_own(spark, labelled):
+    df = labelled[1]
+    queries = spark.createDataFrame(
+        [(f"q{i}", [float(i < 1) * 10, 0.0]) for i in range(12)], "qid string, query_features array<double>")
+    few = df.filter("qid != 'q0'").unionByName(df.filter("qid = 'q0'").orderBy("docid").limit(3))
+    assert len(models.fit_cluster_ranker(few, queries, 2, kernel=False).own) == 2
+
+
+def test_a_fit_that_stops_at_its_limit_is_an_error(labelled):
+    with pytest.raises(RuntimeError):
+        models.fit_classifier(labelled[1], kernel=False, max_iter=2)
 
 
 def test_projection_is_the_same_everywhere(spark):
@@ -135,3 +148,5 @@ def test_cluster_measures_against_numpy(spark):
     sweep = clustering.k_sweep(df.drop("cluster"), "id", [2, 3]).collect()
     assert [r["k"] for r in sweep] == [2, 3]
     assert sweep[1]["silhouette"] > sweep[0]["silhouette"]
+    few = clustering.k_sweep(df.drop("cluster").limit(12), "id", [11]).first()
+    assert few["k"] == 11 and few["silhouette"] is None
