@@ -10,28 +10,32 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rankweave import catalog  # noqa: E402
 from rankweave.plans.workbench import Workbench  # noqa: E402
-from rankweave.session import build_session  # noqa: E402
+from rankweave.session import build_session, clear_stages  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+SHARED = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="rankweave-bench-")
 STAGES = ("index", "candidates", "other_run", "qrels", "pmi", "features")
 HEADLINE = (
     "bm25_top10", "bm25_or_top10", "bm25_lib_top10", "search_run", "scorer_compare", "term_freq", "bigram_counts",
-    "pmi", "features_all", "query_features", "ev_all", "ev_ndcg", "win_count", "err_too_low", "triples", "train_pairs",
-    "linear_rank", "adarank_weak", "query_to_query", "passage_to_doc",
+    "pmi", "features_all", "ev_all", "ev_ndcg", "win_count", "err_too_low", "triples", "train_pairs",
+    "linear_rank", "adarank_weak", "query_to_query", "passage_to_doc", "term_pairs", "query_features",
+    "regression_report", "group_summary", "index_upsert", "davies_bouldin",
 )
 
 
 def main() -> None:
     spark = build_session(
         "bench", f"local[{CPUS}]", int(CPUS),
-        **{"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": SHARED},
     )
     spark.sparkContext.setLogLevel("ERROR")
     bench = Workbench.of(spark, FOLDER)
@@ -49,6 +53,7 @@ def main() -> None:
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": float(scale.group(1)) if scale else None,
     }))
+    clear_stages(spark)
     spark.stop()
 
 

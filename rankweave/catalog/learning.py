@@ -227,6 +227,16 @@ def silhouette(w: Workbench):
     return w.spark.createDataFrame([(float(value),)], "silhouette double")
 
 
+@register("svr_quality", "part:s measure:s value:d")
+def svr_quality(w: Workbench):
+    return study.fit_quality(training_features(w, graded=True), graded=True)
+
+
+@register("svc_quality", "part:s measure:s value:d")
+def svc_quality(w: Workbench):
+    return study.fit_quality(training_features(w), graded=False)
+
+
 @register("train_and_evaluate", "run_id:s qid:s metric:s value:d")
 def train_and_evaluate(w: Workbench):
     train, _ = sampling.split(w.queries, "qid", 0.25, SEED)

@@ -9,7 +9,9 @@ from rankweave.catalog.sqltext import tokens_of
 from rankweave.functions import scoring, text
 from rankweave.functions.stemming import stem_vocabulary
 from rankweave.operators import cooccurrence, index, search
+from rankweave.operators.features import own_pairs
 from rankweave.operators.index import field_tokens
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import top_k
 from rankweave.operators.search import query_terms
 from rankweave.plans.workbench import CANDIDATE_SHARE, Workbench
@@ -102,6 +104,11 @@ def field_stats(w: Workbench):
     return w.index.field_stats()
 
 
+@register("num_docs", "n:i", "SELECT count(*) AS n FROM docs", "docs")
+def num_docs(w: Workbench):
+    return w.index.docs.agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("doc_len", "field:s docid:s dl:i", """
     SELECT field, docid, sum(tf) AS dl FROM postings GROUP BY field, docid""", "postings")
 def doc_len(w: Workbench):
@@ -269,10 +276,7 @@ def judged_queries(w: Workbench):
     SELECT a.qid, s.t1, s.t2, s.n FROM qterms a JOIN qterms b ON b.qid = a.qid
     JOIN successors s ON s.t1 = a.term AND s.t2 = b.term""", "qterms", "successors")
 def term_pairs(w: Workbench):
-    terms = query_terms(w.queries)
-    first = terms.select("qid", F.col("term").alias("t1"))
-    second = terms.select("qid", F.col("term").alias("t2"))
-    return first.join(w.pmi.select("t1", "t2", "n"), "t1").join(second, ["qid", "t2"])
+    return own_pairs(query_terms(w.queries)).join(w.pmi.select("t1", "t2", "n"), ["t1", "t2"])
 
 
 @register("shared_terms", "qid:s docid:s field:s shared:i", """
@@ -281,7 +285,9 @@ def term_pairs(w: Workbench):
           "candidates", "qterms", "postings")
 def shared_terms(w: Workbench):
     wanted = w.candidates.select("qid", "docid").join(query_terms(w.queries).select("qid", "term"), "qid")
-    found = w.index.postings.select("field", "docid", "term").join(wanted, ["docid", "term"])
+    ids = wanted.select("docid").distinct()
+    near = lookup_join(w.index.postings.select("field", "docid", "term"), ids, ["docid"], ["term"], fits_in_memory(ids), "left_semi")
+    found = near.join(wanted, ["docid", "term"])
     return found.groupBy("qid", "docid", "field").agg(F.count(F.lit(1)).alias("shared"))
 
 

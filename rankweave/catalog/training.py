@@ -97,6 +97,12 @@ def triples(w: Workbench):
     return sampling.triples(w.queries, w.docs, w.candidates, w.qrels, SEED)
 
 
+@register("first_triples", _TRIPLE_COLUMNS, "SELECT * FROM triples ORDER BY qid LIMIT 5", "triples", extra=_TRIPLES)
+def first_triples(w: Workbench):
+    """Stops after five triples; the limit is the feature."""
+    return sampling.triples(w.queries, w.docs, w.candidates, w.qrels, SEED, limit=5)
+
+
 def _member(members: str, seed: int, label: str) -> str:
     return f"""
         SELECT d.draw, d.qid, m.docid, {label} AS label FROM drawn d

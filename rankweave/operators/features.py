@@ -58,7 +58,10 @@ def matched_values(pairs: DataFrame, terms: DataFrame, small: bool, index: Index
     postings = index.postings.filter(F.col("field").isin(*fields)).select("field", "docid", "dl", "term", "tf")
     vocabulary = terms.select("term").distinct()
     postings = lookup_join(postings, vocabulary, ["term"], ["docid"], small, "left_semi")
-    found = lookup_join(postings.join(wanted, ["docid", "term"]), stats, ["field", "term"], ["qid", "docid"], small)
+    ids = pairs.select("docid").distinct()
+    postings = lookup_join(postings, ids, ["docid"], ["term"], fits_in_memory(ids), "left_semi")
+    few = fits_in_memory(stats)
+    found = lookup_join(postings.join(wanted, ["docid", "term"]), stats, ["field", "term"], ["qid", "docid"], few)
     totals = index.totals()
     n_docs = F.lit(float(next(iter(totals.values())).n_docs))
     field_len = F.lit(None).cast("double")
@@ -201,6 +204,15 @@ def long_features(features: DataFrame, names: tuple[str, ...] = VECTOR) -> DataF
     )
 
 
+def own_pairs(terms: DataFrame) -> DataFrame:
+    """(qid, t1, t2, qtf2): the pairs of each query's own terms; the square of a query's length at most.
+
+    A pair of terms is a key without skew, unlike its first term.
+    """
+    first = terms.select("qid", F.col("term").alias("t1"))
+    return first.join(terms.select("qid", F.col("term").alias("t2"), F.col("qtf").alias("qtf2")), "qid")
+
+
 def query_features(queries: DataFrame, index: Index, pmi: DataFrame) -> DataFrame:
     """(qid, 16 features) over the term positions of each query; a query without terms gives no row."""
     terms = query_terms(queries, index.stem)
@@ -208,12 +220,9 @@ def query_features(queries: DataFrame, index: Index, pmi: DataFrame) -> DataFram
     vocabulary = terms.select("term").distinct()
     stats = index.term_stats(vocabulary, small).filter(F.col("field") == "body").select("term", "df", "cf")
     with_stats = lookup_join(terms, stats, ["term"], ["qid"], small, "left")
-    second = terms.select("qid", F.col("term").alias("t2"), F.col("qtf").alias("qtf2"))
+    pairs = own_pairs(terms)
     hits = (
-        lookup_join(
-            pmi.select("t1", "t2", "pmi"), terms.select("qid", F.col("term").alias("t1")), ["t1"], ["t2"], small
-        )
-        .join(second, ["qid", "t2"])
+        pairs.join(pmi.select("t1", "t2", "pmi"), ["t1", "t2"])
         .groupBy("qid", F.col("t1").alias("term"))
         .agg(F.sum(F.col("qtf2") * F.col("pmi")).alias("hit_sum"), F.sum("qtf2").alias("hits"))
     )

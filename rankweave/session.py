@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,13 +34,13 @@ def build_session(app_name: str = "rankweave", master: str | None = None, shuffl
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in `spark.checkpoint.dir`.
 
-    Only a local session may run without the setting; it gets a fresh folder of its own.
+    Only a session whose executors are the driver itself may run without the setting; it gets a folder of its own.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="rankweave-"))
     return context.getCheckpointDir()
@@ -59,3 +60,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by `materialize` that nothing reads any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        _delete(table.sparkSession, folder)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete every table that this application has written to the shared folder."""
+    _delete(spark, f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}")

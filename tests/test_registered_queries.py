@@ -19,6 +19,7 @@ CHECKED = (
     "judgment_transfer", "features_title", "features_pmi", "features_static", "query_features", "linear_rank",
     "score_fusion", "ev_counts", "ev_bpref", "ev_iprec", "ev_ndcg", "ev_pooled_ndcg", "win_count", "err_too_low",
     "err_worst_first", "triples", "train_pairs_graded", "qrel_lists", "src_docs", "trec_lines", "adarank_round",
+    "pmi_corpus", "term_pairs", "shared_terms", "bm25_scores", "num_docs", "first_triples", "passage_to_doc", "group_summary",
     "calinski_harabasz", "davies_bouldin", "silhouette", "cluster_report", "regression_report", "index_append",
 )
 
