@@ -72,6 +72,7 @@ def compare(df, held_out, rows):
 def test_scores_by_the_definition(spark, hard, hard_rows, monkeypatch, block):
     monkeypatch.setattr(lm, "BLOCK_BYTES", block)
     monkeypatch.setattr(lm, "STREAM_BYTES", 200)
+    monkeypatch.setattr(lm, "SLICE", 37)
     short = hard.filter("doc_id IS NULL OR doc_id NOT IN (4, 10)")
     rows = [(r[1], zlib.crc32(str("" if r[0] is None else r[0]).encode()) % 3 == 0) for r in hard_rows if r[0] not in (4, 10)]
     compare(short, remainder(F.col("doc_id"), 3) == 0, rows)
@@ -100,7 +101,7 @@ def test_walk_equals_definition_after_any_state():
     texts = [prose(7, 40).encode(), b"aaaa aaa aa a"]
     model = PlainModel(texts)
     stream = b"".join(model.spelled(t)[1:] for t in texts)
-    grams, counts = lm.all_orders(*np.unique(lm.longest_grams(b"\n" + stream), return_counts=True))
+    grams, counts = lm.all_orders(*lm.counted_grams(b"\n" + stream))
     place = {int(g): i for i, g in enumerate(grams)}
     grams, counts = np.append(grams, lm.ROOT), np.append(counts, 0)
     total, kinds = np.zeros(len(grams), np.int64), np.zeros(len(grams), np.int64)
@@ -114,3 +115,9 @@ def test_walk_equals_definition_after_any_state():
         s = b"\n" + text
         wanted = sum(math.log10(model.p(s[max(0, i - lm.ORDER + 1):i], s[i])) for i in range(1, len(s)))
         assert abs(automaton.walk(automaton.start, text)[0] - wanted) < 1e-8
+
+
+def test_packed_numbers():
+    draw = np.random.default_rng(1)
+    for numbers in ([], [0], [127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28 - 1], draw.integers(0, 2**28, 500).tolist(), draw.integers(0, 300, 500).tolist()):
+        assert lm.unpacked_numbers(lm.packed_numbers(np.array(numbers, np.int64))).tolist() == numbers
