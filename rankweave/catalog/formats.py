@@ -143,6 +143,6 @@ def index_stream(w: Workbench):
     source, path, state = (new_path(w.spark, label) for label in ("arriving", "streamed", "progress"))
     w.docs.repartition(3, "docid").write.parquet(source)
     clear_index(w.spark, path)
-    index_new_files(w.spark, source, path, state, files_per_batch=1).awaitTermination()
+    index_new_files(w.spark, source, path, state, stem=True, files_per_batch=1).awaitTermination()
     append_documents(path, w.docs, "again")
     return read_index(w.spark, path).term_stats()

@@ -82,7 +82,7 @@ def features_body_only(w: Workbench):
           JOIN term_stats s ON s.field = p.field AND s.term = p.term JOIN totals t ON t.field = p.field)
     GROUP BY qid, docid, field""", "candidates", "qterms", "postings", "term_stats", "totals")
 def features_compat_bm25(w: Workbench):
-    terms = query_terms(w.queries)
+    terms = query_terms(w.queries, w.index.stem)
     values = features.matched_values(
         w.candidates.select("qid", "docid"), terms, fits_in_memory(terms), w.index, compat=True)
     return features.field_features(values)
@@ -158,7 +158,7 @@ def query_features(w: Workbench):
     FROM qterms q LEFT JOIN term_stats s ON s.field = 'body' AND s.term = q.term JOIN totals t ON t.field = 'body'""",
           "qterms", "term_stats", "totals")
 def query_term_values(w: Workbench):
-    terms = query_terms(w.queries)
+    terms = query_terms(w.queries, w.index.stem)
     stats = w.index.term_stats(terms.select("term").distinct(), fits_in_memory(terms))
     stats = stats.filter(F.col("field") == "body").select("term", "df", "cf")
     n_docs = F.lit(float(w.index.totals()["body"].n_docs))

@@ -23,7 +23,7 @@ NEAR_SHARE = 5
 
 
 @register("tokens", "docid:s pos:i term:s", """
-    SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks WHERE field = 'body'""", "toks")
+    SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM plain_toks WHERE field = 'body'""", "plain_toks")
 def tokens(w: Workbench):
     return w.texts.select("docid", F.posexplode(text.analyze(F.col("body"))).alias("pos", "term"))
 
@@ -36,16 +36,16 @@ def tokens_url(w: Workbench):
     return urls.select("docid", F.posexplode(text.analyze(text.url_text(F.col("url")))).alias("pos", "term"))
 
 
-@register("stems", "term:s stem:s", "SELECT DISTINCT s.term, s.stem FROM stems s JOIN tokens t ON t.term = s.term",
-          "stems", "tokens")
+@register("stems", "term:s stem:s", "SELECT DISTINCT s.term, s.stem FROM stems s JOIN plain_tokens t ON t.term = s.term",
+          "stems", "plain_tokens")
 def stems(w: Workbench):
-    return stem_vocabulary(w.index.postings)
+    return stem_vocabulary(w.plain_index.postings)
 
 
 @register("stemmed_tokens", "docid:s pos:i term:s", """
     SELECT t.docid, t.pos, s.stem AS term FROM (
-        SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks WHERE field = 'body') t
-    JOIN stems s ON s.term = t.term""", "toks", "stems")
+        SELECT docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM plain_toks WHERE field = 'body') t
+    JOIN stems s ON s.term = t.term""", "plain_toks", "stems")
 def stemmed_tokens(w: Workbench):
     return w.texts.select("docid", F.posexplode(text.analyze(F.col("body"), stem=True)).alias("pos", "term"))
 
@@ -61,8 +61,8 @@ def url_statics(w: Workbench):
 @register("ngrams", "docid:s t1:s t2:s n:i", """
     SELECT docid, t1, t2, count(*) AS n FROM (
         SELECT docid, toks[i] AS t1, toks[i + 1] AS t2
-        FROM (SELECT docid, toks, unnest(range(1, len(toks))) AS i FROM toks WHERE field = 'body'))
-    GROUP BY docid, t1, t2""", "toks")
+        FROM (SELECT docid, toks, unnest(range(1, len(toks))) AS i FROM plain_toks WHERE field = 'body'))
+    GROUP BY docid, t1, t2""", "plain_toks")
 def ngrams(w: Workbench):
     pairs = field_tokens(w.texts, ("body",)).select("docid", F.inline(text.with_next(F.col("tokens"))))
     return pairs.filter(F.col("t2").isNotNull()).groupBy("docid", "t1", "t2").agg(F.count(F.lit(1)).alias("n"))
@@ -73,15 +73,15 @@ def snippets(w: Workbench):
     return w.docs.select("docid", "title", "url", text.snippet(F.col("body")).alias("snippet"))
 
 
-@register("term_freq", "field:s docid:s term:s tf:i dl:i", "SELECT * FROM postings", "postings")
+@register("term_freq", "field:s docid:s term:s tf:i dl:i", "SELECT * FROM plain_postings", "plain_postings")
 def term_freq(w: Workbench):
     return index.build_postings(w.docs)
 
 
 @register("postings", "field:s docid:s term:s tf:i places:s", """
     SELECT field, docid, term, count(*) AS tf, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS places
-    FROM (SELECT field, docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM toks)
-    GROUP BY field, docid, term""", "toks")
+    FROM (SELECT field, docid, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM plain_toks)
+    GROUP BY field, docid, term""", "plain_toks")
 def postings(w: Workbench):
     rows = index.build_postings(w.docs, with_positions=True)
     return rows.withColumn("places", F.array_join(F.col("positions").cast("array<string>"), " "))
@@ -117,17 +117,17 @@ def doc_len(w: Workbench):
 
 @register("unigram_counts", "term:s n:i", "SELECT * FROM unigrams", "unigrams")
 def unigram_counts(w: Workbench):
-    return cooccurrence.unigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",))))
+    return cooccurrence.unigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",), stem=True)))
 
 
 @register("bigram_counts", "t1:s t2:s n:i", "SELECT * FROM successors WHERE t2 IS NOT NULL", "successors")
 def bigram_counts(w: Workbench):
-    return cooccurrence.bigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",))))
+    return cooccurrence.bigram_counts(cooccurrence.successor_counts(field_tokens(w.texts, ("body",), stem=True)))
 
 
 @register("pmi", "t1:s t2:s n:i pmi:d", "SELECT * FROM pmi", "pmi")
 def pmi(w: Workbench):
-    return cooccurrence.corpus_pmi(w.texts)
+    return cooccurrence.corpus_pmi(w.texts, stem=True)
 
 
 _TOP = """SELECT qid, docid, rank, score FROM (
@@ -150,25 +150,16 @@ def bm25_lib_top10(w: Workbench):
     return search.search(w.queries, w.index, scoring.smoothed, k=10)
 
 
-@register("bm25_stemmed_top10", "qid:s docid:s rank:i score:d", """
-    SELECT qid, docid, rank, score FROM (
-        SELECT qid, docid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid DESC) AS rank FROM (
-            SELECT q.qid, p.docid, round(sum(
-                ln(t.n_docs / s.df) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / t.avg_len))), 6) + 0.0 AS score
-            FROM stemmed_qterms q JOIN stemmed_postings p ON p.term = q.term AND p.field = 'body'
-            JOIN (SELECT term, count(*) AS df FROM stemmed_postings WHERE field = 'body' GROUP BY term) s
-                ON s.term = q.term
-            JOIN totals t ON t.field = 'body'
-            GROUP BY q.qid, p.docid HAVING count(*) = max(q.n_terms)))
-    WHERE rank <= 10""", "stemmed_qterms", "stemmed_postings", "totals")
-def bm25_stemmed_top10(w: Workbench):
-    return search.search(w.queries, w.stemmed_index, k=10)
+@register("bm25_plain_top10", "qid:s docid:s rank:i score:d",
+          _TOP.format(name="okapi", where="has_all").replace("FROM scored", "FROM plain_scored"), "plain_scored")
+def bm25_plain_top10(w: Workbench):
+    """The same search without stemming."""
+    return search.search(w.queries, w.plain_index, k=10)
 
 
-@register("stemmed_term_stats", "field:s term:s df:i cf:i", """
-    SELECT field, term, count(*) AS df, sum(tf) AS cf FROM stemmed_postings GROUP BY field, term""", "stemmed_postings")
-def stemmed_term_stats(w: Workbench):
-    return w.stemmed_index.term_stats()
+@register("plain_term_stats", "field:s term:s df:i cf:i", "SELECT * FROM plain_term_stats", "plain_term_stats")
+def plain_term_stats(w: Workbench):
+    return w.plain_index.term_stats()
 
 
 @register("bm25_scores", "qid:s docid:s term:s score:d", """
@@ -227,15 +218,18 @@ def _near_sql(asked: str, collection: str) -> str:
 _TURNS = {
     "asked": ((), f"""SELECT conv_id || '-' || turn AS qid, {tokens_of('text')} AS toks
                       FROM conversations WHERE role = 'user'"""),
-    "shown": ((), f"""SELECT conv_id || '-' || turn AS qid, {tokens_of('text')} AS toks
-                      FROM conversations WHERE role = 'assistant'"""),
+    "shown": (("stems",), f"""
+        SELECT qid, list(s.stem) AS toks
+        FROM (SELECT conv_id || '-' || turn AS qid, unnest({tokens_of('text')}) AS term
+              FROM conversations WHERE role = 'assistant') t JOIN stems s ON s.term = t.term GROUP BY qid"""),
     "pairs": ((), """SELECT a.conv_id || '-' || a.turn AS qid, b.conv_id || '-' || b.turn AS pid, a.turn % 5 + 1 AS rel
                      FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
                      WHERE a.role = 'user' AND b.role = 'assistant'"""),
     "paired_asked": (("asked", "pairs"), "SELECT * FROM asked WHERE qid IN (SELECT qid FROM pairs)"),
     "paired_shown": (("shown", "pairs"), "SELECT * FROM shown WHERE qid IN (SELECT pid FROM pairs)"),
-    "queries_p": (("qtoks",), """SELECT qid AS docid, len(toks) AS dl, term, count(*) AS tf
-                                 FROM (SELECT qid, toks, unnest(toks) AS term FROM qtoks) GROUP BY qid, toks, term"""),
+    "queries_p": (("plain_qtoks",), """
+        SELECT qid AS docid, len(toks) AS dl, term, count(*) AS tf
+        FROM (SELECT qid, toks, unnest(toks) AS term FROM plain_qtoks) GROUP BY qid, toks, term"""),
     "docs_p": (("postings",), "SELECT docid, dl, term, tf FROM postings WHERE field = 'body'"),
     "near_queries": (("paired_asked", "queries", "queries_p"), _near_sql("paired_asked", "queries")),
     "near_docs": (("paired_shown", "docs", "docs_p"), _near_sql("paired_shown", "docs")),
@@ -276,7 +270,7 @@ def judged_queries(w: Workbench):
     SELECT a.qid, s.t1, s.t2, s.n FROM qterms a JOIN qterms b ON b.qid = a.qid
     JOIN successors s ON s.t1 = a.term AND s.t2 = b.term""", "qterms", "successors")
 def term_pairs(w: Workbench):
-    return own_pairs(query_terms(w.queries)).join(w.pmi.select("t1", "t2", "n"), ["t1", "t2"])
+    return own_pairs(query_terms(w.queries, w.index.stem)).join(w.pmi.select("t1", "t2", "n"), ["t1", "t2"])
 
 
 @register("shared_terms", "qid:s docid:s field:s shared:i", """
@@ -284,7 +278,7 @@ def term_pairs(w: Workbench):
     JOIN postings p ON p.docid = c.docid AND p.term = q.term GROUP BY c.qid, c.docid, p.field""",
           "candidates", "qterms", "postings")
 def shared_terms(w: Workbench):
-    wanted = w.candidates.select("qid", "docid").join(query_terms(w.queries).select("qid", "term"), "qid")
+    wanted = w.candidates.select("qid", "docid").join(query_terms(w.queries, w.index.stem).select("qid", "term"), "qid")
     ids = wanted.select("docid").distinct()
     near = lookup_join(w.index.postings.select("field", "docid", "term"), ids, ["docid"], ["term"], fits_in_memory(ids), "left_semi")
     found = near.join(wanted, ["docid", "term"])
@@ -319,21 +313,22 @@ def index_append(w: Workbench):
     path = new_path(w.spark, "appended")
     source = tables.table(w.spark, w.folder, "documents").select(F.col("doc_id").cast("string").alias("docid"), "lang")
     english = w.docs.join(source.filter(F.col("lang") == "en"), "docid", "left_semi")
-    index.write_index(english, path)
-    index.append_documents(path, w.docs, "second")
-    return index.append_documents(path, english, "third").term_stats()
+    index.write_index(english, path, stem=True)
+    index.append_documents(path, w.docs, "second", stem=True)
+    return index.append_documents(path, english, "third", stem=True).term_stats()
 
 
 @register("index_upsert", "field:s term:s df:i cf:i", "SELECT * FROM term_stats", "term_stats")
 def index_upsert(w: Workbench):
     path, target = new_path(w.spark, "before"), new_path(w.spark, "after")
-    index.write_index(w.docs, path, ("body", "title"))
-    return index.upsert_field(path, target, w.docs, "url_text").term_stats()
+    wrong = w.docs.withColumn("url", F.concat(F.lit("old "), "title"))
+    index.write_index(wrong, path, stem=True)
+    return index.upsert_field(path, target, w.docs, "url_text", stem=True).term_stats()
 
 
 @register("index_clear", "field:s n_docs:i field_len:i avg_len:d", "SELECT * FROM totals", "totals")
 def index_clear(w: Workbench):
     path = new_path(w.spark, "rebuilt")
-    index.write_index(w.docs.withColumn("body", F.col("title")), path)
+    index.write_index(w.docs.withColumn("body", F.col("title")), path, stem=True)
     index.clear_index(w.spark, path)
-    return index.write_index(w.docs, path).field_stats()
+    return index.write_index(w.docs, path, stem=True).field_stats()

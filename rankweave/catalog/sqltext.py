@@ -118,8 +118,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT docid, 'body' AS field, body AS raw FROM docs
         UNION ALL SELECT docid, 'title', title FROM docs
         UNION ALL SELECT docid, 'url_text', replace(url, '.', ' ') FROM docs"""),
-    "toks": (("fields",), f"SELECT docid, field, {tokens_of('raw')} AS toks FROM fields"),
-    "tokens": (("toks",), "SELECT docid, field, len(toks) AS dl, unnest(toks) AS term FROM toks"),
+    "plain_toks": (("fields",), f"SELECT docid, field, {tokens_of('raw')} AS toks FROM fields"),
+    "plain_tokens": (("plain_toks",), """
+        SELECT docid, field, len(toks) AS dl, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos
+        FROM plain_toks"""),
+    "tokens": (("plain_tokens", "stems"), """
+        SELECT t.docid, t.field, t.dl, s.stem AS term, t.pos FROM plain_tokens t JOIN stems s ON s.term = t.term"""),
+    "toks": (("tokens",), "SELECT docid, field, list(term ORDER BY pos) AS toks FROM tokens GROUP BY docid, field"),
+    "plain_postings": (("plain_tokens",), """
+        SELECT field, docid, dl, term, count(*) AS tf FROM plain_tokens GROUP BY field, docid, dl, term"""),
+    "plain_term_stats": (("plain_postings",), """
+        SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM plain_postings GROUP BY field, term"""),
     "postings": (("tokens",), """
         SELECT field, docid, dl, term, count(*) AS tf FROM tokens GROUP BY field, docid, dl, term"""),
     "term_stats": (("postings",), """
@@ -128,7 +137,23 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT field, (SELECT count(*) FROM documents) AS n_docs, CAST(sum(tf) AS BIGINT) AS field_len,
                CAST(sum(tf) AS DOUBLE) / (SELECT count(*) FROM documents) AS avg_len
         FROM postings GROUP BY field"""),
-    "qtoks": (("queries",), f"SELECT qid, {tokens_of('text')} AS toks FROM queries"),
+    "plain_qtoks": (("queries",), f"SELECT qid, {tokens_of('text')} AS toks FROM queries"),
+    "qtoks": (("plain_qtoks", "stems"), """
+        SELECT qid, list(s.stem ORDER BY pos) AS toks
+        FROM (SELECT qid, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos FROM plain_qtoks) q
+        JOIN stems s ON s.term = q.term GROUP BY qid"""),
+    "plain_qterms": (("plain_qtoks",), """
+        SELECT qid, term, q_len, n_terms, count(*) AS qtf
+        FROM (SELECT qid, len(toks) AS q_len, len(list_distinct(toks)) AS n_terms, unnest(toks) AS term
+              FROM plain_qtoks)
+        GROUP BY qid, term, q_len, n_terms"""),
+    "plain_scored": (("plain_qterms", "plain_postings", "plain_term_stats", "totals"), """
+        SELECT q.qid, p.docid, count(*) = max(q.n_terms) AS has_all,
+               round(sum(ln(t.n_docs / s.df) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / t.avg_len))), 6) + 0.0
+                   AS okapi
+        FROM plain_qterms q JOIN plain_postings p ON p.term = q.term AND p.field = 'body'
+        JOIN plain_term_stats s ON s.term = q.term AND s.field = 'body' JOIN totals t ON t.field = 'body'
+        GROUP BY q.qid, p.docid"""),
     "qterms": (("qtoks",), """
         SELECT qid, term, q_len, n_terms, count(*) AS qtf
         FROM (SELECT qid, len(toks) AS q_len, len(list_distinct(toks)) AS n_terms, unnest(toks) AS term FROM qtoks)
@@ -203,13 +228,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 CTES |= _stem_ctes() | {
-    "words": (("tokens", "qterms"), "SELECT term FROM tokens UNION SELECT term FROM qterms"),
-    "stemmed_postings": (("postings", "stems"), """
-        SELECT p.field, p.docid, p.dl, s.stem AS term, sum(p.tf) AS tf
-        FROM postings p JOIN stems s ON s.term = p.term GROUP BY p.field, p.docid, p.dl, s.stem"""),
-    "stemmed_qterms": (("qterms", "stems"), """
-        SELECT qid, term, count(*) OVER (PARTITION BY qid) AS n_terms
-        FROM (SELECT DISTINCT q.qid, s.stem AS term FROM qterms q JOIN stems s ON s.term = q.term)"""),
+    "words": (("plain_tokens", "plain_qtoks"), f"""
+        SELECT term FROM plain_tokens UNION SELECT unnest(toks) FROM plain_qtoks
+        UNION SELECT unnest({tokens_of('text')}) FROM conversations"""),
 }
 
 

@@ -106,7 +106,7 @@ def static_features(pairs: DataFrame, docs: DataFrame, index: Index) -> DataFram
 def _lengths(pairs: DataFrame, index: Index) -> DataFrame:
     """(docid, len_body, len_title, len_url_text) of the paired documents; null where a field has no tokens."""
     ids = pairs.select("docid").distinct()
-    return index.postings.select("docid", "field", "dl").join(ids, "docid", "left_semi").groupBy("docid").agg(
+    return index.doc_len().join(ids, "docid", "left_semi").groupBy("docid").agg(
         *[F.max(F.when(F.col("field") == f, F.col("dl"))).alias(f"len_{f}") for f in FIELDS]
     )
 

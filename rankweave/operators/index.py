@@ -5,6 +5,7 @@ An index is a folder of Parquet tables, each split by `batch` (one value per gro
 - `docs(docid)`;
 - `postings(field, docid, dl, term, tf)`; postings carry the field length of their document, so scoring needs no
   join on docid;
+- `doc_lens(field, docid, dl)`: field lengths, one row per document and field with tokens;
 - `term_parts(field, term, df, cf)` and `field_parts(field, field_len)`: statistics per batch. Batches hold
   different documents, so the statistics of the collection are sums over batches and adding documents never
   re-reads the older ones.
@@ -26,6 +27,7 @@ BASE_BATCH = "base"
 SCHEMAS = {
     "docs": "docid string, batch string",
     "postings": "docid string, dl bigint, term string, tf bigint, batch string, field string",
+    "doc_lens": "field string, docid string, dl bigint, batch string",
     "term_parts": "field string, term string, df bigint, cf bigint, batch string",
     "field_parts": "field string, field_len bigint, batch string",
 }
@@ -45,6 +47,7 @@ class FieldTotals:
 class Index:
     docs: DataFrame
     postings: DataFrame
+    doc_lens: DataFrame
     term_parts: DataFrame
     field_parts: DataFrame
     stem: bool = False
@@ -76,7 +79,7 @@ class Index:
 
     def doc_len(self) -> DataFrame:
         """(field, docid, dl) for documents with at least one token in the field."""
-        return self.postings.groupBy("field", "docid").agg(F.sum("tf").alias("dl"))
+        return self.doc_lens.select("field", "docid", "dl")
 
 
 def field_text(name: str) -> Column:
@@ -153,8 +156,11 @@ def upsert_field(path: str, target: str, docs: DataFrame, field: str, stem: bool
     """Write to `target` the index at `path` with `field` recomputed for the documents of `docs`."""
     spark = docs.sparkSession
     old = read_index(spark, path, stem)
-    replaced = docs.select("docid", F.lit(field).alias("field")).distinct()
-    kept = old.postings.join(replaced, ["field", "docid"], "left_anti").drop("batch")
+    # Only rows of `field` are looked at; the others are written again as they are, without a shuffle.
+    others = old.postings.filter(F.col("field") != field).drop("batch")
+    same = old.postings.filter(F.col("field") == field).drop("batch")
+    replaced = docs.select("docid").distinct()
+    kept = others.unionByName(lookup_join(same, replaced, ["docid"], ["term"], fits_in_memory(replaced), "left_anti"))
     fresh = build_postings(docs, (field,), stem)
     ids = old.docs.select("docid").unionByName(docs.select("docid")).distinct()
     _write_batch(target, ids, kept.unionByName(fresh), BASE_BATCH)
@@ -173,6 +179,8 @@ def _write_batch(path: str, docs: DataFrame, postings: DataFrame, batch: str) ->
     postings.write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings/batch={batch}")
     schema = "docid string, dl bigint, term string, tf bigint, field string"
     written = spark.read.schema(schema).parquet(f"{path}/postings/batch={batch}")
+    lens = written.groupBy("field", "docid").agg(F.max("dl").alias("dl"))
+    lens.write.mode("overwrite").parquet(f"{path}/doc_lens/batch={batch}")
     terms = written.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     terms.write.mode("overwrite").parquet(f"{path}/term_parts/batch={batch}")
     lengths = spark.read.schema("field string, cf bigint").parquet(f"{path}/term_parts/batch={batch}")

@@ -58,11 +58,12 @@ class Workbench:
 
     @cached_property
     def index(self) -> Index:
-        return build_index(self.docs)
+        """The stemmed index, on which everything else builds."""
+        return build_index(self.docs, stem=True)
 
     @cached_property
-    def stemmed_index(self) -> Index:
-        return build_index(self.docs, stem=True)
+    def plain_index(self) -> Index:
+        return build_index(self.docs)
 
     @property
     def candidates(self) -> DataFrame:
@@ -83,7 +84,7 @@ class Workbench:
         """PMI of pairs that start with a query term."""
 
         def build() -> DataFrame:
-            vocabulary = query_terms(self.queries).select("term").distinct()
+            vocabulary = query_terms(self.queries, self.index.stem).select("term").distinct()
             return cooccurrence.vocabulary_pmi(self.texts, self.index, vocabulary, fits_in_memory(vocabulary))
 
         return self.stage("pmi", build)

@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 CHECKED = (
     "tokens", "tokens_url", "url_statics", "ngrams", "stems", "postings", "term_stats", "field_stats", "pmi",
-    "bm25_top10", "bm25_or_top10", "bm25_lib_top10", "bm25_stemmed_top10", "matched_terms", "scorer_compare",
+    "bm25_top10", "bm25_or_top10", "bm25_lib_top10", "bm25_plain_top10", "plain_term_stats", "matched_terms", "scorer_compare",
     "judgment_transfer", "features_title", "features_pmi", "features_static", "query_features", "linear_rank",
     "score_fusion", "ev_counts", "ev_bpref", "ev_iprec", "ev_ndcg", "ev_pooled_ndcg", "win_count", "err_too_low",
     "err_worst_first", "triples", "train_pairs_graded", "qrel_lists", "src_docs", "trec_lines", "adarank_round",
