@@ -8,9 +8,11 @@ similarity of their weighted sets.
 
 Equal texts are taken together first (by MD5), and only one of them goes on. Bands of the signature make buckets. Each
 member of a bucket is compared with one member, its smallest: by exact shingles, in groups of bounded size. Verified
-pairs are links and give components. A bucket whose members then lie in several components is gone through again, in
-blocks of bounded size: pairs from different components whose signatures agree enough are verified too. So large groups
-cost one comparison per member and bucket, and no pair of a shared bucket that could join two components is left out.
+pairs are links and give components. Buckets whose members then lie in several components are gone through again: first
+members outside a bucket's largest component are compared with a few members of it, twice at most; then the pairs from
+different components that are left and whose signatures agree enough are verified, in blocks of bounded size. So large
+groups cost a few comparisons per member and bucket, and no pair of a shared bucket that could join two components is
+left out.
 
 A pair is a link when its probability Jaccard similarity or its plain Jaccard similarity reaches the threshold. A pair
 at 0.8 shares no band with probability 2e-6 (25 bands of 4).
@@ -42,6 +44,7 @@ SIZE = BANDS * ROWS
 LEAST_AGREEMENT = 0.6  # a pair at 0.8 agrees in fewer of 100 components with probability 1e-6
 GROUP_BYTES = 8 << 20
 BLOCK = 512
+TURNS, PICKS, FEW_PAIRS = 2, 4, 4
 CHUNK = 400_000
 CACHE = 400_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -177,17 +180,14 @@ def text_key(text: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Those of the pairs (a, b) whose texts reach the threshold.
+    """Those of the pairs (a, b, bytes of a) whose texts reach the threshold.
 
     Each pair's text a goes to a group of its b; a b with many pairs gets several groups of about GROUP_BYTES each.
     """
-    sized = texts.select(F.col("h").alias("a"), F.col("text").alias("text_a"), F.octet_length("text").alias("bytes"))
     groups = F.ceil(F.sum("bytes") / F.lit(GROUP_BYTES)).cast("int")
-    spread = pairs.join(sized.select("a", "bytes"), "a").groupBy("b").agg(F.greatest(F.lit(1), groups).alias("groups"))
-    spread = materialize(spread, "groups")
-    small = fits_in_memory(spread)
-    dealt = lookup_join(pairs, spread, ["b"], ["a"], small).withColumn("part", F.pmod(F.xxhash64("a"), F.col("groups")).cast("int"))
-    left = dealt.select("a", "b", "part").join(sized.select("a", "text_a"), "a")
+    spread = materialize(pairs.groupBy("b").agg(F.greatest(F.lit(1), groups).alias("groups")), "groups")
+    dealt = lookup_join(pairs, spread, ["b"], ["a"], fits_in_memory(spread)).withColumn("part", F.pmod(F.xxhash64("a"), F.col("groups")).cast("int"))
+    left = dealt.select("a", "b", "part").join(texts.select(F.col("h").alias("a"), F.col("text").alias("text_a")), "a")
     right = texts.withColumnRenamed("h", "rep").join(spread.withColumnRenamed("b", "rep"), "rep").select(
         "rep", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("rep_part"), F.col("text").alias("text_b"))
 
@@ -205,42 +205,95 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _buckets(sketches: DataFrame) -> DataFrame:
-    """(bucket, h, rep, n) of every bucket with two texts or more; rep is its smallest text key."""
-    held = sketches.select("h", F.explode("bands").alias("bucket"))
+    """(bucket, h, bytes, rep, n) of every bucket with two texts or more; rep is its smallest text key."""
+    held = sketches.select("h", "bytes", F.explode("bands").alias("bucket"))
     shared = held.groupBy("bucket").agg(F.min("h").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return held.join(shared, "bucket")
 
 
-def _across(buckets: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in different components, were not compared yet and agree enough to be a link."""
-    placed = buckets.filter("n > 2").join(roots.withColumnRenamed("node", "h"), "h", "left")
+def _torn(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, h, bytes, root, main, size, torn) of the members of buckets that lie in several components; `main` is the
+    component with most members there, `torn` the number of the bucket's pairs from different components."""
+    placed = buckets.filter("n > 2").select("bucket", "h", "bytes").join(roots.withColumnRenamed("node", "h"), "h", "left")
     placed = placed.withColumn("root", F.coalesce("root", "h"))
-    torn = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    members = placed.join(torn.select("bucket"), "bucket", "left_semi").filter("h != rep").join(sketches.select("h", "short"), "h")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    numbered = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    meets = numbered.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = meets.select(
-        "bucket", F.least("block", "with").alias("low_block"), F.greatest("block", "with").alias("high_block"), "block", "h", "root", "short")
-
-    def agreeing(group: pa.Table) -> pa.Table:
-        low, high = group.column("low_block")[0].as_py(), group.column("high_block")[0].as_py()
-        block = group.column("block").to_numpy()
-        short = np.frombuffer(b"".join(group.column("short").to_pylist()), "<u2").reshape(group.num_rows, SIZE)
-        roots = np.array(group.column("root").to_pylist(), object)
-        one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found_a, found_b = [], []
-        for i in one.tolist():
-            others = two[two > i] if low == high else two
-            others = others[roots[others] != roots[i]]
-            near = others[(short[others] == short[i]).mean(axis=1) >= LEAST_AGREEMENT] if len(others) else others
-            found_a += [i] * len(near)
-            found_b += near.tolist()
-        keys = group.column("h").combine_chunks()
-        return pa.table({"a": keys.take(pa.array(found_a, pa.int64())), "b": keys.take(pa.array(found_b, pa.int64()))})
-
-    pairs = keyed.groupBy("bucket", "low_block", "high_block").applyInArrow(agreeing, "a binary, b binary")
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
+    whole = parts.groupBy("bucket").agg(
+        F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("squares"))
+    several = whole.filter(F.col("squares") < F.col("size") * F.col("size")).select(
+        "bucket", "main", "size", ((F.col("size") * F.col("size") - F.col("squares")) / 2).alias("torn"))
+    return placed.join(several, "bucket")
+
+
+def _to_main(torn: DataFrame, turn: int) -> DataFrame:
+    """Each member outside its bucket's main component with a few members of that component, others each turn.
+
+    A text's picks from all its buckets are put together before they become pairs, so no comparison is made twice.
+    """
+    picks = [F.min_by("h", F.xxhash64("h", "bucket", F.lit(turn * PICKS + i))) for i in range(PICKS)]
+    picked = torn.filter("root = main").groupBy("bucket").agg(F.array(*picks).alias("picks"))
+    outside = torn.filter("root != main").select("bucket", "h", "bytes").join(picked, "bucket")
+    together = outside.groupBy("h", "bytes").agg(F.array_distinct(F.flatten(F.collect_list("picks"))).alias("picks"))
+    return together.select(F.col("h").alias("a"), F.explode("picks").alias("b"), "bytes")
+
+
+def _across(torn: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs of a bucket that lie in different components and agree enough to be a link.
+
+    One text of such a pair lies outside the main component. Those are dealt into chunks, all members into blocks, and
+    every chunk meets every block.
+    """
+    outside = torn.filter("root != main")
+    chunks = outside.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    known = torn.join(chunks, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches.select("h", "short"), "h")
+    place = F.xxhash64("h")
+    members = known.select(
+        "bucket", F.pmod(place, F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "h", "root", "short")
+    others = known.filter("root != main").select(
+        F.col("bucket").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("of_block"),
+        F.pmod(place, F.col("chunks")).alias("of_chunk"), F.col("main").alias("of_main"), *[F.col(c).alias(f"of_{c}") for c in ("h", "root", "short", "bytes")])
+
+    def agreeing(all_: pa.Table, few: pa.Table) -> pa.Table:
+        def read(table: pa.Table, *names: str) -> tuple[np.ndarray, ...]:
+            *keys, short = [table.column(c).to_pylist() for c in names]
+            return (*[np.array(x, object) for x in keys], np.frombuffer(b"".join(short), "<u2").reshape(table.num_rows, SIZE))
+
+        (keys, roots, short), (own, own_roots, own_short) = read(all_, "h", "root", "short"), read(few, "of_h", "of_root", "of_short")
+        found_a, found_b, sizes = [], [], []
+        if len(keys) and len(own):
+            main = few.column("of_main")[0].as_py()
+            for i, size in enumerate(few.column("of_bytes").to_pylist()):
+                # Two texts that are both outside the main component meet twice; one time counts.
+                near = np.flatnonzero(((roots == main) | (keys < own[i])) & (roots != own_roots[i]))
+                near = near[(short[near] == own_short[i]).mean(axis=1) >= LEAST_AGREEMENT]
+                found_a += [own[i]] * len(near)
+                found_b += keys[near].tolist()
+                sizes += [size] * len(near)
+        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary()), "bytes": pa.array(sizes, pa.int32())})
+
+    meet = members.groupBy("bucket", "block", "chunk").cogroup(others.groupBy("of", "of_block", "of_chunk"))
+    return meet.applyInArrow(agreeing, "a binary, b binary, bytes int").distinct()
+
+
+def _roots(links: DataFrame, texts: DataFrame, buckets: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Components of the verified links, and of all links between components that share a bucket.
+
+    As long as the pairs from different components are many against the members, members outside a bucket's main
+    component are compared with single members of it, which brings most of them in; the rest is compared in full.
+    """
+    roots = connected_components(links)
+    for turn in range(TURNS + 1):
+        torn = materialize(_torn(buckets, roots), "torn")
+        members, pairs = torn.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("torn") / F.col("size")), F.lit(0.0))).first()
+        if not members:
+            break
+        full = turn == TURNS or pairs <= FEW_PAIRS * members
+        more = materialize(_across(torn, sketches) if full else _to_main(torn, turn), "across")
+        more = materialize(_verified(more, texts, threshold), "verified")
+        if not more.isEmpty():
+            roots = connected_components(roots.toDF("a", "b").unionByName(more))
+        if full:
+            break
+    return roots
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -250,18 +303,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     plain = docs.select(column(key).alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
     keyed = plain.withColumn("h", text_key(F.col("text")))
     copies = materialize(keyed.select("h", "doc_id").groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "copies")
-    sketched = keyed.select("h", _sketch(F.col("text")).alias("sketch")).select("h", "sketch.*").dropDuplicates(["h"])
+    sketched = keyed.select("h", F.octet_length("text").alias("bytes"), _sketch(F.col("text")).alias("sketch")).select(
+        "h", "bytes", "sketch.*").dropDuplicates(["h"])
     sketches = materialize(sketched, "sketches")
     buckets = materialize(_buckets(sketches), "buckets")
-    pairs = materialize(buckets.filter("h != rep").select(F.col("h").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    pairs = materialize(buckets.filter("h != rep").select(F.col("h").alias("a"), F.col("rep").alias("b"), "bytes").distinct(), "pairs")
     near = buckets.select("h").distinct()
     texts = materialize(keyed.select("h", "text").dropDuplicates(["h"]).join(near, "h", "left_semi"), "texts")
     links = materialize(_verified(pairs, texts, threshold), "verified")
-    roots = connected_components(links)
-    more = materialize(_across(buckets, roots, sketches), "across")
-    if not more.isEmpty():
-        links = links.unionByName(materialize(_verified(more, texts, threshold), "verified"))
-        roots = connected_components(links)
+    roots = _roots(links, texts, buckets, sketches, threshold)
     placed = copies.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     lead = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "h"))
     whole = placed.groupBy("root").agg(lead.alias("lead"), F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows"))
