@@ -45,8 +45,8 @@ LEAST_AGREEMENT = 0.6  # a pair at 0.8 agrees in fewer of 100 components with pr
 GROUP_BYTES = 8 << 20
 BLOCK = 512
 TURNS, PICKS, FEW_PAIRS = 2, 4, 4
-CHUNK = 400_000
-CACHE = 400_000
+CHUNK = 200_000
+CACHE = 150_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,25 +107,19 @@ def prob_minhash(of: np.ndarray, runs: np.ndarray, weight: np.ndarray, texts: in
     return signature.reshape(texts, size)
 
 
-def _chunks(sets: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[range]:
-    start, held = 0, 0
-    for i, (runs, _) in enumerate(sets):
-        held += len(runs)
-        if held >= CHUNK:
-            yield range(start, i + 1)
-            start, held = i + 1, 0
-    if start < len(sets):
-        yield range(start, len(sets))
-
-
 def signatures(texts: list[bytes], shingler: Shingler, size: int = SIZE) -> np.ndarray:
-    sets = [shingler.weights(t) for t in texts]
+    """Signatures of texts, of which about CHUNK runs are held at a time."""
     out = np.zeros((len(texts), size), np.uint64)
-    for chunk in _chunks(sets):
-        own = [sets[i] for i in chunk]
-        of = np.repeat(np.arange(len(own)), [len(runs) for runs, _ in own])
-        if len(of):
-            out[chunk.start : chunk.stop] = prob_minhash(of, np.concatenate([r for r, _ in own]), np.concatenate([w for _, w in own]), len(own), size)
+    sets: list[tuple[np.ndarray, np.ndarray]] = []
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        sets.append(shingler.weights(text))
+        held += len(sets[-1][0])
+        if held >= CHUNK or i + 1 == len(texts):
+            if held:
+                of = np.repeat(np.arange(len(sets)), [len(runs) for runs, _ in sets])
+                out[start : i + 1] = prob_minhash(of, np.concatenate([r for r, _ in sets]), np.concatenate([w for _, w in sets]), len(sets), size)
+            sets, start, held = [], i + 1, 0
     return out
 
 
