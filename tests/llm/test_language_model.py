@@ -121,3 +121,12 @@ def test_packed_numbers():
     draw = np.random.default_rng(1)
     for numbers in ([], [0], [127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28 - 1], draw.integers(0, 2**28, 500).tolist(), draw.integers(0, 300, 500).tolist()):
         assert lm.unpacked_numbers(lm.packed_numbers(np.array(numbers, np.int64))).tolist() == numbers
+
+
+def test_contexts_have_five_bytes(spark):
+    """What follows "bcde" is told by the byte before it only."""
+    rows = [(i, ("abcdex", "zbcdey")[i % 2], False) for i in range(20)] + [(20, "abcdexq", True), (21, "abcdeyq", True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    score = {r.doc_id: r.score for r in lm.score_documents(df, F.col("held_out")).collect()}
+    assert score[20] > score[21] + 0.5
+    assert int.from_bytes(b"\x01cdefgh", "big") in lm.counted_grams(b"\nabcdefgh")[0].tolist()
