@@ -4,18 +4,19 @@ A text is a weighted set: its runs of five words, weighted by how often they occ
 arrivals whose rate is its weight; each arrival falls on one of the signature's components, and a component keeps the
 run that arrived there first. A run's process stops as soon as it has passed the latest of the first arrivals, so a
 text takes about (runs + size x log size) arrivals. Two texts agree in a component with the probability Jaccard
-similarity of their weighted sets.
+similarity of their weighted sets. The same arrivals with every weight 1 give a second, plain signature, whose components
+agree with the plain Jaccard similarity; it differs from the first where a text repeats a run.
 
-Equal texts are taken together first (by MD5), and only one of them goes on. Bands of the signature make buckets. Each
+Equal texts are taken together first (by MD5), and only one of them goes on. Bands of both signatures make buckets. Each
 member of a bucket is compared with one member, its smallest: by exact shingles, in groups of bounded size. Verified
 pairs are links and give components. Buckets whose members then lie in several components are gone through again: first
 members outside a bucket's largest component are compared with a few members of it, twice at most; then the pairs from
-different components that are left and whose signatures agree enough are verified, in blocks of bounded size. So large
+different components that are left and whose signatures of one kind agree enough are verified, in blocks of bounded size. So large
 groups cost a few comparisons per member and bucket, and no pair of a shared bucket that could join two components is
 left out.
 
 A pair is a link when its probability Jaccard similarity or its plain Jaccard similarity reaches the threshold. A pair
-at 0.8 shares no band with probability 2e-6 (25 bands of 4).
+at 0.8 in either shares no band with probability 2e-6 at most (25 bands of 4 from each signature).
 
 Rows: words are runs without ASCII blanks, ASCII letters in lower case. A text with fewer words than a run has one run
 of all its words. Null counts as empty; texts without words are alike only if equal. Every row of the input has a row
@@ -108,8 +109,8 @@ def prob_minhash(of: np.ndarray, runs: np.ndarray, weight: np.ndarray, texts: in
 
 
 def signatures(texts: list[bytes], shingler: Shingler, size: int = SIZE) -> np.ndarray:
-    """Signatures of texts, of which about CHUNK runs are held at a time."""
-    out = np.zeros((len(texts), size), np.uint64)
+    """Signatures of texts (texts x 2 x size), by weight and with every weight 1; about CHUNK runs are held at a time."""
+    out = np.zeros((len(texts), 2, size), np.uint64)
     sets: list[tuple[np.ndarray, np.ndarray]] = []
     start, held = 0, 0
     for i, text in enumerate(texts):
@@ -118,7 +119,13 @@ def signatures(texts: list[bytes], shingler: Shingler, size: int = SIZE) -> np.n
         if held >= CHUNK or i + 1 == len(texts):
             if held:
                 of = np.repeat(np.arange(len(sets)), [len(runs) for runs, _ in sets])
-                out[start : i + 1] = prob_minhash(of, np.concatenate([r for r, _ in sets]), np.concatenate([w for _, w in sets]), len(sets), size)
+                runs = np.concatenate([r for r, _ in sets])
+                out[start : i + 1] = prob_minhash(of, runs, np.concatenate([w for _, w in sets]), len(sets), size)[:, None]
+                repeat = np.flatnonzero([w.max(initial=1) > 1 for _, w in sets])
+                if len(repeat):
+                    runs = np.concatenate([sets[k][0] for k in repeat.tolist()])
+                    of = np.repeat(np.arange(len(repeat)), [len(sets[k][0]) for k in repeat.tolist()])
+                    out[start + repeat, 1] = prob_minhash(of, runs, np.ones(len(runs)), len(repeat), size)
             sets, start, held = [], i + 1, 0
     return out
 
@@ -150,23 +157,32 @@ def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.nda
 
 
 def _sketch(text: Column) -> Column:
-    """struct of the band hashes (none for a text without words) and two bytes of each component."""
+    """struct of the band hashes of both signatures (none for a text without words) and two bytes of each component, by
+    weight (`short`) and with every weight 1 (`plain`, null where it is the same)."""
 
     def make():
         shingler = Shingler(WIDTH)
 
+        def two_bytes(signature: np.ndarray) -> np.ndarray:
+            return (mixed(signature) & np.uint64(0xFFFF)).astype("<u2")
+
         def apply(texts: pa.Array) -> pa.Array:
-            signature = signatures(utf8(texts), shingler)
-            bands = band_hashes(signature).view(np.int64)
-            empty = ~signature.any(axis=1)
-            short = (mixed(signature) & np.uint64(0xFFFF)).astype("<u2")
-            lists = [[] if e else b for e, b in zip(empty.tolist(), bands.tolist(), strict=True)]
+            both = signatures(utf8(texts), shingler)
+            weighted, plain = both[:, 0], both[:, 1]
+            empty, other = ~weighted.any(axis=1), (weighted != plain).any(axis=1)
+            lists = [[] if e else b for e, b in zip(empty.tolist(), band_hashes(weighted).view(np.int64).tolist(), strict=True)]
+            short, plain_short = [s.tobytes() for s in two_bytes(weighted)], [None] * len(lists)
+            apart = np.flatnonzero(other)
+            more = zip(apart.tolist(), band_hashes(plain[apart]).view(np.int64).tolist(), two_bytes(plain[apart]), strict=True)
+            for i, bands, components in more:
+                lists[i] = list(dict.fromkeys(lists[i] + bands))
+                plain_short[i] = components.tobytes()
             return pa.StructArray.from_arrays(
-                [pa.array(lists, pa.list_(pa.int64())), pa.array([s.tobytes() for s in short], pa.binary())], names=["bands", "short"])
+                [pa.array(lists, pa.list_(pa.int64())), pa.array(short, pa.binary()), pa.array(plain_short, pa.binary())], names=["bands", "short", "plain"])
 
         return apply
 
-    return arrow_function(make, "struct<bands:array<bigint>,short:binary>")(text)
+    return arrow_function(make, "struct<bands:array<bigint>,short:binary,plain:binary>")(text)
 
 
 def text_key(text: Column) -> Column:
@@ -238,27 +254,34 @@ def _across(torn: DataFrame, sketches: DataFrame) -> DataFrame:
     """
     outside = torn.filter("root != main")
     chunks = outside.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
-    known = torn.join(chunks, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches.select("h", "short"), "h")
+    known = torn.join(chunks, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).join(sketches.select("h", "short", "plain"), "h")
     place = F.xxhash64("h")
     members = known.select(
-        "bucket", F.pmod(place, F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "h", "root", "short")
+        "bucket", F.pmod(place, F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "h", "root", "short", "plain")
     others = known.filter("root != main").select(
         F.col("bucket").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("of_block"),
-        F.pmod(place, F.col("chunks")).alias("of_chunk"), F.col("main").alias("of_main"), *[F.col(c).alias(f"of_{c}") for c in ("h", "root", "short", "bytes")])
+        F.pmod(place, F.col("chunks")).alias("of_chunk"), F.col("main").alias("of_main"), *[F.col(c).alias(f"of_{c}") for c in ("h", "root", "short", "plain", "bytes")])
 
     def agreeing(all_: pa.Table, few: pa.Table) -> pa.Table:
         def read(table: pa.Table, *names: str) -> tuple[np.ndarray, ...]:
-            *keys, short = [table.column(c).to_pylist() for c in names]
-            return (*[np.array(x, object) for x in keys], np.frombuffer(b"".join(short), "<u2").reshape(table.num_rows, SIZE))
-
-        (keys, roots, short), (own, own_roots, own_short) = read(all_, "h", "root", "short"), read(few, "of_h", "of_root", "of_short")
+            *keys, short, plain = [table.column(c).to_pylist() for c in names]
+            components = [b"".join(short), b"".join(s if p is None else p for s, p in zip(short, plain, strict=True))]
+            return (
+                *[np.array(x, object) for x in keys], *[np.frombuffer(x, "<u2").reshape(table.num_rows, SIZE) for x in components],
+                np.array([p is not None for p in plain], bool))
+
+        keys, roots, short, plain, repeats = read(all_, "h", "root", "short", "plain")
+        own, own_roots, own_short, own_plain, own_repeats = read(few, "of_h", "of_root", "of_short", "of_plain")
         found_a, found_b, sizes = [], [], []
         if len(keys) and len(own):
             main = few.column("of_main")[0].as_py()
             for i, size in enumerate(few.column("of_bytes").to_pylist()):
                 # Two texts that are both outside the main component meet twice; one time counts.
                 near = np.flatnonzero(((roots == main) | (keys < own[i])) & (roots != own_roots[i]))
-                near = near[(short[near] == own_short[i]).mean(axis=1) >= LEAST_AGREEMENT]
+                agree = (short[near] == own_short[i]).mean(axis=1) >= LEAST_AGREEMENT
+                again = np.flatnonzero(~agree & (repeats[near] | own_repeats[i]))
+                agree[again] = (plain[near[again]] == own_plain[i]).mean(axis=1) >= LEAST_AGREEMENT
+                near = near[agree]
                 found_a += [own[i]] * len(near)
                 found_b += keys[near].tolist()
                 sizes += [size] * len(near)

@@ -146,3 +146,36 @@ def test_components(spark):
     wanted = roots({n for a, b in links for n in (a, b) if a != b}, links)
     assert {r.node: r.root for r in found} == wanted and len(found) == len(wanted)
     assert connected_components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def unevenly_repeated():
+    """Pairs with plain Jaccard 1 and probability Jaccard below 0.3: a separator row once, and 300 times."""
+    texts = []
+    for i in range(8):
+        base = prose(700 + i, 90)
+        texts += [base + " |" * 5, base + " |" * 304]
+    return texts
+
+
+def only_plain(one, two):
+    shingler = near_dedup.Shingler(5)
+    (a, x), (b, y) = shingler.weights(one.encode()), shingler.weights(two.encode())
+    assert (a == b).all()
+    assert sum(1 / np.maximum(x / x[i], y / y[i]).sum() for i in range(len(a))) < 0.3
+
+
+def test_links_by_plain_similarity_are_candidates(spark):
+    texts = unevenly_repeated()
+    for i in range(0, len(texts), 2):
+        only_plain(texts[i], texts[i + 1])
+    found = near_dedup.near_duplicates(spark.createDataFrame([document(i, t) for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in found} == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_links_by_plain_similarity_join_components(spark, monkeypatch):
+    """In one bucket of unlike texts, the pairs across components are picked by the agreement of either signature."""
+    real = near_dedup._buckets
+    monkeypatch.setattr(near_dedup, "_buckets", lambda sketches: real(sketches.withColumn("bands", F.array(F.lit(7).cast("long")))))
+    rows = [document(i, t) for i, t in enumerate(unevenly_repeated())]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in found} == {i: i - i % 2 for i in range(len(rows))}
