@@ -43,7 +43,7 @@ NAME_WEIGHTS = {
 }
 HARMLESS_NAMES = {"public", "hint", "name", "file", "path", "url", "type", "length", "size", "count", "field", "policy", "expires", "prompt", "label"}
 PLACEHOLDERS = {"none", "null", "true", "false", "changeme", "example", "placeholder", "password", "secret", "token", "string", "undefined", "required", "optional", "redacted"}
-SENSITIVE = re.compile("pass|pwd|secret|token|key|cred|auth|bearer|salt", re.I | re.A)
+SENSITIVE = re.compile("|".join(NAME_WEIGHTS), re.I | re.A)
 LEAST_NAME, LEAST_TOTAL, LEAST_LITERAL = 3, 6, 6
 VALUE_PARTS = 1000  # a value that joins more literals is read as far as these; names given in rings stay bounded so
 

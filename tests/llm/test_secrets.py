@@ -74,3 +74,10 @@ def test_columns(spark, hard, texts):
     rows = hard.select("text", secrets.scan(F.col("text")).alias("found"), secrets.redact(F.col("text")).alias("new")).collect()
     assert [[(secrets.KINDS.index(x.kind), x.start, x.end) for x in r.found] for r in rows] == [[(k, s, e) for s, k, e, _ in secrets.findings(t)] for t in texts]
     assert all((r.new is None) == (r.text is None) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["session_cookie_signature", "webhook_signing_signature", "private_api_signature", "encryptionAccessSession"])
+def test_findings_do_not_depend_on_other_text(name):
+    text = f"{name} = 'zT9kQ2mLp4vB7xR1'\n"
+    assert names(text, "literal") == ["zT9kQ2mLp4vB7xR1"]
+    assert secrets.findings(text) == secrets.findings(text + "A word on the key.\n")
