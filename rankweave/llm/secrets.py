@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -45,13 +46,15 @@ HARMLESS_NAMES = {"public", "hint", "name", "file", "path", "url", "type", "leng
 PLACEHOLDERS = {"none", "null", "true", "false", "changeme", "example", "placeholder", "password", "secret", "token", "string", "undefined", "required", "optional", "redacted"}
 SENSITIVE = re.compile("|".join(NAME_WEIGHTS), re.I | re.A)
 LEAST_NAME, LEAST_TOTAL, LEAST_LITERAL = 3, 6, 6
-VALUE_PARTS = 1000  # a value that joins more literals is read as far as these; names given in rings stay bounded so
+STRIPPED = "<>[]{}$%*.x-_ "
+HARMLESS = re.compile(r"\s|\$\{|\{\{|<[a-z]")
+EDGE = 16  # longer than any placeholder
 
 _STRING = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'"
 LEXER = re.compile(
     rf"""(?P<open><(?P<tag>[A-Za-z_][\w.-]*)>(?P<inner>[^<>\s]+)</(?P=tag)>)
       |(?<![\w.$-])(?P<quote>["']?)(?P<name>[A-Za-z_$][\w.-]*)(?P=quote)
-       (?P<index>\[\s*(?:"(?:[^"\\\n]{{0,200}})"|'(?:[^'\\\n]{{0,200}})')\s*\])?
+       (?P<index>\[\s*(?:"(?:[^"\\\n]*)"|'(?:[^'\\\n]*)')\s*\])?
        [ \t]*(?P<op>:=|=>|=(?!=)|:(?![:/]))[ \t]*""",
     re.X | re.A,
 )
@@ -69,16 +72,72 @@ class Literal:
     end: int
 
 
+class Value:
+    """Literals joined in order, and a summary of the joined text, without masks, that is enough to score it.
+
+    The parts are literals and other values, which are shared: a value that doubles another one costs one more node.
+    `sketch` is the text shortened so that its ends, the characters between them and all short texts stay.
+    """
+
+    __slots__ = ("parts", "length", "counts", "sketch", "harmless")
+
+    def __init__(self, parts: list[Literal | Value]):
+        self.parts, self.length, self.sketch, self.harmless = parts, 0, "", False
+        self.counts: Counter[str] = Counter()
+        for part in parts:
+            if isinstance(part, Literal):
+                text = part.text.replace(MASK, "")
+                length, counts, sketch, harmless = len(text), Counter(text), _shortened(text), bool(HARMLESS.search(text))
+            else:
+                length, counts, sketch, harmless = part.length, part.counts, part.sketch, part.harmless
+            self.harmless = self.harmless or harmless or bool(HARMLESS.search(self.sketch[-1:] + sketch[:1]))
+            self.length += length
+            for symbol, n in counts.items():
+                self.counts[symbol] += n
+            self.sketch = _shortened(self.sketch + sketch)
+
+    @property
+    def text(self) -> str:
+        out, left = [], [self]
+        while left:
+            part = left.pop()
+            if isinstance(part, Literal):
+                out.append(part.text)
+            else:
+                left.extend(reversed(part.parts))
+        return "".join(out)
+
+    def literals(self, met: set[int]) -> Iterator[Literal]:
+        """The literals of this value and of its parts that are not in `met`, to which they are added."""
+        left = [self]
+        while left:
+            part = left.pop()
+            if isinstance(part, Literal):
+                yield part
+            elif id(part) not in met:
+                met.add(id(part))
+                left.extend(part.parts)
+
+
+def _shortened(text: str) -> str:
+    """A text that has the same ends, and the same characters before, in and after what STRIPPED leaves."""
+    if len(text) <= 2 * EDGE:
+        return text
+    lead, tail = len(text) - len(text.lstrip(STRIPPED)), len(text.rstrip(STRIPPED))
+    runs = (text[:lead], text[lead:tail], text[max(lead, tail) :])
+    return "".join(x if len(x) <= 2 * EDGE else x[:EDGE] + "".join(dict.fromkeys(x[EDGE:-1])) + x[-1] for x in runs)
+
+
 @dataclass(frozen=True)
 class Pair:
     """A name with the literals that make its value, constants already put in."""
 
     name: str
-    literals: tuple[Literal, ...]
+    held: Value
 
     @property
     def value(self) -> str:
-        return "".join(x.text for x in self.literals)
+        return self.held.text
 
 
 def name_score(name: str) -> int:
@@ -88,53 +147,53 @@ def name_score(name: str) -> int:
     return sum(NAME_WEIGHTS.get(w, 0) for w in dict.fromkeys(words))
 
 
-def literal_score(value: str) -> int:
-    """How much a literal looks like a secret; negative for placeholders, masks and prose."""
-    value = value.replace(MASK, "")
-    bare = value.strip("<>[]{}$%*.x-_ ").lower()
-    if len(value) < LEAST_LITERAL or bare in PLACEHOLDERS or len(set(bare)) < 4 or re.search(r"\s|\$\{|\{\{|<[a-z]", value):
+def literal_score(value: Value) -> int:
+    """How much a value looks like a secret; negative for placeholders, masks and prose."""
+    bare = value.sketch.strip(STRIPPED).lower()
+    if value.length < LEAST_LITERAL or bare in PLACEHOLDERS or len(set(bare)) < 4 or value.harmless:
         return -9
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    return (len(value) >= 8) + (len(value) >= 16) + (kinds >= 2) + (kinds >= 3) + (entropy >= 3.0) + bool(re.search("[0-9]", value))
+    symbols = "".join(value.counts)
+    kinds = sum(bool(re.search(p, symbols)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    shares = [n / value.length for n in value.counts.values()]
+    entropy = -sum(x * math.log2(x) for x in shares if x)  # a share may be too small for a float
+    return (value.length >= 8) + (value.length >= 16) + (kinds >= 2) + (kinds >= 3) + (entropy >= 3.0) + bool(re.search("[0-9]", symbols))
 
 
 def pairs(text: str) -> list[Pair]:
     """Assignments in order, with names already known replaced by their literals."""
-    known: dict[str, tuple[Literal, ...]] = {}
+    known: dict[str, Value] = {}
     found = []
     for m in LEXER.finditer(text):
         if m["open"]:
-            found.append(Pair(m["tag"], (Literal(m["inner"], *m.span("inner")),)))
+            found.append(Pair(m["tag"], Value([Literal(m["inner"], *m.span("inner"))])))
             continue
         name = m["name"] + (m["index"] or "")
-        literals = _value(text, m.end(), known)
-        if literals is None and (bare := BARE.match(text, m.end())) and LINE_START.search(text[max(0, m.start() - 40) : m.start()]):
+        value = _value(text, m.end(), known)
+        if value is None and (bare := BARE.match(text, m.end())) and LINE_START.search(text[max(0, m.start() - 40) : m.start()]):
             rest = text.find("\n", bare.end())
             tail = text[bare.end() : rest if rest >= 0 else len(text)][:80].strip()
             if not tail or tail[0] in "#;,":
-                literals = (Literal(bare[0], *bare.span()),)
-        if literals:
-            found.append(Pair(name, literals))
-            known[name] = literals
+                value = Value([Literal(bare[0], *bare.span())])
+        if value:
+            found.append(Pair(name, value))
+            known[name] = value
     return found
 
 
-def _value(text: str, at: int, known: dict[str, tuple[Literal, ...]]) -> tuple[Literal, ...] | None:
-    """The literals of an expression of strings and known names joined by + or `..`; None if it is something else."""
-    literals: list[Literal] = []
+def _value(text: str, at: int, known: dict[str, Value]) -> Value | None:
+    """The value of an expression of strings and known names joined by + or `..`; None if it is something else."""
+    parts: list[Literal | Value] = []
     while part := PART.match(text, at):
         if part["string"]:
-            literals.append(Literal(part[0][1:-1], part.start() + 1, part.end() - 1))
+            parts.append(Literal(part[0][1:-1], part.start() + 1, part.end() - 1))
         elif part["ref"] in known:
-            literals.extend(known[part["ref"]])
+            parts.append(known[part["ref"]])
         else:
-            return tuple(literals) or None
-        if len(literals) >= VALUE_PARTS or not (joined := JOINER.match(text, part.end())):
+            break
+        if not (joined := JOINER.match(text, part.end())):
             break
         at = joined.end()
-    return tuple(literals) or None
+    return Value(parts) if parts else None
 
 
 def base_findings(text: str) -> list[tuple[int, int, int, int]]:
@@ -152,11 +211,11 @@ def findings(text: str) -> list[tuple[int, int, int, int]]:
     """All findings in order: (start, kind number, end, start of the secret itself)."""
     found = base_findings(text)
     if ("=" in text or ":" in text or "</" in text) and SENSITIVE.search(text):
-        extra = set()
-        for pair in pairs(text):
+        extra, met, read = set(), set(), pairs(text)
+        for pair in read:
             weight = name_score(pair.name)
-            if weight >= LEAST_NAME and weight + literal_score(pair.value) >= LEAST_TOTAL:
-                extra |= {(x.start, 3, x.end, x.start) for x in pair.literals if x.end > x.start}
+            if weight >= LEAST_NAME and weight + literal_score(pair.held) >= LEAST_TOTAL:
+                extra |= {(x.start, 3, x.end, x.start) for x in pair.held.literals(met) if x.end > x.start}
         found += _outside(extra, found)
     return sorted(found)
 

@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +84,35 @@ def test_findings_do_not_depend_on_other_text(name):
     text = f"{name} = 'zT9kQ2mLp4vB7xR1'\n"
     assert names(text, "literal") == ["zT9kQ2mLp4vB7xR1"]
     assert secrets.findings(text) == secrets.findings(text + "A word on the key.\n")
+
+
+def test_all_literals_of_long_values():
+    parts = [f"p{i}Qz" for i in range(2500)]
+    assert names("passphrase = " + " + ".join(f'"{x}"' for x in parts), "literal") == parts
+    assert names('passphrase = "aB3dE6gH9"\n' + "".join(f'passphrase = passphrase + "{x}"\n' for x in parts), "literal") == ["aB3dE6gH9", *parts]
+    assert names(f"conf[\"{'a_' * 300}private_key\"] = 'MIIabc1234567'", "literal") == ["MIIabc1234567"]
+    rings = "".join(f"passphrase{i} = passphrase{i - 1} + passphrase{i - 1}\n" for i in range(1, 3000))
+    assert names('passphrase0 = "aB3dE6gH9"\n' + rings + 'passphrase = passphrase2999 + "Q7"\n', "literal") == ["aB3dE6gH9", "Q7"]
+
+
+def test_scores_of_joined_values_equal_those_of_the_text():
+    def plain(value):
+        value = value.replace(secrets.MASK, "")
+        bare = value.strip("<>[]{}$%*.x-_ ").lower()
+        if len(value) < 6 or bare in secrets.PLACEHOLDERS or len(set(bare)) < 4 or re.search(r"\s|\$\{|\{\{|<[a-z]", value):
+            return -9
+        kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
+        return (len(value) >= 8) + (len(value) >= 16) + (kinds >= 2) + (kinds >= 3) + (entropy >= 3.0) + bool(re.search("[0-9]", value))
+
+    draw, seen = random.Random(3), Counter()
+    pieces = ["", "x", "-" * 40, "sec", "ret", "exa", "mple", "$", "{", "<", "a", "aB3", "Zq9!", secrets.MASK, "x.x", "token", "é", " ", "abc" * 30, "0123456789abcdef"]
+    for _ in range(4000):
+        few = draw.sample(pieces, 4)
+        value, text = secrets.Value([secrets.Literal("", 0, 0)]), ""
+        for x in draw.choices(few, k=draw.randint(1, 12)):
+            literal = secrets.Literal(x, 0, len(x))
+            value, text = (secrets.Value([value, literal]), text + x) if draw.random() < 0.5 else (secrets.Value([literal, value]), x + text)
+        assert value.text == text and secrets.literal_score(value) == plain(text), text
+        seen[plain(text)] += 1
+    assert len(seen) > 4
