@@ -17,6 +17,8 @@ from rankweave.operators.ordering import exact_median
 from rankweave.operators.sampling import split
 from rankweave.session import materialize
 
+BLOCK = 1000  # centres that are compared with as many others at a time
+
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
@@ -75,7 +77,7 @@ def davies_bouldin(points: DataFrame) -> DataFrame:
     """(davies_bouldin): mean over clusters of the worst ratio of spreads to centre distance.
 
     Centres are looked up by every point through a measured broadcast or with salt, and compared with each other:
-    clusters x clusters rows, whatever the number of points.
+    clusters x clusters rows, whatever the number of points, in blocks of about BLOCK x BLOCK pairs.
     """
     centres = materialize(centroids(points).select("cluster", "centre"), "centres")
     gaps = F.zip_with("point", "centre", lambda x, c: (x - c) * (x - c))
@@ -83,9 +85,12 @@ def davies_bouldin(points: DataFrame) -> DataFrame:
     spreads = lookup_join(placed, centres, ["cluster"], ["point"], fits_in_memory(centres)).groupBy("cluster", "centre").agg(
         F.avg(F.sqrt(_sum(gaps))).alias("spread"))
     known = materialize(spreads, "spreads")
-    other = known.select(*[F.col(c).alias(f"other_{c}") for c in known.columns])
+    parts = -(-known.count() // BLOCK) or 1
+    part, every = F.pmod(F.xxhash64("cluster"), F.lit(parts)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    one = known.select("*", part.alias("part"), every.alias("other_part"))
+    other = known.select(*[F.col(c).alias(f"other_{c}") for c in known.columns], part.alias("other_part"), every.alias("part"))
     apart = F.sqrt(_sum(F.zip_with("centre", "other_centre", lambda x, c: (x - c) * (x - c))))
-    ratios = known.join(other, F.col("cluster") != F.col("other_cluster")).select(
+    ratios = one.join(other, ["part", "other_part"]).filter(F.col("cluster") != F.col("other_cluster")).select(
         "cluster", F.try_divide(F.col("spread") + F.col("other_spread"), apart).alias("ratio"))
     return ratios.groupBy("cluster").agg(F.max("ratio").alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 

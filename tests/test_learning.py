@@ -150,3 +150,14 @@ def test_cluster_measures_against_numpy(spark):
     assert sweep[1]["silhouette"] > sweep[0]["silhouette"]
     few = clustering.k_sweep(df.drop("cluster").limit(12), "id", [11]).first()
     assert few["k"] == 11 and few["silhouette"] is None
+
+
+def test_centres_are_compared_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = spark.createDataFrame([(i % 23, [float(v) for v in rng.normal(i % 23, 1.0, 3)]) for i in range(115)], "cluster int, point array<double>")
+    whole = clustering.davies_bouldin(points).first()[0]
+    monkeypatch.setattr(clustering, "BLOCK", 4)
+    blocked = clustering.davies_bouldin(points)
+    assert blocked.first()[0] == pytest.approx(whole)
+    plan = blocked._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
