@@ -93,6 +93,14 @@ def fit_classifier(rows: DataFrame, kernel: bool = True, components: int = 256,
     return _converged(model, model.stages[-1].summary().totalIterations, max_iter)
 
 
+def solver_report(model: PipelineModel) -> list[tuple[str, float]]:
+    """(measure, value) of a classifier that was just fitted: whether it settled before its limit, steps, objective."""
+    learner = model.stages[-1]
+    summary = learner.summary()
+    steps = summary.totalIterations
+    return [("converged", float(steps < learner.getMaxIter())), ("steps", float(steps)), ("objective", float(summary.objectiveHistory[-1]))]
+
+
 def fit_regressor(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
                   max_iter: int = MOST_STEPS, reg: float = 1e-3) -> PipelineModel:
     """Robust (Huber) regression on rows with columns `features` (array) and `label`."""

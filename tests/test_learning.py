@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankweave.operators import adarank, clustering, models
+from rankweave.plans import study
 from rankweave.session import new_path
 
 
@@ -161,3 +162,12 @@ def test_centres_are_compared_in_blocks(spark, monkeypatch):
     assert blocked.first()[0] == pytest.approx(whole)
     plan = blocked._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("steps", [2, 2000])
+def test_fit_quality_tells_whether_the_solver_settled(labelled, monkeypatch, steps):
+    fit = models.fit_classifier
+    monkeypatch.setattr(models, "fit_classifier", lambda rows, seed: fit(rows, kernel=False, max_iter=steps, reg=0.1, seed=seed))
+    found = {(r.part, r.measure): r.value for r in study.fit_quality(labelled[1], graded=False).collect()}
+    assert found["fit", "converged"] == float(found["fit", "steps"] < steps) == float(steps > 2)
+    assert found["fit", "objective"] > 0 and ("test", "accuracy") in found
