@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import bpe, fingerprints, language, language_model, near_dedup, packing, quality, rules, rules_sql, secrets, sharding
+from rankweave.llm import bpe, filter_audit, filter_audit_sql, fingerprints, language, language_model, middle, middle_sql
+from rankweave.llm import near_dedup, neighbours, packing, quality, rules, rules_sql, secrets, sharding
 from rankweave.llm.common import remainder
 from rankweave.session import materialize, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 SHARDS = 16
+NEIGHBOURS = 20
+QUERY_EVERY = 20
 
 
 def register(name: str, sql: str | None = None):
@@ -148,3 +151,23 @@ def bottom_k(spark: SparkSession, folder: str) -> DataFrame:
 def backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return language_model.score_documents(docs, remainder(F.col("doc_id"), 10) == 0)
+
+
+@register("op11_filter_audit", filter_audit_sql.SQL)
+def audit_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+
+
+@register("op12_pruned_graph")
+def pruned_graph(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(embeddings, F.col("vec_id") % QUERY_EVERY == 0, NEIGHBOURS)
+
+
+@register("op13_middle_regex", middle_sql.SQL)
+def middle_regex(spark: SparkSession, folder: str) -> DataFrame:
+    made = middle.transform(table(spark, folder, "documents", "doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
