@@ -59,6 +59,37 @@ def read_vocabulary(path: str) -> dict:
     return {"tokens": tokens, "merges": merges, "special": special}
 
 
+def exact_parts(vocabulary: dict) -> dict[int, tuple[int, int, int]]:
+    """The last merge (left, right, rank) of each token that the merges build from its own bytes.
+
+    A vocabulary may hold tokens that merging never makes: another merge takes one of their bytes first. They are left
+    out, and no text is ever encoded with them.
+    """
+    rank: dict[tuple[int, int], tuple[int, int]] = {}
+    for i, (left, right, made) in enumerate(vocabulary["merges"]):
+        rank.setdefault((left, right), (i, made))
+    special, of_byte, found = set(vocabulary["special"].values()), {}, {}
+    for i, token in enumerate(vocabulary["tokens"]):
+        if len(token) == 1 and i not in special:
+            of_byte[token[0]] = i
+    if len(of_byte) < 256:
+        raise ValueError("the vocabulary does not cover every byte")
+    for _, _, made in vocabulary["merges"]:
+        if made in found:
+            continue
+        ids, last = [of_byte[b] for b in vocabulary["tokens"][made]], None
+        while len(ids) > 1:
+            best = min(((rank[p], at) for at, p in enumerate(zip(ids, ids[1:], strict=False)) if p in rank), default=None)
+            if best is None:
+                break
+            (order, to), at = best
+            last = (ids[at], ids[at + 1], order)
+            ids[at : at + 2] = [to]
+        if ids == [made] and last:
+            found[made] = last
+    return found
+
+
 class Decoder:
     """Ids to bytes by offsets into all tokens laid end to end."""
 
@@ -84,13 +115,14 @@ class Encoder:
         self.special = special
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.spelled = [token.decode("latin-1") for token in vocabulary["tokens"]]
-        self.ids = {x: i for i, x in enumerate(self.spelled) if x and not (x in special and special[x] == i)}
-        if any(chr(b) not in self.ids for b in range(256)):
-            raise ValueError("the vocabulary does not cover every byte")
-        self.merge, self.parts = {}, {}
-        for rank, (left, right, made) in enumerate(vocabulary["merges"]):
+        self.parts = vocabulary["parts"] if "parts" in vocabulary else exact_parts(vocabulary)
+        self.ids = {
+            x: i for i, x in enumerate(self.spelled)
+            if (len(x) == 1 or i in self.parts) and not (x in special and special[x] == i)
+        }
+        self.merge: dict[int, int] = {}
+        for rank, (left, right, _) in enumerate(vocabulary["merges"]):
             self.merge.setdefault(left << 32 | right, rank)
-            self.parts.setdefault(made, (left, right, rank))
         self.tails = _Cache(lambda token: self._edge(token, 1))
         self.heads = _Cache(lambda token: self._edge(token, 0))
         self.shorter = _Cache(self._shorter)
@@ -219,7 +251,8 @@ class _Cache(dict):
 
 def share(spark: SparkSession, path: str) -> Broadcast:
     """The vocabulary on every executor; its size is that of the tokenizer file."""
-    return spark.sparkContext.broadcast(read_vocabulary(path))
+    vocabulary = read_vocabulary(path)
+    return spark.sparkContext.broadcast(vocabulary | {"parts": exact_parts(vocabulary)})
 
 
 def _as_lists(coded: list[bytes]) -> pa.Array:
