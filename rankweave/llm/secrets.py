@@ -61,7 +61,8 @@ LEXER = re.compile(
 PART = re.compile(rf"(?P<string>{_STRING})|(?P<ref>[A-Za-z_$][\w.]*)(?![\w(])", re.A)
 JOINER = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
 BARE = re.compile(r"[^\s\"'`,;()\[\]{}<>]+")
-LINE_START = re.compile(r"(?:^|\n)[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+|const[ \t]+|let[ \t]+|var[ \t]+)?$")
+LINE_START = re.compile(r"[ \t]*(?:-[ \t]+)?(?:export[ \t]+|set[ \t]+|ENV[ \t]+|const[ \t]+|let[ \t]+|var[ \t]+)?")
+AFTER_BARE = re.compile(r"[^\S\n]*(?:[#;,\n]|\Z)")
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -163,17 +164,20 @@ def pairs(text: str) -> list[Pair]:
     """Assignments in order, with names already known replaced by their literals."""
     known: dict[str, Value] = {}
     found = []
+    line, read, first = 0, 0, True
     for m in LEXER.finditer(text):
+        newline = text.rfind("\n", read, m.start())
+        if newline >= 0:
+            line, first = newline + 1, True
+        # Only the first match of a line can begin it, so a line is looked at once.
+        begins, first, read = first and LINE_START.fullmatch(text, line, m.start()), False, m.start()
         if m["open"]:
             found.append(Pair(m["tag"], Value([Literal(m["inner"], *m.span("inner"))])))
             continue
         name = m["name"] + (m["index"] or "")
         value = _value(text, m.end(), known)
-        if value is None and (bare := BARE.match(text, m.end())) and LINE_START.search(text[max(0, m.start() - 40) : m.start()]):
-            rest = text.find("\n", bare.end())
-            tail = text[bare.end() : rest if rest >= 0 else len(text)][:80].strip()
-            if not tail or tail[0] in "#;,":
-                value = Value([Literal(bare[0], *bare.span())])
+        if value is None and begins and (bare := BARE.match(text, m.end())) and AFTER_BARE.match(text, bare.end()):
+            value = Value([Literal(bare[0], *bare.span())])
         if value:
             found.append(Pair(name, value))
             known[name] = value

@@ -69,8 +69,21 @@ def test_masking():
 def test_long_lines_stay_linear():
     assert secrets.findings("a" * 200_000) == [(0, 2, 200_000, 0)]
     assert secrets.findings("key " * 50_000 + "=") == []
-    chain = "".join(f"key{i} = key{i - 1} + key{i - 1}\n" for i in range(1, 400))
-    assert secrets.findings('key0 = "aB3dE6gH9"\n' + chain)
+    chain = "".join(f"api_key{i} = api_key{i - 1} + api_key{i - 1}\n" for i in range(1, 400))
+    assert names('api_key0 = "aB3dE6gH9"\n' + chain, "literal") == ["aB3dE6gH9"]
+    assert secrets.findings(" " * 100_000 + "a: b " * 20_000 + "\n") == []
+
+
+@pytest.mark.parametrize("blanks", [0, 1, 5, 39, 40, 45, 79, 80, 85, 200, 5000])
+def test_findings_do_not_depend_on_the_number_of_blanks(blanks):
+    """An unquoted value counts on a line of its own only, however far the rest of the line is."""
+    gap, value = " " * blanks, "zT9kQ2mLp4vB7xR1"
+    assert names(f"{gap}db_credential: {value}{gap}\n", "literal") == [value]
+    assert names(f"{gap}db_credential: {value}{gap}# note\n", "literal") == ([value] if blanks else [])
+    assert names(f"{gap}export db_credential={value}", "literal") == [value]
+    assert names(f"prose {gap}db_credential: {value}\n", "literal") == []
+    assert names(f"db_credential: {value} {gap}prose\n", "literal") == []
+    assert names(f"a = 1 {gap}db_credential: {value}\ndb_credential: {value}\n", "literal") == [value]
 
 
 def test_columns(spark, hard, texts):
