@@ -1,7 +1,7 @@
 """Best-fit packing of tokenized documents into sequences by exact complements of lengths.
 
 Only lengths decide, so the plan is made from the histogram of piece lengths: at most `capacity` numbers, whatever the
-size of the corpus. For the longest length left, the planner looks for a single length, then a pair, then a triple that
+size of the corpus. Sums of one, two and three lengths are indexed. For the longest length left, the planner looks for a single length, then a pair, then a triple that
 fills the gap exactly, and uses that combination as often as the counts of its lengths allow. Where no combination
 fits exactly it adds the longest length that fits and looks again. Each step uses up a length, so a plan has a few
 thousand patterns at most.
@@ -18,12 +18,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from string import punctuation
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -37,7 +41,9 @@ from rankweave.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 600_000
+CACHE = 150_000
+SLICE_BYTES = 4 * 1024 * 1024
+KEPT_LENGTH = 64
 PLAIN_LIMIT = "ɐ"  # Latin letters, whose classes no Unicode version changes
 
 
@@ -62,39 +68,54 @@ class WordTokenizer:
         self.pattern = regex.compile(splits[0]["pattern"]["Regex"]) if self.known_form else None
         self.shown = {b: c for c, b in printable_bytes().items()}
         self.other_space = re.compile(f"[{OTHER_SPACE}]")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Known(self._word)
+        self.pieces = _Known(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            spelled = piece if piece.isascii() and piece.isprintable() else "".join(self.shown[b] for b in piece.encode())
-            known = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], np.int32).tobytes()
-            self.pieces[piece] = known
-        return known
+        spelled = piece if piece.isascii() and piece.isprintable() else "".join(self.shown[b] for b in piece.encode())
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if self.known_form and "<|" not in word and max(word) < PLAIN_LIMIT:
-            normal = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-            return b"".join(map(self._piece, self.pattern.findall(normal)))
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.int32).tobytes()
+        if not self.known_form or "<|" in word or not word.isascii() and max(word) >= PLAIN_LIMIT:
+            return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        normal = word.lower() if is_normalized("NFC", word) else self.tokenizer.normalizer.normalize_str(word)
+        pieces = self.pieces
+        if normal.isalpha():
+            return pieces[normal]
+        stem, last = normal[:-1], normal[-1:]
+        if stem.isalpha() and last in punctuation:
+            return pieces[stem] + pieces[last]
+        return b"".join(map(pieces.__getitem__, self.pattern.findall(normal)))
 
     def encode(self, text: str) -> np.ndarray:
         if self.other_space.search(text) or not self.known_form:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        words, out = self.words, []
-        for word in text.split():
-            ids = words.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) <= 64:
-                    words[word] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32)
+        self.words.trim()
+        self.pieces.trim()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.split())), np.int32)
+
+
+class _Known(dict):
+    """Ids of words or pieces met before, in two generations: when the newer is full it becomes the older, so what
+    occurs often stays. Long ones are not kept."""
+
+    def __init__(self, function: Callable[[str], bytes]):
+        super().__init__()
+        self.function = function
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= KEPT_LENGTH:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > CACHE:
+            self.older = dict(self)
+            self.clear()
 
 
 def share(spark: SparkSession, path: str) -> Broadcast:
@@ -114,11 +135,22 @@ def tokenized(docs: DataFrame, tokenizer: Broadcast, key: str = "doc_id", text:
         *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
     ])
 
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of rows with a bounded number of bytes of text, or one long text; so many ids are held at a time."""
+        for batch in batches:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                before = size[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
+                yield batch.slice(at, end - at)
+                at = end
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = of_worker(tokenizer, "encoder", WordTokenizer)
         seen = np.zeros(capacity + 1, np.int64)
         block = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in slices(batches):
             of_doc, numbers, starts, lengths, crcs, places, parts = [], [], [], [], [], [], []
             for row, text_ in enumerate(batch.column("text").to_pylist()):
                 ids = np.append(encoder.encode(text_ or ""), np.int32(end_id))
@@ -146,36 +178,53 @@ def tokenized(docs: DataFrame, tokenizer: Broadcast, key: str = "doc_id", text:
 
 
 class Planner:
-    """Combinations of lengths that fill sequences, from counts by length."""
+    """Combinations of lengths that fill sequences, from counts by length.
+
+    `pair_at` and `triple_at` index the sums of pairs and triples: for each sum, the first combination that may still be
+    there, in the order in which they are wanted. Lengths only ever run out, so an entry moves on for good over
+    combinations of lengths that have run out, and all look-ups of a sum together pass each combination once.
+    """
 
     def __init__(self, counts: dict[int, int], capacity: int):
         self.capacity = capacity
-        self.have = np.zeros(capacity + 1, np.int64)
+        self.stock = [0] * (capacity + 1)
         for length, n in counts.items():
-            self.have[length] = n
+            self.stock[length] = n
+        self.have = list(self.stock)  # less what the pattern at hand takes
+        self.pair_at = [1] * (capacity + 1)
+        self.triple_at = [max(0, total - 2) for total in range(capacity + 1)]
 
     def _single(self, gap: int) -> list[int] | None:
         return [gap] if self.have[gap] else None
 
     def _pair(self, gap: int) -> list[int] | None:
         """Two lengths that add up to the gap, the longer one as long as possible."""
-        low = np.arange(1, gap // 2 + 1)
-        if not len(low):
-            return None
-        fits = (self.have[low] > 0) & (self.have[gap - low] > (gap - low == low))
-        first = int(fits.argmax())
-        return [gap - int(low[first]), int(low[first])] if fits[first] else None
+        stock, have, low = self.stock, self.have, self.pair_at[gap]
+        while 2 * low <= gap:
+            high = gap - low
+            if not stock[low] or stock[high] <= (high == low):
+                if low == self.pair_at[gap]:
+                    self.pair_at[gap] += 1
+            elif have[low] and have[high] > (high == low):
+                return [high, low]
+            low += 1
+        return None
 
     def _triple(self, gap: int) -> list[int] | None:
-        """Three lengths that add up to the gap, found as one length and an indexed pair."""
-        for top in np.flatnonzero(self.have[: gap - 1])[::-1].tolist():
-            if 3 * top < gap:
-                break
-            self.have[top] -= 1
-            rest = self._pair(gap - top)
-            self.have[top] += 1
+        """Three lengths that add up to the gap: the longest as long as possible, with an indexed pair."""
+        top = self.triple_at[gap]
+        while 3 * top >= gap > 2:
+            rest = None
+            if self.have[top]:
+                self.have[top] -= 1
+                rest = self._pair(gap - top)
+                self.have[top] += 1
             if rest:
                 return [top, *rest]
+            gone = not self.stock[top] or 2 * self.pair_at[gap - top] > gap - top
+            if gone and top == self.triple_at[gap]:
+                self.triple_at[gap] -= 1
+            top -= 1
         return None
 
     def _exact(self, gap: int) -> list[int] | None:
@@ -188,10 +237,10 @@ class Planner:
         while gap:
             more = self._exact(gap)
             if more is None:
-                below = np.flatnonzero(self.have[: gap + 1])
-                if not len(below):
+                fitting = next((length for length in range(gap, 0, -1) if self.have[length]), None)
+                if fitting is None:
                     break
-                more = [int(below[-1])]
+                more = [fitting]
             for length in more:
                 self.have[length] -= 1
             pattern += more
@@ -206,9 +255,10 @@ class Planner:
         for longest in range(self.capacity, 0, -1):
             while self.have[longest]:
                 pattern = self._pattern(longest)
-                times = min(int(self.have[length]) // n for length, n in Counter(pattern).items())
+                times = min(self.have[length] // n for length, n in Counter(pattern).items())
                 for length in pattern:
                     self.have[length] -= times
+                    self.stock[length] -= times
                 patterns.append((times, pattern))
         return patterns
 
