@@ -1,9 +1,10 @@
 """Nearest vectors by inner product: a pruned directed graph per shard, walked by beam search.
 
 1. One row per id; equal vectors become one node with its smallest ids, as many as an answer can need.
-2. Nodes are dealt by hash into shards of bounded size. A task builds the graph of a shard: nodes enter in doubling batches, a greedy search from
-   the entry proposes neighbours, and pruning keeps a candidate only if no kept one is nearer to it, by the factor
-   `RELAXED`, than the node itself is. Kept edges are also entered backwards, and full lists are pruned again.
+2. Nodes are dealt by hash into shards of bounded size. A task builds the graph of a shard: nodes enter in doubling
+   batches, a greedy search from the entries (the node nearest the mean and those of the largest norms, which answer most
+   queries where norms differ) proposes neighbours, and pruning keeps a candidate only if no kept one is nearer to it,
+   by the factor `RELAXED`, than the node itself is. Kept edges are also entered backwards, and full lists are pruned again.
 3. Queries go in blocks to every shard. A beam search returns the best nodes; their ids are scored in double
    precision on the original vectors, and the best per query stay.
 
@@ -35,10 +36,11 @@ BUILD_BEAM = 64
 SEARCH_BEAM = 128
 RELAXED = 1.2
 EXPANDED = 4
+ENTRIES = 32
 FIRST_BATCH = 64
 LARGEST_BATCH = 512
 
-INDEX = "dim int, shard int, ids binary, counts binary, vectors binary, points binary, edges binary, entry int"
+INDEX = "dim int, shard int, ids binary, counts binary, vectors binary, points binary, edges binary, entries binary"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -73,22 +75,26 @@ def _by_length(numbers: dict[int, int]) -> Column:
 class Graph:
     """A directed graph over points of one norm; `walk` finds those with the largest inner products."""
 
-    def __init__(self, points: np.ndarray, edges: np.ndarray, entry: int):
-        self.points, self.edges, self.entry = points, edges, entry
+    def __init__(self, points: np.ndarray, edges: np.ndarray, entries: np.ndarray):
+        self.points, self.edges, self.entries = points, edges, entries
 
     @classmethod
     def build(cls, points: np.ndarray) -> Graph:
-        """Points enter in their order, in batches that double up to a fixed size; the entry is the one nearest the mean."""
+        """Points enter in batches that double up to a fixed size, the entries first."""
         n = len(points)
-        graph = cls(points, np.full((n, DEGREE), -1, np.int32), int(np.argmax(points @ points.mean(axis=0))) if n else 0)
-        others = np.delete(np.arange(n, dtype=np.int32), graph.entry) if n else np.empty(0, np.int32)
-        first = np.concatenate([np.array([graph.entry], np.int32), others[: FIRST_BATCH - 1]]) if n else others
+        entries = np.empty(0, np.int32)
+        if n:
+            largest = np.argsort(points[:, -1], kind="stable")[: ENTRIES - 1]
+            entries = np.unique([int(np.argmax(points @ points.mean(axis=0))), *largest]).astype(np.int32)
+        graph = cls(points, np.full((n, DEGREE), -1, np.int32), entries)
+        others = np.concatenate([entries, np.setdiff1d(np.arange(n, dtype=np.int32), entries)])
+        first = others[:FIRST_BATCH]
         if len(first) > 1:
             near = np.argsort(-(points[first] @ points[first].T), axis=1, kind="stable")
             graph.edges[first] = graph._pruned(first, first[near])
-        done = FIRST_BATCH - 1
+        done = len(first)
         while done < len(others):
-            batch = others[done : done + min(done + 1, LARGEST_BATCH)]
+            batch = others[done : done + min(done, LARGEST_BATCH)]
             found, _ = graph.walk(points[batch], BUILD_BEAM)
             graph.edges[batch] = graph._pruned(batch, found)
             graph._enter_backwards(batch)
@@ -141,13 +147,13 @@ class Graph:
             self.edges[rows[~fits]] = self._pruned(rows[~fits], both[~fits])
 
     def _reach_all(self) -> None:
-        """Nodes that no path from the entry reaches get an edge from the nearest reached node with room, else in place of
+        """Nodes that no path from the entries reaches get an edge from the nearest reached node with room, else in place of
         its last one."""
         n = len(self.points)
         while n:
             reached = np.zeros(n, bool)
-            reached[self.entry] = True
-            front = np.array([self.entry])
+            reached[self.entries] = True
+            front = self.entries
             while len(front):
                 step = np.unique(self.edges[front])
                 step = step[step >= 0]
@@ -178,9 +184,12 @@ class Graph:
         if not n or not m:
             return ids, scores
         open_ = np.zeros((m, beam), bool)
-        ids[:, 0], scores[:, 0], open_[:, 0] = self.entry, queries @ self.points[self.entry], True
+        begin = queries @ self.points[self.entries].T
+        best = np.argsort(-begin, axis=1, kind="stable")[:, :beam]
+        width = best.shape[1]
+        ids[:, :width], scores[:, :width], open_[:, :width] = self.entries[best], np.take_along_axis(begin, best, axis=1), True
         seen = np.zeros((m, n), bool)
-        seen[:, self.entry] = True
+        seen[:, self.entries] = True
         live = np.arange(m)
         while len(live):
             order = np.argsort(~open_[live], axis=1, kind="stable")[:, :EXPANDED]  # beams are kept best first
@@ -233,9 +242,9 @@ def _built(keys: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     row = {
         "dim": dim, "shard": shard, "ids": np.array([x for of in ids for x in of], np.int64).tobytes(),
         "counts": np.array([len(x) for x in ids], np.int32).tobytes(), "vectors": exact.tobytes(),
-        "points": points.tobytes(), "edges": graph.edges.tobytes(), "entry": graph.entry,
+        "points": points.tobytes(), "edges": graph.edges.tobytes(), "entries": graph.entries.tobytes(),
     }
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 5, pa.int32()]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
     return pa.table({n: pa.array([v], t) for (n, v), t in zip(row.items(), types, strict=True)})
 
 
@@ -258,7 +267,7 @@ def _searcher(k: int, beam: int):
         ids, starts = np.frombuffer(row["ids"], np.int64), np.concatenate([[0], np.cumsum(counts)])
         exact = np.frombuffer(row["vectors"]).reshape(-1, dim)
         points = np.frombuffer(row["points"], np.float32).reshape(-1, dim + 1)
-        graph = Graph(points, np.frombuffer(row["edges"], np.int32).reshape(len(points), -1), row["entry"])
+        graph = Graph(points, np.frombuffer(row["edges"], np.int32).reshape(len(points), -1), np.frombuffer(row["entries"], np.int32))
         query_ids, wanted = asked["vec_id"].to_numpy(), _matrix(asked["vec"], dim)
         scaled = (wanted / np.abs(wanted).max(axis=1)[:, None]).astype(np.float32)
         scaled = np.column_stack([scaled, np.zeros(len(scaled), np.float32)])

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_module
@@ -18,6 +19,7 @@ from rankweave.session import new_path
 from .conftest import FOLDER, SCHEMA, document, prose
 from .test_language_model import PlainModel
 from .test_near_dedup import expected
+from .test_neighbours import recall
 from .test_rules_and_quality import plain_metrics
 from .test_secrets import plain
 from .test_sharding import check
@@ -47,7 +49,7 @@ def sha(of):
 def test_entry_lists_everything():
     names = entry_module.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(entry_module.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 def test_op1(spark, text):
@@ -102,11 +104,13 @@ def test_op5(spark, rows):
     assert all(found[r.doc_id].held_out == (crc(r.doc_id, 3) == 1) and 0 <= found[r.doc_id].score <= 1 for r in rows)
 
 
-def test_op6_sql(spark):
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
-    result = con.execute(SQL["op6_rule_cascade"])
-    df = QUERIES["op6_rule_cascade"](spark, FOLDER)
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    result = con.execute(SQL[name])
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     assert sorted(c[0] for c in result.description) == columns
     at = [[c[0] for c in result.description].index(c) for c in columns]
@@ -139,10 +143,18 @@ def test_op9(spark, text):
     assert sum(a == b for a, b in held) / len(held) > 0.9
 
 
+def test_op12(spark):
+    found = QUERIES["op12_pruned_graph"](spark, FOLDER).collect()
+    vectors = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()}
+    assert recall(found, vectors, [q for q in vectors if q % 20 == 0], 20) >= 0.95
+
+
 def tables(spark, docs, labels):
     folder = new_path(spark, "tables")
     docs.write.parquet(f"{folder}/documents.parquet")
     labels.write.parquet(f"{folder}/labels.parquet")
+    vectors = [(i, [1.0 + i, 2.0, -1.0], "x") for i in range(40)] if docs.head(1) else []
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, shard string").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -191,6 +203,20 @@ def test_queries_on_empty_tables(spark, nothing):
         assert query(spark, folder).count() == 0, name
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_queries_on_the_hard_table(spark, hard, name):
+    """Nulls, empty and long texts, ties, repeated rows and extra columns: one row per document where the query says so."""
+    labels = spark.createDataFrame([(1, 1, 0, "h"), (3, 0, 0, "h"), (2, 0, None, "h"), (4, None, 1, "h"), (None, 1, 0, None), (14, 1, 0, "h"), (1, 1, 1, "h")],
+                                   "doc_id long, quality int, toxic int, part string")
+    found = QUERIES[name](spark, tables(spark, hard, labels)).collect()
+    if name == "op12_pruned_graph":
+        assert len(found) == 2 * 20
+    elif name == "op11_filter_audit":
+        assert len(found) == 600 * len({r.lang or "" for r in hard.collect()})
+    elif name != "op7_best_fit_packing":
+        assert sorted(str(r.doc_id) for r in found) == sorted(str(r.doc_id) for r in hard.collect())
+
+
 def test_clean_documents_stay(spark):
     docs = [document(i, ". ".join(prose(1000 * i + j, 12) for j in range(8))) for i in range(40)]
     junk = [document(100 + i, "### $$$ " * 40 + prose(i, 3)) for i in range(20)]
