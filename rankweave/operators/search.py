@@ -53,36 +53,50 @@ def _weighted(terms: DataFrame, small: bool, index: Index, field: str) -> DataFr
     return lookup_join(terms, stats, ["term"], ["qid"], small)
 
 
-def anchors(weighted: DataFrame, one_in: int) -> DataFrame:
-    """(qid, term): the rarest terms of each query, one of which is in every document that can match.
+def planned(weighted: DataFrame, one_in: int) -> DataFrame:
+    """The terms of the queries that can match, with `_anchor` and `_lookup`.
 
-    A document with m of n terms lacks n - m of them, so it holds one of any n - m + 1. Terms that occur nowhere
-    are the rarest of all and need no look-up; a query that is left without anchors matches nothing.
+    Anchors are a query's rarest terms, one of which is in every document that can match: a document with m of n
+    terms lacks n - m of them, so it holds one of any n - m + 1. Terms that occur nowhere are the rarest of all and need no
+    look-up; a query with fewer known terms than it wants matches nothing and is left out.
+
+    `_lookup` tells the cheaper way for the query, by the rows that it makes. Taking all postings of all terms makes
+    the sum of their df. Finding documents by the anchors and looking up every known term for each makes the anchors'
+    df times one more than the known terms at most. So no query makes more rows than taking all postings would.
     """
     whole = W.partitionBy("qid")  # as many rows as a query has terms
-    by_rarity = whole.orderBy("df", "term")
+    known = F.count(F.lit(1)).over(whole)
     least = F.ceil(F.col("n_terms") / one_in)
     placed = weighted.select(
-        "qid", "term", "n_terms", F.count(F.lit(1)).over(whole).alias("_known"), F.row_number().over(by_rarity).alias("_pos"))
-    return placed.filter(F.col("_pos") <= F.col("_known") - least + 1).select("qid", "term")
+        "*", known.alias("_known"), F.row_number().over(whole.orderBy("df", "term")).alias("_pos"))
+    possible = placed.filter(F.col("_known") >= least).withColumn("_anchor", F.col("_pos") <= F.col("_known") - least + 1)
+    anchored = F.sum(F.when(F.col("_anchor"), F.col("df")).otherwise(0)).over(whole)
+    lookup = anchored * (F.col("_known") + 1) < F.sum("df").over(whole)
+    return possible.withColumn("_lookup", lookup).drop("_known", "_pos")
 
 
 def pair_matches(pairs: DataFrame, weighted: DataFrame, small: bool, index: Index, field: str = "body") -> DataFrame:
-    """The matches of the given (qid, docid) pairs only; a pair's document is looked up, not its terms' postings."""
-    few = fits_in_memory(pairs)
-    vocabulary = weighted.select("term").distinct()
-    near = lookup_join(index.field(field), vocabulary, ["term"], ["docid"], small, "left_semi")
-    held = near.join(F.broadcast(pairs) if few else pairs, "docid")  # a document has a bounded number of postings
-    return lookup_join(held, weighted, ["qid", "term"], ["docid"], small)
+    """The matches of the given (qid, docid) pairs only, looked up by (docid, term).
+
+    Postings are met by distinct keys, so neither a document of many queries nor a term of many pairs makes a large
+    group; the few postings found are then looked up by the pairs' terms.
+    """
+    asked = materialize(lookup_join(pairs, weighted, ["qid"], ["docid"], small), "pair-terms")
+    wanted = asked.select("docid", "term").distinct()
+    few = fits_in_memory(wanted)
+    near = index.field(field)
+    if not few:  # what is shuffled holds terms of the queries only
+        near = lookup_join(near, weighted.select("term").distinct(), ["term"], ["docid"], small, "left_semi")
+    found = near.join(F.broadcast(wanted) if few else wanted, ["docid", "term"], "left_semi")
+    return lookup_join(asked, found, ["docid", "term"], ["qid"], few)
 
 
 def matches(queries: DataFrame, index: Index, field: str = "body", mode: str | int = "or",
             within: DataFrame | None = None) -> DataFrame:
     """(query term, posting) matches: qid, docid, term, tf, dl, df, qtf, q_len, n_terms.
 
-    With a mode that wants more than one term, documents are found by the rarest terms of a query and looked up
-    for the others, so frequent terms are never multiplied with all their postings. `within(docid)` keeps only
-    those documents.
+    With a mode that wants more than one term, each query goes the way that makes fewer rows (see `planned`).
+    `within(docid)` keeps only those documents.
     """
     one_in = wanted_share(mode)
     terms = materialize(query_terms(queries, index.stem), "query-terms")
@@ -94,10 +108,18 @@ def matches(queries: DataFrame, index: Index, field: str = "body", mode: str | i
         postings = lookup_join(postings, ids, ["docid"], ["term"], fits_in_memory(ids), "left_semi")
     if one_in is None:
         return lookup_join(postings, weighted, ["term"], ["docid"], small)
-    weighted = materialize(weighted, "weighted-terms")
-    found = lookup_join(postings.select("docid", "term"), anchors(weighted, one_in), ["term"], ["docid"], small)
-    pairs = materialize(found.select("qid", "docid").distinct(), "anchored")
-    return pair_matches(pairs, weighted, small, index, field)
+    weighted = materialize(planned(weighted, one_in), "weighted-terms")
+    ways = {r["_lookup"] for r in weighted.select("_lookup").distinct().collect()}
+    direct = weighted.filter(~F.col("_lookup")).drop("_anchor", "_lookup")
+    taken = lookup_join(postings, direct, ["term"], ["docid"], small)
+    if True not in ways:
+        return taken
+    looked = weighted.filter("_lookup")
+    anchors = looked.filter("_anchor").select("qid", "term")
+    anchored = lookup_join(postings.select("docid", "term"), anchors, ["term"], ["docid"], small)
+    pairs = materialize(anchored.select("qid", "docid").distinct(), "anchored")
+    found = pair_matches(pairs, looked.drop("_anchor", "_lookup"), small, index, field)
+    return taken.unionByName(found) if False in ways else found
 
 
 def run_matches(queries: DataFrame, index: Index, run: DataFrame, field: str = "body") -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,53 @@ def test_unknown_term_blocks_and_mode(spark, built):
         search.search(queries, built, mode="xor")
 
 
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Documents that all hold one word, one document with every word, and queries of mixed rarity."""
+    draw = random.Random(5)
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    texts = [" ".join(["common", *draw.sample(words, draw.randint(1, 6))]) for _ in range(120)] + [" ".join(["common", *words])]
+    docs = spark.createDataFrame([(f"d{i:03}", "u", "t", t) for i, t in enumerate(texts)], "docid string, url string, title string, body string")
+    asked = [" ".join(["common", *draw.sample(words, draw.randint(0, 5)), *["nowhere"] * (i % 3 == 0)]) for i in range(40)]
+    queries = spark.createDataFrame([(f"q{i:02}", t) for i, t in enumerate(asked)], "qid string, text string")
+    return docs, queries, index.build_index(docs)
+
+
+@pytest.mark.parametrize("mode", ["and", 2, 3, 5])
+@pytest.mark.parametrize("fits", [True, False])
+def test_every_way_of_matching_gives_the_same_run(skewed, monkeypatch, mode, fits):
+    _, queries, ix = skewed
+    plan = search.planned
+    if not fits:
+        monkeypatch.setattr(search, "fits_in_memory", lambda *a, **k: False)
+    runs = {}
+    for name, way in (("chosen", None), ("direct", F.lit(False)), ("lookup", F.lit(True))):
+        monkeypatch.setattr(search, "planned", lambda w, d, way=way: plan(w, d) if way is None else plan(w, d).withColumn("_lookup", way))
+        runs[name] = as_map(search.search(queries, ix, k=50, mode=mode))
+    anything = search.score_matches(search.matches(queries, ix), ix, {"okapi": scoring.okapi}, mode)
+    assert runs["chosen"] == runs["direct"] == runs["lookup"] and runs["chosen"]
+    assert set(runs["chosen"]) <= {(r.qid, r.docid) for r in anything.collect()}
+
+
+@pytest.mark.parametrize("mode", ["and", 2, 5])
+def test_no_query_makes_more_rows_than_taking_all_postings(skewed, mode):
+    _, queries, ix = skewed
+    terms = search.query_terms(queries)
+    weighted = search._weighted(terms, True, ix, "body")
+    rows = search.planned(weighted, search.wanted_share(mode)).collect()
+    postings = {(r.docid, r.term) for r in ix.field("body").collect()}
+    ways = set()
+    for qid in {r.qid for r in rows}:
+        mine = [r for r in rows if r.qid == qid]
+        ways.add(mine[0]["_lookup"])
+        if mine[0]["_lookup"]:
+            anchors = {r.term for r in mine if r["_anchor"]}
+            anchored = [d for d, t in postings if t in anchors]
+            held = len(anchored) + len(set(anchored)) * len(mine)
+            assert held < sum(r.df for r in mine)
+    assert ways == {True, False} if mode != 5 else False in ways
+
+
 def test_salted_join_equals_broadcast(spark):
     big = spark.range(500).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
         F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
