@@ -44,6 +44,7 @@ BANDS, ROWS = 25, 4
 SIZE = BANDS * ROWS
 LEAST_AGREEMENT = 0.6  # a pair at 0.8 agrees in fewer of 100 components with probability 1e-6
 GROUP_BYTES = 8 << 20
+GROUP_ROWS = 128
 BLOCK = 512
 TURNS, PICKS, FEW_PAIRS = 2, 4, 4
 CHUNK = 200_000
@@ -192,9 +193,10 @@ def text_key(text: Column) -> Column:
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Those of the pairs (a, b, bytes of a) whose texts reach the threshold.
 
-    Each pair's text a goes to a group of its b; a b with many pairs gets several groups of about GROUP_BYTES each.
+    Each pair's text a goes to a group of its b; a b with many pairs gets several groups of about GROUP_BYTES and
+    GROUP_ROWS each at most.
     """
-    groups = F.ceil(F.sum("bytes") / F.lit(GROUP_BYTES)).cast("int")
+    groups = F.ceil(F.greatest(F.sum("bytes") / F.lit(GROUP_BYTES), F.count(F.lit(1)) / F.lit(GROUP_ROWS))).cast("int")
     spread = materialize(pairs.groupBy("b").agg(F.greatest(F.lit(1), groups).alias("groups")), "groups")
     dealt = lookup_join(pairs, spread, ["b"], ["a"], fits_in_memory(spread)).withColumn("part", F.pmod(F.xxhash64("a"), F.col("groups")).cast("int"))
     left = dealt.select("a", "b", "part").join(texts.select(F.col("h").alias("a"), F.col("text").alias("text_a")), "a")
