@@ -16,7 +16,7 @@ MOST_ROUNDS = 60
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
-    """links (a, b) with a > b; the result has the same form."""
+    """links (a, b) with a > b; the result has the same form, repeats included."""
     if larger:
         around = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         center = around.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -25,7 +25,7 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
         center = links.groupBy("a").agg(F.min("b").alias("m"))
         moved = links.join(center, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.unionByName(center.select("a", F.col("m").alias("b")))
-    return moved.filter("a > b").distinct()
+    return moved.filter("a > b")
 
 
 def _is_stars(links: DataFrame) -> bool:
@@ -46,5 +46,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         if _is_stars(now):
             roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        now = materialize(_star(_star(now, larger=True), larger=False), "links")
+        now = materialize(_star(_star(now, larger=True), larger=False).distinct(), "links")
     raise RuntimeError("the components did not settle")

@@ -10,7 +10,7 @@ agree with the plain Jaccard similarity; it differs from the first where a text
 Equal texts are taken together first (by MD5), and only one of them goes on. Bands of both signatures make buckets. Each
 member of a bucket is compared with one member, its smallest: by exact shingles, in groups of bounded size. Verified
 pairs are links and give components. Buckets whose members then lie in several components are gone through again: first
-members outside a bucket's largest component are compared with a few members of it, twice at most; then the pairs from
+members outside a bucket's largest component are compared with a few members of it; then the pairs from
 different components that are left and whose signatures of one kind agree enough are verified, in blocks of bounded size. So large
 groups cost a few comparisons per member and bucket, and no pair of a shared bucket that could join two components is
 left out.
@@ -46,7 +46,7 @@ LEAST_AGREEMENT = 0.6  # a pair at 0.8 agrees in fewer of 100 components with pr
 GROUP_BYTES = 8 << 20
 GROUP_ROWS = 128
 BLOCK = 512
-TURNS, PICKS, FEW_PAIRS = 2, 4, 4
+TURNS, PICKS, FEW_PAIRS = 1, 4, 4
 CHUNK = 200_000
 CACHE = 150_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
