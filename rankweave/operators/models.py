@@ -1,6 +1,7 @@
-"""Rankers trained with Spark ML: margin classifier, robust regression, one regressor per query cluster.
+"""Trained rankers: margin classifier, robust regression, one regressor per query cluster.
 
-Kernel machines are approximated by random Fourier features (Rahimi and Recht, 2007) under a linear model.
+Kernel machines are approximated by random Fourier features (Rahimi and Recht, 2007) under a linear model, which is
+fitted to its optimum by Newton steps (`operators/solver.py`).
 """
 
 from __future__ import annotations
@@ -14,25 +15,26 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankweave.operators import solver
 from rankweave.operators.ordering import exact_median
-from rankweave.session import materialize
+from rankweave.session import discard, materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# The limit of solver steps; a step is one pass over the training rows. A fit that reaches it says so.
-MOST_STEPS = 500
+# The limit of solver steps. A fit that has not settled by then says so.
+MOST_STEPS = 100_000
+# Fixed value: the error, in grades, from which the regressor's loss is linear.
+HUBER_WIDTH = 1.0
 
 
 def fourier_map(gamma: float, components: int, seed: int):
@@ -73,47 +75,71 @@ def with_vector(rows: DataFrame, column: str = "features") -> DataFrame:
     return rows.withColumn("vector", array_to_vector(F.col(column).cast("array<double>")))
 
 
-def _pipeline(learner, kernel: bool, components: int, seed: int) -> Pipeline:
-    scaler = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
-    stages = [scaler, FourierFeatures(components=components, seed=seed)] if kernel else [scaler]
-    learner.setFeaturesCol("projected" if kernel else "scaled")
-    return Pipeline(stages=[*stages, learner])
+class LinearScorer(Transformer, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """`margin`, the weighted sum of the input plus an intercept, and `prediction`: the margin, or its class (0 or 1)."""
 
+    weights = Param(Params._dummy(), "weights", "one number per input", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "the margin of zeros", TypeConverters.toFloat)
+    classes = Param(Params._dummy(), "classes", "whether predictions are classes", TypeConverters.toBoolean)
+    report = Param(Params._dummy(), "report", "converged, steps, objective and gradient norm of the fit", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="scaled", weights=None, intercept=0.0, classes=False, report=None):
+        super().__init__()
+        self._setDefault(inputCol="scaled", weights=[], intercept=0.0, classes=False, report=[])
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-def _converged(model: PipelineModel, steps: int, most: int) -> PipelineModel:
-    if steps >= most:
-        warnings.warn(f"the solver stopped at its limit of {most} steps before it converged", RuntimeWarning, stacklevel=3)
-    return model
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        products = F.zip_with(vector_to_array(F.col(self.getInputCol())), F.lit(self.getOrDefault("weights")), lambda x, w: x * w)
+        margin = F.aggregate(products, F.lit(self.getOrDefault("intercept")), lambda total, x: total + x)
+        placed = dataset.withColumn("margin", margin)
+        value = (F.col("margin") > 0).cast("double") if self.getOrDefault("classes") else F.col("margin")
+        return placed.withColumn("prediction", value)
 
 
-def fit_classifier(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
-                   max_iter: int = MOST_STEPS, reg: float = 1e-4) -> PipelineModel:
-    """Margin classifier on rows with columns `features` (array) and `label` (0 or 1)."""
-    model = _pipeline(LinearSVC(maxIter=max_iter, regParam=reg), kernel, components, seed).fit(with_vector(rows))
-    return _converged(model, model.stages[-1].summary().totalIterations, max_iter)
+def _fit(rows: DataFrame, loss: solver.Loss, classes: bool, kernel: bool, components: int, seed: int, max_iter: int,
+         reg: float) -> PipelineModel:
+    scaler = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
+    stages = [scaler, FourierFeatures(components=components, seed=seed)] if kernel else [scaler]
+    last = "projected" if kernel else "scaled"
+    prepared = Pipeline(stages=stages).fit(with_vector(rows))
+    inputs = prepared.transform(with_vector(rows)).select(vector_to_array(last).alias("x"), F.col("label").cast("double").alias("label"))
+    design = materialize(inputs, "design")
+    first = design.first()
+    if first is None:
+        raise ValueError("no rows to fit")
+    found = solver.minimise(design, len(first["x"]), loss, reg, max_iter)
+    discard(design)
+    if not found.converged:
+        warnings.warn(f"the solver stopped after {found.steps} steps before it converged", RuntimeWarning, stacklevel=3)
+    report = [float(found.converged), float(found.steps), found.objective, found.gradient_norm]
+    learner = LinearScorer(inputCol=last, weights=found.weights.tolist(), intercept=found.intercept, classes=classes, report=report)
+    return PipelineModel([*prepared.stages, learner])
 
 
-def solver_report(model: PipelineModel) -> list[tuple[str, float]]:
-    """(measure, value) of a classifier that was just fitted: whether it settled before its limit, steps, objective."""
-    learner = model.stages[-1]
-    summary = learner.summary()
-    steps = summary.totalIterations
-    return [("converged", float(steps < learner.getMaxIter())), ("steps", float(steps)), ("objective", float(summary.objectiveHistory[-1]))]
+def fit_classifier(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
+                   max_iter: int = MOST_STEPS, reg: float = 1e-4) -> PipelineModel:
+    """Margin classifier (squared hinge) on rows with columns `features` (array) and `label` (0 or 1)."""
+    return _fit(rows, solver.squared_hinge, True, kernel, components, seed, max_iter, reg)
 
 
 def fit_regressor(rows: DataFrame, kernel: bool = True, components: int = 256, seed: int = 7,
                   max_iter: int = MOST_STEPS, reg: float = 1e-3) -> PipelineModel:
     """Robust (Huber) regression on rows with columns `features` (array) and `label`."""
-    learner = LinearRegression(loss="huber", maxIter=max_iter, regParam=reg)
-    model = _pipeline(learner, kernel, components, seed).fit(with_vector(rows))
-    return _converged(model, model.stages[-1].summary.totalIterations, max_iter)
+    return _fit(rows, solver.Huber(HUBER_WIDTH), False, kernel, components, seed, max_iter, reg)
+
+
+def solver_report(model: PipelineModel) -> list[tuple[str, float]]:
+    """(measure, value) of a fitted model: whether it settled, steps, objective and the norm of its gradient."""
+    names = ("converged", "steps", "objective", "gradient_norm")
+    return list(zip(names, model.stages[-1].getOrDefault("report"), strict=True))
 
 
 def score(model: PipelineModel, features: DataFrame, kind: str = "value") -> DataFrame:
     """(qid, docid, score): `value` is the regression value or the class, `margin` the distance to the boundary."""
     if kind not in ("value", "margin"):
         raise ValueError(f"kind must be 'value' or 'margin', not {kind!r}")
-    out: Column = F.col("prediction") if kind == "value" else F.get(vector_to_array("rawPrediction"), F.lit(1))
+    out = F.col("prediction" if kind == "value" else "margin")
     return model.transform(with_vector(features)).select("qid", "docid", out.alias("score"))
 
 

@@ -68,8 +68,8 @@ def fit_quality(rows: DataFrame, graded: bool, test_share: float = 0.1, seed: in
     """(part, measure, value) of a model fitted on nine tenths of the training rows, for both parts.
 
     A regressor is measured by squared error, R2 and median absolute error, a classifier by accuracy. All rows of
-    a pair are on one side. For a classifier the part `fit` tells whether the solver settled (`converged`, 1 or 0), after how
-    many `steps` and at which `objective`.
+    a pair are on one side. The part `fit` tells whether the solver settled (`converged`, 1 or 0), after how many `steps`, at
+    which `objective` and with which `gradient_norm`.
     """
     keyed = rows.withColumn("pair", F.concat_ws(" ", "qid", "docid"))
     train, test = (materialize(part, "quality-rows") for part in sampling.split(keyed, "pair", test_share, seed))
@@ -81,8 +81,6 @@ def fit_quality(rows: DataFrame, graded: bool, test_share: float = 0.1, seed: in
         wide = report.select(F.lit(name).alias("part"), F.inline(F.array(*[
             F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in report.columns])))
         out = wide if out is None else out.unionByName(wide)
-    if graded:
-        return out
     return out.unionByName(rows.sparkSession.createDataFrame(models.solver_report(model), "measure string, value double").select(
         F.lit("fit").alias("part"), "measure", "value"))
 
