@@ -8,7 +8,7 @@ from rankweave.catalog.evaluation import labelled
 from rankweave.catalog.ranking_features import FEATURE_CTES
 from rankweave.catalog.registry import register
 from rankweave.catalog.training import sampled_pairs
-from rankweave.operators import adarank, clustering, models, rerank, sampling
+from rankweave.operators import adarank, clustering, density, models, rerank, sampling
 from rankweave.operators.features import QUERY_FEATURES, VECTOR
 from rankweave.operators.ordering import exact_median
 from rankweave.plans import study
@@ -227,6 +227,34 @@ def silhouette(w: Workbench):
     return w.spark.createDataFrame([(float(value),)], "silhouette double")
 
 
+# The distance within which points are near, and how many make a core point.
+EPS, MIN_POINTS = 1.15, 5
+
+
+@register("density_clusters", "id:i kind:s cluster:i", f"""
+    SELECT e.vec_id AS id,
+           CASE WHEN c.id IS NOT NULL THEN 'core' WHEN b.id IS NOT NULL THEN 'border' ELSE 'noise' END AS kind,
+           coalesce(c.cluster, b.cluster) AS cluster
+    FROM embeddings e LEFT JOIN named c ON c.id = e.vec_id LEFT JOIN (
+        SELECT n.a AS id, min_by(c.cluster, n.b) AS cluster FROM near n JOIN named c ON c.id = n.b GROUP BY n.a) b
+        ON b.id = e.vec_id""", "near", "named", extra={
+    "near": ((), f"""
+        SELECT p.vec_id AS a, q.vec_id AS b FROM embeddings p, embeddings q
+        WHERE list_sum(list_transform(list_zip(p.embedding, q.embedding),
+                                      lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2)) <= {EPS} * {EPS}"""),
+    "core": (("near",), f"SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {MIN_POINTS}"),
+    "named": (("near", "core"), """
+        SELECT id, min(root) AS cluster FROM (
+            WITH RECURSIVE reach AS (
+                SELECT id, id AS root FROM core
+                UNION SELECT n.b, r.root FROM reach r JOIN near n ON n.a = r.id JOIN core c ON c.id = n.b)
+            SELECT * FROM reach) GROUP BY id"""),
+})
+def density_clusters(w: Workbench):
+    points = tables.points(w.spark, w.folder).select("id", "point")
+    return density.density_clusters(points, EPS, MIN_POINTS)
+
+
 @register("svr_quality", "part:s measure:s value:d")
 def svr_quality(w: Workbench):
     return study.fit_quality(training_features(w, graded=True), graded=True)
