@@ -65,14 +65,6 @@ def cluster_rank(w: Workbench):
     return rerank.rerank(scored, "cluster", max_depth=DEPTH)
 
 
-@register("adarank_weights", "feat:i name:s alpha:d")
-def adarank_weights(w: Workbench):
-    alpha = adarank.fit(labelled_features(w), max_depth=DEPTH)
-    path = new_path(w.spark, "adarank")
-    adarank.save_weights(adarank.weight_table(w.spark, alpha, VECTOR), path)
-    return adarank.weight_table(w.spark, adarank.load_weights(w.spark, path), VECTOR)
-
-
 def labelled_features(w: Workbench):
     return w.features.join(labelled(w).select("qid", "docid", "label"), ["qid", "docid"])
 
@@ -104,7 +96,62 @@ def adarank_round(w: Workbench):
     return adarank.weighted_choice(adarank.weak_scores(labelled_features(w), max_depth=DEPTH))
 
 
-@register("adarank_rank", "run_id:s qid:s docid:s rank:i score:d")
+# Boosting round by round: a row of the recursion holds the weights of features and queries after that many rounds.
+_BOOSTED = _WEAK | {
+    "boost_rows": (("long_features", "positives"), """
+        SELECT f.qid, f.docid, max(CASE WHEN p.rel IS NULL THEN 0 ELSE 1 END) AS label, list(f.value ORDER BY f.feat) AS x
+        FROM long_features f LEFT JOIN positives p ON p.qid = f.qid AND p.docid = f.docid GROUP BY f.qid, f.docid"""),
+    "boost_ideal": (("boost_rows",), """
+        SELECT qid, sum(1 / log2(pos + 1)) AS ideal FROM (
+            SELECT qid, row_number() OVER (PARTITION BY qid) AS pos FROM boost_rows WHERE label = 1) GROUP BY qid"""),
+    "boosted": (("weak", "boost_rows", "boost_ideal"), f"""
+        WITH RECURSIVE state AS (
+            SELECT 0 AS round, list_transform(range({len(VECTOR)}), lambda i: 0.0::DOUBLE) AS alpha, []::BIGINT[] AS used,
+                   (SELECT list({{'qid': qid, 'weight': 1 / n}}) FROM (
+                        SELECT DISTINCT qid, (SELECT count(DISTINCT qid) FROM weak)::DOUBLE AS n FROM weak)) AS weights,
+                   0.0::DOUBLE AS mean
+            UNION ALL (
+            WITH asked AS (SELECT unnest(weights, recursive := true) FROM state),
+            means AS (SELECT k.feat, sum(k.score * a.weight) AS m FROM weak k JOIN asked a ON a.qid = k.qid GROUP BY k.feat),
+            choice AS (
+                SELECT feat, least(m, {adarank.BEST_SHARE!r}) AS m FROM means
+                WHERE NOT list_contains((SELECT used FROM state), feat) ORDER BY round(m, 9) DESC, feat LIMIT 1),
+            turned AS (
+                SELECT s.round, s.used, c.feat, list_transform(s.alpha, lambda v, i:
+                    CASE WHEN i = c.feat + 1 THEN v + 0.5 * ln((1 + c.m) / (1 - c.m)) ELSE v END) AS alpha
+                FROM state s, choice c),
+            placed AS (
+                SELECT r.qid, r.label, row_number() OVER (PARTITION BY r.qid ORDER BY
+                    round(list_sum(list_transform(list_zip(r.x, t.alpha), lambda z: z[1] * z[2])), 6) + 0.0 DESC, r.docid DESC) AS pos
+                FROM boost_rows r, turned t),
+            served AS (
+                SELECT p.qid, coalesce(sum(1 / log2(pos + 1)) FILTER (label = 1), 0) / coalesce(max(i.ideal), 1) AS value
+                FROM placed p LEFT JOIN boost_ideal i ON i.qid = p.qid GROUP BY p.qid)
+            SELECT t.round + 1, t.alpha, list_append(t.used, t.feat::BIGINT),
+                   (SELECT list({{'qid': qid, 'weight': exp(-value) / (SELECT sum(exp(-value)) FROM served)}}) FROM served),
+                   (SELECT avg(value) FROM served)
+            FROM turned t WHERE t.round < {min(adarank.ROUNDS, len(VECTOR))}))
+        SELECT CASE WHEN mean > 0 THEN alpha ELSE list_transform(alpha, lambda v: 0.0) END AS alpha
+        FROM state WHERE round > 0 ORDER BY round(mean, 9) DESC, round LIMIT 1"""),
+}
+
+
+@register("adarank_weights", "feat:i name:s alpha:d", f"""
+    SELECT unnest(range({len(VECTOR)})) AS feat, unnest([{", ".join(f"'{name}'" for name in VECTOR)}]) AS name,
+           unnest(alpha) AS alpha FROM boosted""", "boosted", extra=_BOOSTED)
+def adarank_weights(w: Workbench):
+    alpha = adarank.fit(labelled_features(w), max_depth=DEPTH)
+    path = new_path(w.spark, "adarank")
+    adarank.save_weights(adarank.weight_table(w.spark, alpha, VECTOR), path)
+    return adarank.weight_table(w.spark, adarank.load_weights(w.spark, path), VECTOR)
+
+
+@register("adarank_rank", "run_id:s qid:s docid:s rank:i score:d", """
+    SELECT 'adarank' AS run_id, qid, docid, rank, score FROM (
+        SELECT qid, docid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid DESC) AS rank FROM (
+            SELECT qid, docid, round(list_sum(list_transform(list_zip(x, alpha), lambda z: z[1] * z[2])), 6) + 0.0 AS score
+            FROM boost_rows, boosted))
+    WHERE score != 0""", "boost_rows", "boosted", extra=_BOOSTED)
 def adarank_rank(w: Workbench):
     alpha = adarank.fit(labelled_features(w), max_depth=DEPTH)
     return rerank.rerank(rerank.linear_score(w.features, alpha), "adarank", max_depth=DEPTH)
