@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankweave.catalog.evaluation import labelled
-from rankweave.catalog.ranking_features import FEATURE_CTES
+from rankweave.catalog.ranking_features import FEATURE_CTES, QUERY_CTES
 from rankweave.catalog.registry import register
 from rankweave.catalog.training import sampled_pairs
 from rankweave.operators import adarank, clustering, density, models, rerank, sampling
@@ -221,16 +221,56 @@ def cluster_medians(w: Workbench):
     return exact_median(points.join(centres, "cluster").select("cluster", dist.alias("dist")), ["cluster"], "dist")
 
 
-@register("kmeans_assign", "id:i cluster:i")
+def _lloyd_sql(points: str, *reads: str) -> dict:
+    """The clusters of a relation (id, x): seeded points as the start, then rounds of nearest centres and means."""
+    return {
+        "lloyd_points": (reads, points),
+        "lloyd": (("lloyd_points",), f"""
+            WITH RECURSIVE state AS (
+                SELECT 0 AS round, list(x ORDER BY place) AS centres FROM (
+                    SELECT x, row_number() OVER (ORDER BY md5('{SEED}|' || id), id) AS place FROM lloyd_points)
+                WHERE place <= {CLUSTERS}
+                UNION ALL (
+                WITH centres AS (SELECT unnest(centres) AS c, generate_subscripts(centres, 1) AS i FROM state),
+                placed AS (
+                    SELECT p.id, p.x, arg_min(c.i, list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) ** 2))) AS i
+                    FROM lloyd_points p, centres c GROUP BY p.id, p.x),
+                moved AS (
+                    SELECT i, list(m ORDER BY d) AS c FROM (
+                        SELECT i, d, avg(v) AS m FROM (SELECT i, unnest(x) AS v, generate_subscripts(x, 1) AS d FROM placed)
+                        GROUP BY i, d) GROUP BY i)
+                SELECT max(s.round) + 1, list(coalesce(m.c, c.c) ORDER BY c.i)
+                FROM centres c CROSS JOIN state s LEFT JOIN moved m ON m.i = c.i
+                HAVING max(s.round) < {clustering.ROUNDS}))
+            SELECT centres FROM state ORDER BY round DESC LIMIT 1"""),
+        "assigned": (("lloyd_points", "lloyd"), """
+            SELECT id, arg_min(i, dist) - 1 AS cluster, sqrt(min(dist)) AS strength FROM (
+                SELECT p.id, c.i, list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) ** 2)) AS dist
+                FROM lloyd_points p, (SELECT unnest(centres) AS c, generate_subscripts(centres, 1) AS i FROM lloyd) c)
+            GROUP BY id"""),
+    }
+
+
+@register("kmeans_assign", "id:i cluster:i strength:d", "SELECT * FROM assigned", "assigned",
+          extra=_lloyd_sql("SELECT vec_id AS id, embedding::DOUBLE[] AS x FROM embeddings"))
 def kmeans_assign(w: Workbench):
     points = tables.points(w.spark, w.folder).drop("cluster")
-    return clustering.kmeans_assign(clustering.kmeans_fit(points, CLUSTERS, SEED), points)
+    return clustering.assign(clustering.lloyd(points, "id", CLUSTERS, SEED), points)
 
 
-@register("query_clusters", "qid:s cluster:i strength:d")
+@register("query_clusters", "qid:s cluster:i strength:d", "SELECT id AS qid, cluster, strength FROM assigned", "assigned",
+          extra=QUERY_CTES | _lloyd_sql(f"SELECT qid AS id, [{', '.join(QUERY_FEATURES)}] AS x FROM query_features", "query_features"))
 def query_clusters(w: Workbench):
     rows = query_vectors(w)
-    return models.assign_clusters(models.fit_query_clusters(rows, CLUSTERS, SEED), rows)
+    return clustering.assign(clustering.lloyd(rows, "qid", CLUSTERS, SEED, column="query_features"), rows, "query_features")
+
+
+@register("kmeans_sizes", "clusters:i points:i")
+def kmeans_sizes(w: Workbench):
+    """Clusters of the library's own KMeans (seeded by k-means||), and the points in them."""
+    points = tables.points(w.spark, w.folder).drop("cluster")
+    placed = clustering.kmeans_assign(clustering.kmeans_fit(points, CLUSTERS, SEED), points)
+    return placed.agg(F.count_distinct("cluster").alias("clusters"), F.count(F.lit(1)).alias("points"))
 
 
 @register("k_sweep", "k:i calinski_harabasz:d davies_bouldin:d silhouette:d")

@@ -146,6 +146,8 @@ _QUERY_SQL = "SELECT qid, " + ", ".join(
     for label, how in (("mean", "avg"), ("max", "max"), ("sum", "sum")) for value in QUERY_VALUES
 ) + f", {signed_log('ln(max(q_len) + 1)')} AS length FROM place_values GROUP BY qid"
 
+QUERY_CTES = _POSITIONS | {"query_features": (("place_values",), _QUERY_SQL)}
+
 
 @register("query_features", "qid:s " + " ".join(f"{n}:d" for n in QUERY_FEATURES), _QUERY_SQL, "place_values",
           extra=_POSITIONS)

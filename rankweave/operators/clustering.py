@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -11,12 +12,15 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.functions.draws import draw
 from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.models import with_vector
 from rankweave.operators.ordering import exact_median
 from rankweave.operators.sampling import split
-from rankweave.session import materialize
+from rankweave.operators.vectors import nearest
+from rankweave.session import discard, materialize
 
+ROUNDS = 20  # the limit of rounds of one fit
 BLOCK = 1000  # centres that are compared with as many others at a time
 
 
@@ -40,6 +44,34 @@ def cluster_report(assigned: DataFrame) -> DataFrame:
     )
 
 
+def lloyd(points: DataFrame, key: str, k: int, seed: int = 7, rounds: int = ROUNDS, column: str = "point") -> np.ndarray:
+    """The centres of k clusters: Lloyd's rounds from k seeded points, until no centre moves or for `rounds` rounds.
+
+    Every round is one pass that leaves k sums per task. A cluster that loses all its points keeps its centre. The start depends on
+    seed and keys alone, so equal tables give equal clusters.
+    """
+    rows = materialize(points.select(key, F.col(column).cast("array<double>").alias("point")), "lloyd")
+    start = rows.orderBy(draw(seed, key), key).limit(k).collect()
+    centres = np.array([r["point"] for r in start])
+    mean = vector_to_array(Summarizer.mean(F.col("vector")))
+    for _ in range(rounds if len(centres) else 0):
+        placed = with_vector(rows.select("point", nearest(F.col("point"), centres)["cell"].alias("cluster")), "point")
+        moved = centres.copy()
+        for r in placed.groupBy("cluster").agg(mean.alias("centre")).collect():  # k rows
+            moved[r["cluster"]] = r["centre"]
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    discard(rows)
+    return centres
+
+
+def assign(centres: np.ndarray, points: DataFrame, column: str = "point") -> DataFrame:
+    """`points` with `cluster`, the number of the nearest centre, and `strength`, the distance to it."""
+    at = nearest(F.col(column).cast("array<double>"), centres)
+    return points.withColumn("_at", at).select(*points.columns, F.col("_at.cell").alias("cluster"), F.col("_at.gap").alias("strength"))
+
+
 def kmeans_fit(points: DataFrame, k: int, seed: int = 7):
     """KMeans on an array column `point`."""
     return KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster").fit(with_vector(points, "point"))
