@@ -318,12 +318,31 @@ def index_append(w: Workbench):
     return index.append_documents(path, english, "third", stem=True).term_stats()
 
 
+def _upserted(w: Workbench) -> str:
+    """An index with a wrong URL field, of which the English documents and then all are replaced in place."""
+    path = new_path(w.spark, "upserted")
+    index.write_index(w.docs.withColumn("url", F.concat(F.lit("old "), "title")), path, stem=True)
+    source = tables.table(w.spark, w.folder, "documents").select(F.col("doc_id").cast("string").alias("docid"), "lang")
+    english = w.docs.join(source.filter(F.col("lang") == "en"), "docid", "left_semi")
+    index.upsert_field(path, english.withColumn("url", F.lit("wrong again")), "url_text", "first", stem=True)
+    index.upsert_field(path, w.docs, "url_text", "second", stem=True)
+    return path
+
+
 @register("index_upsert", "field:s term:s df:i cf:i", "SELECT * FROM term_stats", "term_stats")
 def index_upsert(w: Workbench):
-    path, target = new_path(w.spark, "before"), new_path(w.spark, "after")
-    wrong = w.docs.withColumn("url", F.concat(F.lit("old "), "title"))
-    index.write_index(wrong, path, stem=True)
-    return index.upsert_field(path, target, w.docs, "url_text", stem=True).term_stats()
+    return index.read_index(w.spark, _upserted(w), stem=True).term_stats()
+
+
+@register("upserted_postings", "field:s docid:s term:s tf:i dl:i", "SELECT * FROM postings", "postings")
+def upserted_postings(w: Workbench):
+    """The rows that count after two replacements in place, with the older ones still in the files."""
+    return index.read_index(w.spark, _upserted(w), stem=True).postings
+
+
+@register("index_compact", "field:s docid:s term:s tf:i dl:i", "SELECT * FROM postings", "postings")
+def index_compact(w: Workbench):
+    return index.compact_index(_upserted(w), new_path(w.spark, "compacted"), w.spark, stem=True).postings
 
 
 @register("index_clear", "field:s n_docs:i field_len:i avg_len:d", "SELECT * FROM totals", "totals")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankweave.catalog.registry import register
-from rankweave.operators import sampling
+from rankweave.operators import cooccurrence, sampling
 from rankweave.operators.ordering import exact_median, positions
 from rankweave.plans import study
 from rankweave.plans.workbench import Workbench
@@ -183,18 +183,42 @@ def best_grades(w: Workbench):
     return sampling.best_grades(w.qrels.unionByName(w.candidates.select("qid", "docid", F.lit(1).alias("rel"))))
 
 
-@register("pmi_corpus", "docid:s copies:i body:s", f"""
-    SELECT c.docid, d.copies, c.body FROM (
-        SELECT pos, count(*) AS copies FROM (
-            SELECT {_draw_int(SEED, "(SELECT count(DISTINCT docid) FROM candidates)", "draw")} + 1 AS pos
-            FROM (SELECT unnest(range({CORPUS_DRAWS})) AS draw)) GROUP BY pos) d
-    JOIN (SELECT docid, row_number() OVER (ORDER BY docid) AS pos FROM (SELECT DISTINCT docid FROM candidates)) s
-        ON s.pos = d.pos
-    JOIN docs c ON c.docid = s.docid WHERE length(rtrim(c.body)) > 0""", "candidates", "docs")
+_DRAWN = {
+    "drawn": (("candidates",), f"""
+        SELECT s.docid, d.copies FROM (
+            SELECT pos, count(*) AS copies FROM (
+                SELECT {_draw_int(SEED, "(SELECT count(DISTINCT docid) FROM candidates)", "draw")} + 1 AS pos
+                FROM (SELECT unnest(range({CORPUS_DRAWS})) AS draw)) GROUP BY pos) d
+        JOIN (SELECT docid, row_number() OVER (ORDER BY docid) AS pos FROM (SELECT DISTINCT docid FROM candidates)) s
+            ON s.pos = d.pos"""),
+    "drawn_pairs": (("drawn", "toks", "docs"), """
+        SELECT t1, t2, CAST(sum(copies) AS BIGINT) AS n FROM (
+            SELECT copies, toks[i] AS t1, toks[i + 1] AS t2 FROM (
+                SELECT d.copies, t.toks, unnest(range(1, len(t.toks) + 1)) AS i
+                FROM drawn d JOIN toks t ON t.docid = d.docid AND t.field = 'body'
+                JOIN docs c ON c.docid = d.docid WHERE length(rtrim(c.body)) > 0))
+        GROUP BY t1, t2"""),
+    "drawn_terms": (("drawn_pairs",), "SELECT t1 AS term, CAST(sum(n) AS DOUBLE) AS n FROM drawn_pairs GROUP BY t1"),
+}
+
+
+@register("pmi_corpus", "docid:s copies:i body:s", """
+    SELECT c.docid, d.copies, c.body FROM drawn d JOIN docs c ON c.docid = d.docid WHERE length(rtrim(c.body)) > 0""",
+          "drawn", "docs", extra=_DRAWN)
 def pmi_corpus(w: Workbench):
     return sampling.sampled_corpus(w.candidates, w.docs, CORPUS_DRAWS, SEED)
 
 
+@register("pmi_drawn", "t1:s t2:s n:i pmi:d", """
+    SELECT p.t1, p.t2, p.n, ln(p.n * t.total / (a.n * b.n)) AS pmi
+    FROM drawn_pairs p JOIN drawn_terms a ON a.term = p.t1 JOIN drawn_terms b ON b.term = p.t2,
+         (SELECT sum(n) AS total FROM drawn_terms) t
+    WHERE p.t2 IS NOT NULL""", "drawn_pairs", "drawn_terms", extra=_DRAWN)
+def pmi_drawn(w: Workbench):
+    """PMI over the drawn corpus; a document counts as often as it was drawn."""
+    return cooccurrence.drawn_pmi(sampling.sampled_corpus(w.candidates, w.docs, CORPUS_DRAWS, SEED), stem=True)
+
+
 @register("qrel_lists", "qid:s page:i docids:s", f"""
     SELECT qid, (pos - 1) // {LIST_PAGE} AS page, string_agg(docid, ' ' ORDER BY pos) AS docids FROM (
         SELECT qid, docid, row_number() OVER (PARTITION BY qid ORDER BY docid) AS pos FROM positives)

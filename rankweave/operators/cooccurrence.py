@@ -14,11 +14,15 @@ from rankweave.session import materialize
 NO_PAIR = -20.0
 
 
-def successor_counts(tokens: DataFrame) -> DataFrame:
+def successor_counts(tokens: DataFrame, weight: str | None = None) -> DataFrame:
     """(t1, t2, n) from (docid, tokens): how often t2 follows t1 in a document; t2 is null where t1 ends one.
 
-    Every token is the t1 of exactly one pair, so unigram counts are sums over these rows.
+    Every token is the t1 of exactly one pair, so unigram counts are sums over these rows. With `weight`, a column of
+    whole numbers, a document counts so many times without being copied.
     """
+    if weight:
+        pairs = tokens.select(F.col(weight).alias("_times"), F.inline(text.with_next(F.col("tokens"))))
+        return pairs.groupBy("t1", "t2").agg(F.sum("_times").alias("n"))
     pairs = tokens.select(F.inline(text.with_next(F.col("tokens"))))
     return pairs.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"))
 
@@ -51,7 +55,17 @@ def corpus_pmi(docs: DataFrame, stem: bool = False) -> DataFrame:
 
     A pair that is missing from the result scores `NO_PAIR`.
     """
-    successors = materialize(successor_counts(field_tokens(docs, ("body",), stem)), "successors")
+    return _pmi_of(successor_counts(field_tokens(docs, ("body",), stem)))
+
+
+def drawn_pmi(corpus: DataFrame, stem: bool = False) -> DataFrame:
+    """PMI over `corpus(docid, copies, body)`, where a document counts as often as it was drawn."""
+    tokens = corpus.repartition("docid").select("copies", F.explode(F.array(text.analyze(F.col("body"), stem))).alias("tokens"))
+    return _pmi_of(successor_counts(tokens, "copies"))
+
+
+def _pmi_of(counts: DataFrame) -> DataFrame:
+    successors = materialize(counts, "successors")
     n_tokens = successors.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     unigrams = unigram_counts(successors)
     return pmi(bigram_counts(successors), unigrams, n_tokens, fits_in_memory(unigrams))

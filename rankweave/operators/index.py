@@ -6,9 +6,11 @@ An index is a folder of Parquet tables, each split by `batch` (one value per gro
 - `postings(field, docid, dl, term, tf)`; postings carry the field length of their document, so scoring needs no
   join on docid;
 - `doc_lens(field, docid, dl)`: field lengths, one row per document and field with tokens;
-- `term_parts(field, term, df, cf)` and `field_parts(field, field_len)`: statistics per batch. Batches hold
-  different documents, so the statistics of the collection are sums over batches and adding documents never
-  re-reads the older ones.
+- `term_parts(field, term, df, cf)` and `field_parts(field, field_len)`: statistics per batch. The statistics of the
+  collection are sums over batches, so adding documents never re-reads the older ones;
+- `replaced(field, docid, keep, turn)`: documents whose field was written anew. Of their rows of that field only those of
+  the batch `keep` count (of several, the one with the latest `turn`); its statistics hold what the older rows take away.
+  Readers leave dead rows out of that field's files; `compact_index` writes an index without them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions import text
 from rankweave.operators.joins import fits_in_memory, lookup_join
-from rankweave.session import new_path
+from rankweave.session import exists, materialize, new_path
 
 FIELDS = ("body", "title", "url_text")
 BASE_BATCH = "base"
@@ -31,6 +33,7 @@ SCHEMAS = {
     "term_parts": "field string, term string, df bigint, cf bigint, batch string",
     "field_parts": "field string, field_len bigint, batch string",
 }
+REPLACED = "field string, docid string, keep string, turn bigint, batch string"
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,7 @@ class Index:
         parts = self.term_parts
         if vocabulary is not None:
             parts = lookup_join(parts, vocabulary, ["term"], ["field", "batch"], vocabulary_fits, "left_semi")
-        return parts.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+        return parts.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
 
     def totals(self) -> dict[str, FieldTotals]:
         """One entry per field; reads counts only."""
@@ -131,8 +134,29 @@ def build_index(docs: DataFrame, fields: tuple[str, ...] = FIELDS, stem: bool =
     return read_index(docs.sparkSession, path, stem)
 
 
-def read_index(spark: SparkSession, path: str, stem: bool = False) -> Index:
-    return Index(*[spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in SCHEMAS.items()], stem=stem)
+def read_index(spark: SparkSession, path: str, stem: bool = False, without: str | None = None) -> Index:
+    """The index at `path`; `without` leaves out what one batch has written."""
+    def table(name: str, schema: str) -> DataFrame:
+        rows = spark.read.schema(schema).parquet(f"{path}/{name}")
+        return rows.filter(F.col("batch") != without) if without else rows
+
+    tables = {name: table(name, schema) for name, schema in SCHEMAS.items()}
+    if exists(spark, f"{path}/replaced"):
+        replaced = table("replaced", REPLACED)
+        fields = [r["field"] for r in replaced.select("field").distinct().collect()]  # fields of an index are few
+        if fields:
+            latest = replaced.groupBy("field", "docid").agg(F.max_by("keep", "turn").alias("keep"))
+            few = fits_in_memory(latest)
+            for name, spread in (("postings", "term"), ("doc_lens", "batch")):
+                tables[name] = _alive(tables[name], latest, fields, spread, few)
+    return Index(**tables, stem=stem)
+
+
+def _alive(rows: DataFrame, latest: DataFrame, fields: list[str], spread: str, few: bool) -> DataFrame:
+    """Rows of the fields without those that a later batch has replaced; other fields' rows are not touched."""
+    touched = lookup_join(rows.filter(F.col("field").isin(fields)), latest, ["field", "docid"], [spread], few, "left")
+    alive = touched.filter(F.col("keep").isNull() | (F.col("keep") == F.col("batch"))).drop("keep").select(*rows.columns)
+    return rows.filter(~F.col("field").isin(fields)).unionByName(alive)
 
 
 def append_documents(path: str, docs: DataFrame, batch: str, fields: tuple[str, ...] = FIELDS,
@@ -152,18 +176,35 @@ def append_documents(path: str, docs: DataFrame, batch: str, fields: tuple[str,
     return read_index(spark, path, stem)
 
 
-def upsert_field(path: str, target: str, docs: DataFrame, field: str, stem: bool = False) -> Index:
-    """Write to `target` the index at `path` with `field` recomputed for the documents of `docs`."""
+def upsert_field(path: str, docs: DataFrame, field: str, batch: str, stem: bool = False) -> Index:
+    """Write `field` of the documents of `docs` anew in the index at `path`, as `batch`; documents it lacks are added.
+
+    Nothing that is there is written again. The batch holds the new rows of that field, the documents whose older rows of
+    it no longer count, and statistics that add the new rows and take the older ones away. Running the same batch again
+    replaces what it wrote before.
+    """
     spark = docs.sparkSession
+    old = read_index(spark, path, stem, without=batch)
+    fresh = docs.dropDuplicates(["docid"])
+    ids = materialize(fresh.select("docid"), "upserted")
+    few = fits_in_memory(ids)
+    gone = lookup_join(old.postings.filter(F.col("field") == field), ids, ["docid"], ["term"], few, "left_semi")
+    gone = materialize(gone.select("field", "docid", "dl", "term", "tf"), "gone")
+    turn = 0
+    if exists(spark, f"{path}/replaced"):
+        earlier = spark.read.schema(REPLACED).parquet(f"{path}/replaced").filter(F.col("batch") != batch)
+        turn = (earlier.agg(F.max("turn")).first()[0] or 0) + 1
+    known = lookup_join(old.docs.select("docid"), ids, ["docid"], ["docid"], few, "left_semi")
+    _write_batch(path, ids.join(known, "docid", "left_anti"), build_postings(fresh, (field,), stem), batch, gone)
+    kept = ids.select(F.lit(field).alias("field"), "docid", F.lit(batch).alias("keep"), F.lit(turn).cast("long").alias("turn"))
+    kept.write.mode("overwrite").parquet(f"{path}/replaced/batch={batch}")
+    return read_index(spark, path, stem)
+
+
+def compact_index(path: str, target: str, spark: SparkSession, stem: bool = False) -> Index:
+    """Write to `target` the index at `path` as one batch, without rows that no longer count."""
     old = read_index(spark, path, stem)
-    # Only rows of `field` are looked at; the others are written again as they are, without a shuffle.
-    others = old.postings.filter(F.col("field") != field).drop("batch")
-    same = old.postings.filter(F.col("field") == field).drop("batch")
-    replaced = docs.select("docid").distinct()
-    kept = others.unionByName(lookup_join(same, replaced, ["docid"], ["term"], fits_in_memory(replaced), "left_anti"))
-    fresh = build_postings(docs, (field,), stem)
-    ids = old.docs.select("docid").unionByName(docs.select("docid")).distinct()
-    _write_batch(target, ids, kept.unionByName(fresh), BASE_BATCH)
+    _write_batch(target, old.docs.select("docid").distinct(), old.postings.drop("batch"), BASE_BATCH)
     return read_index(spark, target, stem)
 
 
@@ -171,17 +212,23 @@ def clear_index(spark: SparkSession, path: str) -> None:
     """Leave an empty index at `path`."""
     for name, schema in SCHEMAS.items():
         spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch").parquet(f"{path}/{name}")
+    if exists(spark, f"{path}/replaced"):
+        spark.createDataFrame([], REPLACED).write.mode("overwrite").partitionBy("batch").parquet(f"{path}/replaced")
 
 
-def _write_batch(path: str, docs: DataFrame, postings: DataFrame, batch: str) -> None:
-    """Write one batch folder per table, the id list last; statistics come from the written postings."""
+def _write_batch(path: str, docs: DataFrame, postings: DataFrame, batch: str, gone: DataFrame | None = None) -> None:
+    """Write one batch folder per table, the id list last; statistics come from the written postings, less those of
+    the rows in `gone`, which the batch replaces."""
     spark = docs.sparkSession
     postings.write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings/batch={batch}")
     schema = "docid string, dl bigint, term string, tf bigint, field string"
     written = spark.read.schema(schema).parquet(f"{path}/postings/batch={batch}")
     lens = written.groupBy("field", "docid").agg(F.max("dl").alias("dl"))
     lens.write.mode("overwrite").parquet(f"{path}/doc_lens/batch={batch}")
-    terms = written.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    counted = written.select("field", "term", "tf", F.lit(1).cast("long").alias("one"))
+    if gone is not None:
+        counted = counted.unionByName(gone.select("field", "term", (-F.col("tf")).alias("tf"), F.lit(-1).cast("long").alias("one")))
+    terms = counted.groupBy("field", "term").agg(F.sum("one").alias("df"), F.sum("tf").alias("cf"))
     terms.write.mode("overwrite").parquet(f"{path}/term_parts/batch={batch}")
     lengths = spark.read.schema("field string, cf bigint").parquet(f"{path}/term_parts/batch={batch}")
     lengths = lengths.groupBy("field").agg(F.sum("cf").alias("field_len"))

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import pytest
@@ -180,16 +181,69 @@ def test_half_written_batch_is_replaced(spark, micro):
     assert stats_of(index.append_documents(path, docs, "b1")) == stats_of(index.build_index(docs))
 
 
+def size_of(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def rows_of(ix):
+    return sorted(tuple(r) for r in ix.postings.select("field", "docid", "term", "tf", "dl").collect())
+
+
 def test_upsert_field(spark, micro):
     docs = micro[0]
-    path, target = new_path(spark, "old"), new_path(spark, "new")
+    path = new_path(spark, "old")
     index.write_index(docs, path, ("body", "title"))
-    changed = docs.withColumn("title", F.lit("fresh words"))
-    got = index.upsert_field(path, target, changed.filter("docid != 'd3'"), "title")
+    first = docs.withColumn("title", F.lit("fresh words"))
+    got = index.upsert_field(path, first.filter("docid != 'd3'"), "title", "u1")
     titles = {r["term"]: r["df"] for r in got.term_stats().filter("field = 'title'").collect()}
     assert titles == {"fresh": 2, "words": 2}
     assert got.docs.count() == 3
 
+    # A second replacement, a new document, a repeat of either batch: the same as an index built from the final texts.
+    added = spark.createDataFrame([("d9", "u", "late title", "")], docs.schema)
+    second = docs.filter("docid = 'd1'").withColumn("title", F.lit("last title")).unionByName(added)
+    whole = docs.withColumn("title", F.expr("CASE docid WHEN 'd1' THEN 'last title' WHEN 'd2' THEN 'fresh words' ELSE title END"))
+    wanted = index.build_index(whole.unionByName(added), ("body", "title"))
+    for _ in range(2):
+        got = index.upsert_field(path, second, "title", "u2")
+        assert rows_of(got) == rows_of(wanted) and stats_of(got) == stats_of(wanted)
+        assert sorted(map(tuple, got.doc_len().collect())) == sorted(map(tuple, wanted.doc_len().collect()))
+        assert sorted(map(tuple, got.field_stats().collect())) == sorted(map(tuple, wanted.field_stats().collect()))
+    compact = index.compact_index(path, new_path(spark, "compact"), spark)
+    assert rows_of(compact) == rows_of(wanted) and stats_of(compact) == stats_of(wanted)
+    queries = spark.createDataFrame([("q", "title fresh cost")], "qid string, text string")
+    for field in ("title", "body"):
+        runs = [as_map(search.search(queries, ix, mode="or", field=field)) for ix in (got, compact, wanted)]
+        assert runs[0] == runs[1] == runs[2] and runs[0]
+
+
+def test_an_upsert_writes_the_field_only(spark):
+    """The body, here 100 times the title, is not written again; dead rows go with a broadcast or through a shuffle."""
+    words = [f"word{i}" for i in range(400)]
+    docs = spark.createDataFrame([(f"d{i}", "u", "old title", " ".join(random.Random(i).sample(words, 200))) for i in range(60)],
+                                 "docid string, url string, title string, body string")
+    path = new_path(spark, "large")
+    index.write_index(docs, path, ("body", "title"))
+    before = size_of(path.removeprefix("file:"))
+    index.upsert_field(path, docs.withColumn("title", F.lit("new title")), "title", "u")
+    written = sum(size_of(f"{path.removeprefix('file:')}/{t}/batch=u") for t in ("postings", "term_parts", "doc_lens", "docs", "replaced"))
+    assert 0 < written < before / 3
+
+
+def test_dead_rows_without_broadcast(spark, micro, monkeypatch):
+    path = new_path(spark, "dead")
+    index.write_index(micro[0], path)
+    monkeypatch.setattr(index, "fits_in_memory", lambda *a, **k: False)
+    got = index.upsert_field(path, micro[0].withColumn("title", F.lit("panel")), "title", "u")
+    assert rows_of(got) == rows_of(index.build_index(micro[0].withColumn("title", F.lit("panel"))))
+
+
+def test_drawn_pmi_counts_a_document_as_often_as_it_was_drawn(spark, micro):
+    corpus = micro[0].select("docid", F.expr("CASE docid WHEN 'd1' THEN 3L WHEN 'd2' THEN 1L ELSE 2L END").alias("copies"), "body")
+    copied = corpus.select(F.explode(F.sequence(F.lit(1), "copies")).alias("i"), F.concat_ws("-", "docid", "i").alias("docid"), "body")
+    got, wanted = cooccurrence.drawn_pmi(corpus), cooccurrence.corpus_pmi(copied)
+    assert {(r.t1, r.t2): (r.n, round(r.pmi, 9)) for r in got.collect()} == {(r.t1, r.t2): (r.n, round(r.pmi, 9)) for r in wanted.collect()}
+
 
 def test_query_search_and_transfer(spark, micro, built):
     pairs = spark.createDataFrame([("p1", "x1", 4), ("p2", "x2", 2), ("p3", "x1", 1)], "qid string, pid string, rel int")

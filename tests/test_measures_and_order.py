@@ -127,6 +127,24 @@ def test_blocks_equal_one_window(spark):
         assert both[0] == both[1]
 
 
+def test_median_of_values_that_repeat(spark, monkeypatch):
+    """One value in a third of the rows, one group in most of them, weights and nulls; nothing but counts is placed."""
+    draw = random.Random(8)
+    rows = [("hot" if draw.random() < 0.8 else f"g{draw.randint(0, 4)}", 5.0 if draw.random() < 0.35 else round(draw.uniform(0, 10), 1), draw.randint(0, 3))
+            for _ in range(3000)] + [("hot", None, 2), ("none", None, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, w int")
+    placed, real = [], ordering.positions
+    monkeypatch.setattr(ordering, "positions", lambda df, *a, **k: placed.append(df.count()) or real(df, *a, **k))
+    for weight in (None, "w"):
+        wanted = {}
+        for g in {r[0] for r in rows}:
+            many = sorted(v for h, v, n in rows if h == g and v is not None for _ in range(n if weight else 1))
+            if many:
+                wanted[g] = (many[(len(many) - 1) // 2] + many[len(many) // 2]) / 2
+        assert {r["g"]: r["median"] for r in ordering.exact_median(df, ["g"], "v", weight).collect()} == wanted
+    assert all(n <= 6 * 101 for n in placed)
+
+
 def test_exact_median(spark):
     rng = random.Random(6)
     rows = [(rng.randint(0, 4), float(rng.randint(0, 50))) for _ in range(301)]
