@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankweave.catalog.evaluation import evaluation_sql
+from rankweave.catalog.ranking_features import FEATURE_CTES
 from rankweave.catalog.registry import register
 from rankweave.catalog.training import _TRIPLE_COLUMNS, _TRIPLES, SEED
 from rankweave.operators import measures, sampling
+from rankweave.operators.features import long_features
 from rankweave.operators.index import append_documents, clear_index, read_index
 from rankweave.operators.search import judged_queries
 from rankweave.plans.workbench import DEPTH, Workbench
@@ -131,11 +133,12 @@ def triple_lines(w: Workbench):
     return w.spark.read.text(path).withColumnRenamed("value", "line")
 
 
-@register("feature_cache", "qid:s docid:s size:i", "SELECT qid, docid, 92 AS size FROM candidates", "candidates")
+@register("feature_cache", "qid:s docid:s feat:i name:s value:d", "SELECT * FROM long_features", "long_features", extra=FEATURE_CTES)
 def feature_cache(w: Workbench):
+    """Every value, read from the cache that an earlier call wrote."""
     path = new_path(w.spark, "feature-cache")
     trec.cached(w.spark, path, lambda: w.features)
-    return trec.cached(w.spark, path, lambda: w.features.limit(0)).withColumn("size", F.size("features"))
+    return long_features(trec.cached(w.spark, path, lambda: w.features.limit(0)))
 
 
 @register("index_stream", "field:s term:s df:i cf:i", "SELECT * FROM term_stats", "term_stats")

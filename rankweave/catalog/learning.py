@@ -10,6 +10,7 @@ from rankweave.catalog.registry import register
 from rankweave.catalog.training import sampled_pairs
 from rankweave.operators import adarank, clustering, density, models, rerank, sampling
 from rankweave.operators.features import QUERY_FEATURES, VECTOR
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import exact_median
 from rankweave.plans import study
 from rankweave.plans.workbench import DEPTH, Workbench
@@ -18,6 +19,7 @@ from rankweave.sources import tables
 
 SEED = 7
 CLUSTERS = 8
+TOPIC_DRAWS = 1000
 
 
 def training_features(w: Workbench, graded: bool = False):
@@ -218,7 +220,8 @@ def cluster_medians(w: Workbench):
     centres = clustering.centroids(points).select("cluster", "centre")
     gaps = F.zip_with("point", "centre", lambda x, c: (x - c) * (x - c))
     dist = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g))
-    return exact_median(points.join(centres, "cluster").select("cluster", dist.alias("dist")), ["cluster"], "dist")
+    placed = lookup_join(points, centres, ["cluster"], ["id"], fits_in_memory(centres))
+    return exact_median(placed.select("cluster", dist.alias("dist")), ["cluster"], "dist")
 
 
 def _lloyd_sql(points: str, *reads: str) -> dict:
@@ -352,8 +355,30 @@ def svc_quality(w: Workbench):
     return study.fit_quality(training_features(w), graded=False)
 
 
-@register("train_and_evaluate", "run_id:s qid:s metric:s value:d")
-def train_and_evaluate(w: Workbench):
+def _study(w: Workbench, model: str, **options):
     train, _ = sampling.split(w.queries, "qid", 0.25, SEED)
     return study.train_and_evaluate(
-        "svc", train, w.queries, w.qrels, w.candidates, w.docs, w.index, w.pmi, max_depth=DEPTH)
+        model, train, w.queries, w.qrels, w.candidates, w.docs, w.index, w.pmi, max_depth=DEPTH, **options)
+
+
+@register("train_and_evaluate", "run_id:s qid:s metric:s value:d")
+def train_and_evaluate(w: Workbench):
+    return _study(w, "svc")
+
+
+@register("study_classes", "run_id:s qid:s metric:s value:d")
+def study_classes(w: Workbench):
+    """Ranks by the classifier's class, with a share of the first score."""
+    return _study(w, "svc", classes=True, fused=True)
+
+
+@register("study_clusters", "run_id:s qid:s metric:s value:d")
+def study_clusters(w: Workbench):
+    """One regressor per cluster of queries, with a share of the first score."""
+    return _study(w, "cluster", fused=True, clusters=3)
+
+
+@register("study_adarank", "run_id:s qid:s metric:s value:d")
+def study_adarank(w: Workbench):
+    """AdaRank on drawn topics, documents without a body left out."""
+    return _study(w, "adarank", topics=TOPIC_DRAWS)

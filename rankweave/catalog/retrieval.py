@@ -198,8 +198,8 @@ def scorer_compare(w: Workbench):
         w.queries, w.index, {"okapi": scoring.okapi, "bm25": scoring.smoothed}, k=10, mode=CANDIDATE_SHARE)
 
 
-def _near_sql(asked: str, collection: str) -> str:
-    """The five documents of a collection nearest to each asked text, among those with a fifth of its terms."""
+def _near_sql(asked: str, collection: str, share: int = NEAR_SHARE) -> str:
+    """The five documents of a collection nearest to each asked text, among those with one in `share` of its terms."""
     return f"""
     SELECT qid, docid, rank, score FROM (
         SELECT qid, docid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid DESC) AS rank
@@ -211,7 +211,7 @@ def _near_sql(asked: str, collection: str) -> str:
               JOIN (SELECT term, count(*) AS df FROM {collection}_p GROUP BY term) s ON s.term = a.term,
                    (SELECT (SELECT count(*) FROM {collection}) AS n,
                            sum(tf) / (SELECT count(*) FROM {collection}) AS avg_len FROM {collection}_p) n
-              GROUP BY a.qid, p.docid HAVING {NEAR_SHARE} * count(*) >= max(a.n_terms)))
+              GROUP BY a.qid, p.docid HAVING {share} * count(*) >= max(a.n_terms)))
     WHERE rank <= 5"""
 
 
@@ -233,31 +233,64 @@ _TURNS = {
     "docs_p": (("postings",), "SELECT docid, dl, term, tf FROM postings WHERE field = 'body'"),
     "near_queries": (("paired_asked", "queries", "queries_p"), _near_sql("paired_asked", "queries")),
     "near_docs": (("paired_shown", "docs", "docs_p"), _near_sql("paired_shown", "docs")),
+    "full_queries": (("paired_asked", "queries", "queries_p"), _near_sql("paired_asked", "queries", 1)),
+    "full_docs": (("paired_shown", "docs", "docs_p"), _near_sql("paired_shown", "docs", 1)),
 }
 
 
-@register("query_to_query", "qid:s docid:s rank:i score:d", "SELECT * FROM near_queries", "near_queries", extra=_TURNS)
-def query_to_query(w: Workbench):
+def _near_queries(w: Workbench, mode: str | int):
     pairs = tables.passage_pairs(w.spark, w.folder)
     asked = search.judged_queries(tables.passage_queries(w.spark, w.folder), pairs)
-    return search.search(asked, search.query_index(w.queries), k=5, mode=NEAR_SHARE)
+    return search.search(asked, search.query_index(w.queries), k=5, mode=mode)
 
 
-@register("passage_to_doc", "qid:s docid:s rank:i score:d", "SELECT * FROM near_docs", "near_docs", extra=_TURNS)
-def passage_to_doc(w: Workbench):
+def _near_docs(w: Workbench, mode: str | int):
     pairs = tables.passage_pairs(w.spark, w.folder).select("pid")
     shown = tables.passages(w.spark, w.folder).join(pairs, "pid", "left_semi")
-    return search.search(shown.withColumnRenamed("pid", "qid"), w.index, k=5, mode=NEAR_SHARE)
+    return search.search(shown.withColumnRenamed("pid", "qid"), w.index, k=5, mode=mode)
 
 
-@register("judgment_transfer", "qid:s docid:s rel:i", """
-    SELECT q.docid AS qid, d.docid, p.rel FROM pairs p JOIN near_queries q ON q.qid = p.qid
-    JOIN near_docs d ON d.qid = p.pid AND d.rank = q.rank""", "pairs", "near_queries", "near_docs", extra=_TURNS)
-def judgment_transfer(w: Workbench):
+def _transferred(w: Workbench, mode: str | int):
     return search.transfer_judgments(
         tables.passage_pairs(w.spark, w.folder), tables.passage_queries(w.spark, w.folder),
-        tables.passages(w.spark, w.folder), search.query_index(w.queries), w.index, mode=NEAR_SHARE,
-    )
+        tables.passages(w.spark, w.folder), search.query_index(w.queries), w.index, mode=mode)
+
+
+_TRANSFER = """
+    SELECT q.docid AS qid, d.docid, p.rel FROM pairs p JOIN {0}_queries q ON q.qid = p.qid
+    JOIN {0}_docs d ON d.qid = p.pid AND d.rank = q.rank"""
+
+
+@register("query_to_query", "qid:s docid:s rank:i score:d", "SELECT * FROM near_queries", "near_queries", extra=_TURNS)
+def query_to_query(w: Workbench):
+    return _near_queries(w, NEAR_SHARE)
+
+
+@register("query_to_query_all", "qid:s docid:s rank:i score:d", "SELECT * FROM full_queries", "full_queries", extra=_TURNS)
+def query_to_query_all(w: Workbench):
+    """Every term of the query wanted."""
+    return _near_queries(w, "and")
+
+
+@register("passage_to_doc", "qid:s docid:s rank:i score:d", "SELECT * FROM near_docs", "near_docs", extra=_TURNS)
+def passage_to_doc(w: Workbench):
+    return _near_docs(w, NEAR_SHARE)
+
+
+@register("passage_to_doc_all", "qid:s docid:s rank:i score:d", "SELECT * FROM full_docs", "full_docs", extra=_TURNS)
+def passage_to_doc_all(w: Workbench):
+    """Every term of the passage wanted."""
+    return _near_docs(w, "and")
+
+
+@register("judgment_transfer", "qid:s docid:s rel:i", _TRANSFER.format("near"), "pairs", "near_queries", "near_docs", extra=_TURNS)
+def judgment_transfer(w: Workbench):
+    return _transferred(w, NEAR_SHARE)
+
+
+@register("judgment_transfer_all", "qid:s docid:s rel:i", _TRANSFER.format("full"), "pairs", "full_queries", "full_docs", extra=_TURNS)
+def judgment_transfer_all(w: Workbench):
+    return _transferred(w, "and")
 
 
 @register("judged_queries", "qid:s text:s", "SELECT * FROM queries WHERE qid IN (SELECT qid FROM qrels)",

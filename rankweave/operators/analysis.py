@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions import text
 from rankweave.functions.scoring import stable
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import positions, top_k
 
 # Rows shown per category, the damping of long ranks, and the measures of the header.
@@ -74,7 +75,8 @@ def _too_low(run: DataFrame, qrels: DataFrame, gap: Column, n: int) -> DataFrame
     good = _relevant(qrels).select("qid", "docid", "rel")
     ideal = positions(good, ["qid"], [F.desc("rel"), F.asc("docid")]).withColumnRenamed("pos", "true_rank")
     counts = good.groupBy("qid").agg(F.count(F.lit(1)).alias("relevant"))
-    rows = run.select("qid", "docid", "rank").join(ideal, ["qid", "docid"]).join(counts, "qid")
+    found = run.select("qid", "docid", "rank").join(ideal, ["qid", "docid"])
+    rows = lookup_join(found, counts, ["qid"], ["docid"], fits_in_memory(counts))
     rows = rows.withColumn("gap", stable(gap))
     return top_k(rows, n, order=[F.desc("gap"), F.desc("rank")], rank="place").select(
         "qid", "docid", F.col("rank").cast("long").alias("rank"), "true_rank", "relevant", "gap"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import positions
 
 # Cut-offs and levels of the measure family, the floor of geometric means, the prior of infAP.
@@ -92,7 +93,8 @@ def query_measures(run: DataFrame, qrels: DataFrame, max_depth: int | None = Non
                    names: list[str] | None = None) -> DataFrame:
     """One row per query in both tables, one column per measure; `names` picks some of `MEASURES`."""
     names = names or list(MEASURES)
-    hits = rank_hits(run, qrels, max_depth).join(judged_totals(qrels), "qid")
+    totals = judged_totals(qrels)
+    hits = lookup_join(rank_hits(run, qrels, max_depth), totals, ["qid"], ["docid"], fits_in_memory(totals))
     pos, rel_above, nonrel_above = F.col("pos"), F.col("rel_above"), F.col("nonrel_above")
     is_rel = F.col("is_rel") == 1
     n_rel, n_nonrel = F.col("n_rel"), F.col("n_nonrel")

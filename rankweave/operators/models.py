@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankweave.operators import solver
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import exact_median
 from rankweave.session import discard, materialize
 
@@ -182,6 +183,12 @@ def assign_clusters(model: KMeansModel, rows: DataFrame, column: str = "query_fe
     return assigned.withColumn("strength", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g)))
 
 
+def _routed(rows: DataFrame, clusters: KMeansModel, query_rows: DataFrame) -> DataFrame:
+    """`rows` with the cluster of their query, which may have any number of rows."""
+    of_query = assign_clusters(clusters, query_rows).select("qid", "cluster")
+    return lookup_join(rows, of_query, ["qid"], ["docid"] if "docid" in rows.columns else ["features"], fits_in_memory(of_query))
+
+
 @dataclass
 class ClusterRanker:
     """A regressor per query cluster; a cluster without training rows uses the one fitted on all rows."""
@@ -192,7 +199,7 @@ class ClusterRanker:
 
     def score(self, features: DataFrame, query_rows: DataFrame) -> DataFrame:
         """(qid, docid, score) of `features(qid, docid, features)`, each row by the model of its query's cluster."""
-        routed = materialize(features.join(assign_clusters(self.clusters, query_rows).select("qid", "cluster"), "qid"), "routed")
+        routed = materialize(_routed(features, self.clusters, query_rows), "routed")
         out = score(self.shared, routed.filter(F.col("cluster").isin(*self.unfitted)) if self.unfitted else routed.limit(0))
         for cluster, model in self.own.items():
             out = out.unionByName(score(model, routed.filter(F.col("cluster") == cluster)))
@@ -225,9 +232,7 @@ def fit_cluster_ranker(rows: DataFrame, query_rows: DataFrame, k: int, seed: int
     Every cluster that has a training row gets its own regressor.
     """
     clusters = fit_query_clusters(query_rows.join(rows.select("qid"), "qid", "left_semi"), k, seed)
-    routed = materialize(
-        rows.join(assign_clusters(clusters, query_rows).select("qid", "cluster"), "qid"), "cluster-rows"
-    )
+    routed = materialize(_routed(rows, clusters, query_rows), "cluster-rows")
     used = sorted(row["cluster"] for row in routed.select("cluster").distinct().collect())  # at most k
     own = {c: fit_regressor(routed.filter(F.col("cluster") == c), seed=seed, **options) for c in used}
     return ClusterRanker(clusters, fit_regressor(routed, seed=seed, **options), own)

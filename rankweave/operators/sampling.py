@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.draws import draw, draw_int, draw_share
+from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import positions
 
 # Depth of the candidate lists, and grades given to sampled positives and negatives.
@@ -33,7 +34,8 @@ def choose_member(draws: DataFrame, members: DataFrame, group: str, item: str, s
     """For each row of `draws(draw, group)` one random `item` of its group; groups without members drop out."""
     placed = positions(members.select(group, item), [group], [F.asc(item)], bounded=bounded)
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    chosen = draws.join(sizes, group).withColumn("pos", draw_int(seed, F.col("_n"), "draw") + 1)
+    known = lookup_join(draws, sizes, [group], ["draw"], fits_in_memory(sizes))
+    chosen = known.withColumn("pos", draw_int(seed, F.col("_n"), "draw") + 1)
     return chosen.join(placed, [group, "pos"]).drop("_n", "pos")
 
 

@@ -32,10 +32,12 @@ def train_and_evaluate(model: str, train_queries: DataFrame, queries: DataFrame,
                        candidates: DataFrame, docs: DataFrame, index: Index, pmi: DataFrame,
                        num_pairs: int = NUM_PAIRS, num_graded: int = NUM_GRADED, seed: int = 7,
                        max_depth: int | None = None, classes: bool = False, fused: bool = False,
-                       clusters: int = CLUSTERS) -> DataFrame:
+                       clusters: int = CLUSTERS, topics: int | None = None) -> DataFrame:
     """Fit `model` (svc, svr, cluster or adarank) on `train_queries`, re-rank all candidates and evaluate the run.
 
     `classes` ranks by the class of the classifier instead of its margin, `fused` adds a share of the first score.
+    `topics` lets AdaRank train on so many draws of training queries, with replacement; documents without a body are
+    left out of its training lists then.
     """
     if model not in ("svc", "svr", "cluster", "adarank"):
         raise ValueError(f"unknown model {model!r}")
@@ -43,7 +45,13 @@ def train_and_evaluate(model: str, train_queries: DataFrame, queries: DataFrame,
     vectors = materialize(features.pair_features(candidates, queries, docs, index, pmi), "study-features")
     if model == "adarank":
         good = sampling.positives(own).select("qid", "docid")
-        trained = vectors.join(train_queries.select("qid"), "qid", "left_semi")
+        asked = train_queries.select("qid")
+        trained = vectors
+        if topics is not None:
+            asked = sampling.sample_rows(asked, "qid", topics, seed).select("qid").distinct()
+            bodies = docs.filter(F.length(F.rtrim("body")) > 0).select("docid")
+            trained = trained.join(bodies, "docid", "left_semi")
+        trained = trained.join(asked, "qid", "left_semi")
         alpha = adarank.fit(_labelled(trained, good), max_depth=max_depth)
         scored = rerank.linear_score(vectors, alpha)
     else:

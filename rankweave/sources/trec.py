@@ -31,11 +31,13 @@ def read_docs(spark: SparkSession, path: str, num_docs: int | None = None) -> Da
 
 
 def merge_queries(sources: list[DataFrame]) -> DataFrame:
-    """One row per qid over several query tables; the text of the last table and row wins."""
-    tagged = [
-        source.select("qid", "text", F.struct(F.lit(i), F.monotonically_increasing_id()).alias("_order"))
-        for i, source in enumerate(sources)
-    ]
+    """One row per qid over several query tables; the text of the last table and row wins.
+
+    The rows of a table are in the order of its files' names and, inside a file, of the lines: parts of a file are
+    ordered by where they begin, lines of a part by their row numbers.
+    """
+    place = (F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
+    tagged = [source.select("qid", "text", F.struct(F.lit(i), *place).alias("_order")) for i, source in enumerate(sources)]
     rows = tagged[0]
     for source in tagged[1:]:
         rows = rows.unionByName(source)
