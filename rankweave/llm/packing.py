@@ -41,7 +41,7 @@ from rankweave.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 150_000
+CACHE = 50_000
 SLICE_BYTES = 4 * 1024 * 1024
 KEPT_LENGTH = 64
 PLAIN_LIMIT = "ɐ"  # Latin letters, whose classes no Unicode version changes
