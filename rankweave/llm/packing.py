@@ -41,9 +41,10 @@ from rankweave.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 50_000
+CACHE = 150_000
 SLICE_BYTES = 4 * 1024 * 1024
 KEPT_LENGTH = 64
+ASCII_SPACE = "\x1c\x1d\x1e\x1f"
 PLAIN_LIMIT = "ɐ"  # Latin letters, whose classes no Unicode version changes
 
 
@@ -76,23 +77,51 @@ class WordTokenizer:
         return array("i", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not self.known_form or "<|" in word or not word.isascii() and max(word) >= PLAIN_LIMIT:
-            return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        normal = word.lower() if is_normalized("NFC", word) else self.tokenizer.normalizer.normalize_str(word)
+        """Ids of a word in the tokenizer's normal form: NFC and lower case."""
         pieces = self.pieces
-        if normal.isalpha():
-            return pieces[normal]
-        stem, last = normal[:-1], normal[-1:]
+        if word.isalpha():
+            return pieces[word]
+        stem, last = word[:-1], word[-1:]
         if stem.isalpha() and last in punctuation:
             return pieces[stem] + pieces[last]
-        return b"".join(map(pieces.__getitem__, self.pattern.findall(normal)))
+        return b"".join(map(pieces.__getitem__, self.pattern.findall(word)))
+
+    def _normal(self, text: str) -> str | None:
+        """The normal form of a text that can be split here: known form, no special token, blanks that all libraries
+        take for blanks, letters of one class everywhere. None for any other text."""
+        if not self.known_form or "<|" in text:
+            return None
+        if text.isascii():  # other blanks inside ASCII are four control characters
+            return None if any(map(text.__contains__, ASCII_SPACE)) else text.lower()
+        if self.other_space.search(text):
+            return None
+        try:
+            text.encode("latin-1")  # composed already, and quicker to find out than the greatest character
+        except UnicodeEncodeError:
+            if max(text) >= PLAIN_LIMIT:
+                return None
+        return text.lower() if is_normalized("NFC", text) else self.tokenizer.normalizer.normalize_str(text)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.other_space.search(text) or not self.known_form:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        normal = self._normal(text)
+        if normal is None:
+            return self._by_word(text)
         self.words.trim()
         self.pieces.trim()
-        return np.frombuffer(b"".join(map(self.words.__getitem__, text.split())), np.int32)
+        return np.frombuffer(b"".join(map(self.words.__getitem__, normal.split())), np.int32)
+
+    def _by_word(self, text: str) -> np.ndarray:
+        """Words on their own where the text's blanks allow it, each in the normal form or by the library."""
+        if self.other_space.search(text) or not self.known_form:
+            return self._library(text)
+        parts = []
+        for word in text.split():
+            normal = self._normal(word)
+            parts.append(self._library(word) if normal is None else np.frombuffer(self.words[normal], np.int32))
+        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
 
 class _Known(dict):
