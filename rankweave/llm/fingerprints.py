@@ -83,8 +83,11 @@ def with_next(df: DataFrame, key: str, carried: list[str], blocks: int) -> DataF
 
     Rows are dealt into blocks by quantiles of the key. A block begins at a key that is in the table, and the rows of
     that key also go to the block before it, so every block sees the row after its last one. One block is one task.
-    Rows with a null key come first; among equal keys the order is by the carried columns.
+    Rows with a null key come first; among equal keys the order is by the carried columns. A column `next` of the input
+    gives way; all others stay, whatever their names.
     """
+    df = df.drop("next")
+    block_, own_, last_ = (_free(df, name) for name in ("_block", "_own", "_last"))
     order = [F.asc_nulls_first(key), *[F.asc_nulls_first(c) for c in carried]]
     at = [i / blocks for i in range(1, blocks)]
     quantiles = F.percentile_approx(key, at, 100 * blocks) if at else F.lit(None)
@@ -92,14 +95,22 @@ def with_next(df: DataFrame, key: str, carried: list[str], blocks: int) -> DataF
     starts = sorted({x for x in found["at"] or () if x is not None and x != found["least"]})
     block = _place(F.col(key), starts)
     begins = F.col(key).isin(starts) if starts else F.lit(False)
-    own = df.withColumn("_block", block).withColumn("_own", F.lit(True))
-    halo = df.filter(F.coalesce(begins, F.lit(False))).withColumn("_block", block - 1).withColumn("_own", F.lit(False))
+    own = df.withColumn(block_, block).withColumn(own_, F.lit(True))
+    halo = df.filter(F.coalesce(begins, F.lit(False))).withColumn(block_, block - 1).withColumn(own_, F.lit(False))
     least = F.col(key).isNull() if found["nulls"] else F.col(key) == F.lit(found["least"])
     first = df.filter(least).orderBy(*order).limit(1)
-    first = first.withColumn("_block", F.lit(len(starts))).withColumn("_own", F.lit(False)).withColumn("_last", F.lit(True))
-    rows = own.unionByName(halo).withColumn("_last", F.lit(False)).unionByName(first)
-    along = W.partitionBy("_block").orderBy("_last", *order)
-    return rows.withColumn("next", F.lead(F.struct(*carried)).over(along)).filter("_own").drop("_block", "_own", "_last")
+    first = first.withColumn(block_, F.lit(len(starts))).withColumn(own_, F.lit(False)).withColumn(last_, F.lit(True))
+    rows = own.unionByName(halo).withColumn(last_, F.lit(False)).unionByName(first)
+    along = W.partitionBy(block_).orderBy(last_, *order)
+    return rows.withColumn("next", F.lead(F.struct(*carried)).over(along)).filter(own_).drop(block_, own_, last_)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """`name`, made longer until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _place(key: Column, starts: list) -> Column:

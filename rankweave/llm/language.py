@@ -11,6 +11,7 @@ runner-up is close or when more bits disagree with the codeword than the code ca
 Up to seven languages use the exhaustive code; more use the seeded random code with the largest least distance.
 
 Rows: texts that are null or have no letter are `und` with score 0 and do not train, nor do rows without language.
+More than MOST_LANGUAGES languages are an error.
 With no language learned everything is `und`; with one language learned it is given to every text with a letter.
 Whole texts are read, however long.
 """
@@ -31,6 +32,7 @@ from rankweave.llm.common import arrow_function, column, utf8
 DIMENSIONS = 1 << 13
 SMOOTHING = 0.5
 TUNING_ROWS = 4_000
+MOST_LANGUAGES = 1_000
 AMBIGUOUS_SHARE = 0.6
 SHARPNESS = 4.0
 UNKNOWN = "und"
@@ -105,7 +107,8 @@ class LanguageCode:
 def language_counts(rows: DataFrame) -> DataFrame:
     """(lang, place, value): hashed n-gram shares of the training rows (lang, text), added up by language.
 
-    A document adds its counts, at most as many as a long text has, so no single text makes a language's profile.
+    A document adds as many counts as it has n-grams, so long texts weigh more; the model learns whole texts alike,
+    however they are cut into documents.
     """
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +127,11 @@ def language_counts(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", tuning_rows: int = TUNING_ROWS, seed: int = 9) -> LanguageCode:
-    """A code from all rows with a language. The driver gets DIMENSIONS numbers per language, which bounds the model by
-    the number of languages; `tuning_rows` bounds the sample that weighs the bits."""
+    """A code from all rows with a language. The driver gets DIMENSIONS numbers per language, and more than
+    MOST_LANGUAGES languages are refused; `tuning_rows` bounds the sample that weighs the bits."""
     rows = docs.select(column(lang).cast("string").alias("lang"), column(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    if rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts: dict[str, np.ndarray] = {}
     for r in language_counts(rows).collect():
         counts.setdefault(r.lang, np.zeros(DIMENSIONS))[r.place] = r.value

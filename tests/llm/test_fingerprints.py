@@ -85,3 +85,21 @@ def test_query_against_brute_force(spark):
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.fingerprint == ",".join(f"{h % 2**64:x}" for h in own) and r.edited_fingerprint == ",".join(f"{h % 2**64:x}" for h in new)
         assert r.near_edited == plain_resemblance(own, new) and r.near_next == plain_resemblance(own, plain_sketch(after))
+
+
+def test_next_row_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(3, "c", 1, 1, 1, 1), (1, "a", 2, 2, 2, 2), (2, "b", 3, 3, 3, 3)],
+                               "k long, v string, _block long, _own long, _last long, next long")
+    got = fp.with_next(df, "k", ["v"], 3)
+    assert got.columns == ["k", "v", "_block", "_own", "_last", "next"]
+    assert sorted((r.k, r["_block"], r["_own"], r["_last"], r.next.v) for r in got.collect()) == [(1, 2, 2, 2, "b"), (2, 3, 3, 3, "c"), (3, 1, 1, 1, "a")]
+
+
+def test_next_row_with_null_and_repeated_keys(spark):
+    rows = [(None, "x"), (2, "b"), (2, "b"), (2, "a"), (None, "y"), (5, None), (7, "z")]
+    df = spark.createDataFrame(rows, "k long, v string")
+    in_order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    wanted = sorted(((k, v, in_order[(i + 1) % len(rows)][1]) for i, (k, v) in enumerate(in_order)), key=str)
+    for blocks in (1, 3, 8):
+        got = [(r.k, r.v, r.next.v) for r in fp.with_next(df, "k", ["v"], blocks).collect()]
+        assert sorted(got, key=str) == wanted

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -101,3 +102,23 @@ def test_one_class_or_none(spark, hard, nothing):
     assert quality.keep(hard, quality.fit_documents(hard, labels)).columns == hard.columns
     assert quality.keep(nothing, quality.fit_documents(nothing, labels)).count() == 0
     assert all(np.isfinite(quality.transformed(t)).all() for t in (b"", b" ", "é".encode(), b"1"))
+
+
+def test_statistics_of_the_quality_model(texts):
+    """The twelve statistics, written out with regular expressions and plain counts."""
+    def plain_statistics(t):
+        words, lines = re.findall(r"[^\x20\x09-\x0D]+", t), [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        n, chars, n_lines = max(len(words), 1), max(sum(map(len, words)), 1), max(len(lines), 1)
+        upper, lower, digits = (len(re.findall(p, t)) for p in ("[A-Z]", "[a-z]", "[0-9]"))
+        beyond = sum(ord(c) > 127 for c in t)
+        symbols = len(re.findall(r"[#*$%&|<>]", t))
+        counts = Counter(words)
+        entropy = 1.0 if len(words) < 2 else -sum(c / len(words) * math.log2(c / len(words)) for c in counts.values()) / math.log2(len(words))
+        metrics = plain_metrics(t)
+        repeats, duplicates = metrics[rules.METRICS.index("n_repeat_words")], metrics[rules.METRICS.index("n_dup_lines")]
+        return [math.log1p(len(words)), math.log(chars / n + 0.1), math.log(symbols / chars + 0.001), math.log(upper / max(upper + lower, 1) + 0.01),
+                math.log(digits / chars + 0.001), math.log(max(chars - upper - lower - digits - beyond, 0) / chars + 0.01),
+                math.sqrt(duplicates / n_lines), math.sqrt(repeats / n), math.log(n / n_lines), entropy, beyond / chars, math.log(len(counts) / n + 0.001)]
+
+    for t in [*texts, "A a A a\n\nA a A a\n x", "é É é 12 #", "a b c d e f g h " * 5]:
+        assert quality.transformed(t.encode()) == pytest.approx(plain_statistics(t), abs=1e-9), t[:80]
