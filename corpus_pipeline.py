@@ -8,6 +8,11 @@ stage's documents. All but the last return the columns of the documents they got
 3. near_dedup: one document of each group of near copies stays.
 4. secrets: secrets are masked in the text, and `n_chars` follows where a text has changed.
 5. packing: pieces of at most 2048 tokens with their ids, sequence and offset.
+
+Rows: a null text counts as empty; an empty text fails the rules. Null keys, repeated keys and ties are allowed: of rows
+equal in class, the one with the smallest key stays, of rows equal in key and text one, and a null key is smaller than none.
+Columns of any name pass all stages but the last. Labels without a document train nothing. Very long texts go whole
+through every stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
