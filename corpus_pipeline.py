@@ -28,22 +28,35 @@ from rankweave.llm.queries import tokenizer_path
 from rankweave.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
+# Documents are kilobytes and sometimes megabytes long, so batches for Python hold fewer rows than Spark's default.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "1000", "10000"
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bounds what a task holds outside the heap, in the session; a size that its owner has chosen stays."""
+    if spark.conf.get(BATCH_KEY) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep(docs, quality.fit_documents(docs, labels))
 
 
 def within_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return rules.keep(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return near_dedup.keep_one(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     masked = "masked"
     while masked in docs.columns:
         masked += "_"
@@ -57,6 +70,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return packing.pack(docs, packing.share(spark, tokenizer_path(TOKENIZER)), with_ids=True)
 
 
