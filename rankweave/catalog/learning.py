@@ -14,12 +14,13 @@ from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import exact_median
 from rankweave.plans import study
 from rankweave.plans.workbench import DEPTH, Workbench
-from rankweave.session import new_path
+from rankweave.session import materialize, new_path
 from rankweave.sources import tables
 
 SEED = 7
 CLUSTERS = 8
 TOPIC_DRAWS = 1000
+SWEEP_DRAWS = 20_000
 
 
 def training_features(w: Workbench, graded: bool = False):
@@ -278,7 +279,44 @@ def kmeans_sizes(w: Workbench):
 
 @register("k_sweep", "k:i calinski_harabasz:d davies_bouldin:d silhouette:d")
 def k_sweep(w: Workbench):
-    return clustering.k_sweep(query_vectors(w).withColumnRenamed("query_features", "point"), "qid")
+    return clustering.k_sweep(query_vectors(w).withColumnRenamed("query_features", "point"), "qid", draws=SWEEP_DRAWS)
+
+
+@register("weighted_measures", "calinski_harabasz:d davies_bouldin:d silhouette:d", """
+    SELECT (SELECT (sum(n * sq) / (k - 1)) / ((SELECT sum(w * dist * dist) FROM far) / (total - k))
+            FROM wide, (SELECT count(*) AS k, sum(n) AS total FROM wide_size) GROUP BY k, total) AS calinski_harabasz,
+           (SELECT avg(worst) FROM (
+                SELECT a.label, max((a.s + b.s) / m.apart) AS worst FROM spread a JOIN (
+                    SELECT x.label AS l1, y.label AS l2, sqrt(sum((x.c - y.c) ** 2)) AS apart
+                    FROM mid x JOIN mid y ON y.d = x.d AND y.label != x.label GROUP BY x.label, y.label) m ON m.l1 = a.label
+                JOIN spread b ON b.label = m.l2 GROUP BY a.label)) AS davies_bouldin,
+           (SELECT sum(w * s) / sum(w) FROM (
+                SELECT id, max(w) AS w, CASE WHEN max(n) FILTER (own) = 1 THEN 0 ELSE
+                       (min(total / n) FILTER (NOT own) - max(total / (n - 1)) FILTER (own))
+                       / greatest(min(total / n) FILTER (NOT own), max(total / (n - 1)) FILTER (own)) END AS s
+                FROM (SELECT p.id, p.w, q.label = p.label AS own, sum(q.w) AS n,
+                             sum(q.w * list_sum(list_transform(list_zip(p.x, q.x), lambda z: (z[1] - z[2]) ** 2))) AS total
+                      FROM heavy p, heavy q GROUP BY p.id, p.w, p.label, q.label) GROUP BY id)) AS silhouette""",
+          "wide", "wide_size", "far", "mid", "spread", "heavy", extra={
+    "heavy": ((), "SELECT vec_id AS id, label, embedding::DOUBLE[] AS x, 1 + vec_id % 3 AS w FROM embeddings"),
+    "flat": (("heavy",), "SELECT id, label, w, unnest(x) AS v, generate_subscripts(x, 1) AS d FROM heavy"),
+    "mid": (("flat",), "SELECT label, d, sum(w * v) / sum(w) AS c FROM flat GROUP BY label, d"),
+    "far": (("flat", "mid"), """
+        SELECT f.id, f.label, f.w, sqrt(sum((f.v - m.c) ** 2)) AS dist FROM flat f JOIN mid m ON m.label = f.label AND m.d = f.d
+        GROUP BY f.id, f.label, f.w"""),
+    "spread": (("far",), "SELECT label, sum(w * dist) / sum(w) AS s FROM far GROUP BY label"),
+    "wide_size": (("heavy",), "SELECT label, sum(w) AS n FROM heavy GROUP BY label"),
+    "wide": (("mid", "flat", "wide_size"), """
+        SELECT m.label, max(s.n) AS n, sum((m.c - g.c) ** 2) AS sq FROM mid m
+        JOIN (SELECT d, sum(w * v) / sum(w) AS c FROM flat GROUP BY d) g ON g.d = m.d JOIN wide_size s ON s.label = m.label
+        GROUP BY m.label"""),
+})
+def weighted_measures(w: Workbench):
+    """The three measures of labelled vectors that count one, two or three times."""
+    points = materialize(tables.points(w.spark, w.folder).withColumn("times", 1 + F.col("id") % 3), "weighted-points")
+    values = [float(measure(points, "times").first()[0]) for measure in (
+        clustering.calinski_harabasz, clustering.davies_bouldin, clustering.weighted_silhouette)]
+    return w.spark.createDataFrame([tuple(values)], "calinski_harabasz double, davies_bouldin double, silhouette double")
 
 
 @register("calinski_harabasz", "calinski_harabasz:d", """

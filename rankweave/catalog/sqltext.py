@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from rankweave.functions.stemming import STEP2, STEP3, STEP4
-from rankweave.functions.text import MIN_TOKEN_LENGTH, STOP_WORDS
-
+# Fixed values, stated here on their own so that a wrong one in the library shows: the stop list, the shortest token
+# and the suffixes of three stemming steps with what replaces them.
+STOP_WORDS = (
+    "a", "an", "and", "are", "as", "at", "be", "by", "can", "for", "from", "have", "if", "in", "is", "it", "may",
+    "not", "of", "on", "or", "tbd", "that", "the", "this", "to", "us", "we", "when", "will", "with", "yet", "you", "your",
+)
+MIN_TOKEN_LENGTH = 2
+STEP2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"),
+    ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
+    ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"),
+    ("biliti", "ble"), ("logi", "log"),
+)
+STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""))
+STEP4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti", "ous",
+    "ive", "ize",
+)
 TOKEN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"
 _STOPS = ", ".join(f"'{word}'" for word in STOP_WORDS)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -16,10 +19,13 @@ from rankweave.functions.draws import draw
 from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.models import with_vector
 from rankweave.operators.ordering import exact_median
-from rankweave.operators.sampling import split
-from rankweave.operators.vectors import nearest
+from rankweave.operators.sampling import sample_rows, split
+from rankweave.operators.vectors import as_matrix, nearest
 from rankweave.session import discard, materialize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MOST_CLUSTERS = 10_000
 ROUNDS = 20  # the limit of rounds of one fit
 BLOCK = 1000  # centres that are compared with as many others at a time
 
@@ -82,21 +88,25 @@ def kmeans_assign(model, points: DataFrame) -> DataFrame:
     return model.transform(with_vector(points, "point")).drop("vector")
 
 
-def centroids(points: DataFrame) -> DataFrame:
-    """(cluster, n, centre, squares): size, mean and sum of squared norms, in one combined aggregation."""
-    stats = Summarizer.metrics("count", "mean", "normL2").summary(F.col("vector")).alias("s")
-    return with_vector(points, "point").groupBy("cluster").agg(stats).select(
+def centroids(points: DataFrame, weight: str | None = None) -> DataFrame:
+    """(cluster, n, centre, squares): size, mean and sum of squared norms, in one combined aggregation.
+
+    With `weight`, a column of whole numbers, a point counts so many times, here and in the measures below.
+    """
+    times = F.col(weight).cast("double") if weight else F.lit(1.0)
+    stats = Summarizer.metrics("mean", "normL2").summary(F.col("vector"), times).alias("s")
+    return with_vector(points, "point").groupBy("cluster").agg(stats, F.sum(times).alias("n")).select(
         "cluster",
-        F.col("s.count").alias("n"),
+        "n",
         vector_to_array("s.mean").alias("centre"),
         _square_norm(vector_to_array("s.normL2")).alias("squares"),
     )
 
 
-def calinski_harabasz(points: DataFrame) -> DataFrame:
+def calinski_harabasz(points: DataFrame, weight: str | None = None) -> DataFrame:
     """(calinski_harabasz) of points(cluster, point array): dispersion between over dispersion within clusters."""
-    groups = centroids(points)
-    overall = centroids(points.withColumn("cluster", F.lit(0))).first()  # one row
+    groups = centroids(points, weight)
+    overall = centroids(points.withColumn("cluster", F.lit(0)), weight).first()  # one row
     whole = overall["n"] * sum(v * v for v in overall["centre"])
     spread = F.sum(F.col("n") * _square_norm(F.col("centre")))
     between = spread - F.lit(whole)
@@ -105,17 +115,18 @@ def calinski_harabasz(points: DataFrame) -> DataFrame:
     return groups.agg(((between / (k - 1)) / (within / (n - k))).alias("calinski_harabasz"))
 
 
-def davies_bouldin(points: DataFrame) -> DataFrame:
+def davies_bouldin(points: DataFrame, weight: str | None = None) -> DataFrame:
     """(davies_bouldin): mean over clusters of the worst ratio of spreads to centre distance.
 
     Centres are looked up by every point through a measured broadcast or with salt, and compared with each other:
     clusters x clusters rows, whatever the number of points, in blocks of about BLOCK x BLOCK pairs.
     """
-    centres = materialize(centroids(points).select("cluster", "centre"), "centres")
+    centres = materialize(centroids(points, weight).select("cluster", "centre"), "centres")
     gaps = F.zip_with("point", "centre", lambda x, c: (x - c) * (x - c))
-    placed = points.select("cluster", F.col("point").cast("array<double>").alias("point"))
+    times = F.col(weight).cast("double") if weight else F.lit(1.0)
+    placed = points.select("cluster", F.col("point").cast("array<double>").alias("point"), times.alias("times"))
     spreads = lookup_join(placed, centres, ["cluster"], ["point"], fits_in_memory(centres)).groupBy("cluster", "centre").agg(
-        F.avg(F.sqrt(_sum(gaps))).alias("spread"))
+        (F.sum(F.col("times") * F.sqrt(_sum(gaps))) / F.sum("times")).alias("spread"))
     known = materialize(spreads, "spreads")
     parts = -(-known.count() // BLOCK) or 1
     part, every = F.pmod(F.xxhash64("cluster"), F.lit(parts)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
@@ -133,23 +144,64 @@ def silhouette(points: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="vector", predictionCol="prediction").evaluate(rows)
 
 
+def weighted_silhouette(points: DataFrame, weight: str) -> DataFrame:
+    """(silhouette): the mean silhouette of points that count `weight` times, with squared Euclidean distances.
+
+    The distances of a point to a whole cluster follow from the cluster's size, mean and sum of squared norms, so no
+    pairs of points are made. One row per cluster comes to the driver.
+    """
+    stats = centroids(points, weight).limit(MOST_CLUSTERS + 1).collect()
+    if len(stats) > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters")
+    number = {r["cluster"]: i for i, r in enumerate(stats)}
+    sizes, centres = np.array([r["n"] for r in stats]), np.array([r["centre"] for r in stats])
+    norms = np.array([r["squares"] for r in stats])
+
+    def values(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for x, clusters in columns:
+            rows = as_matrix(x, centres.shape[1])
+            total = np.maximum(0.0, sizes * (rows**2).sum(axis=1)[:, None] - 2 * sizes * (rows @ centres.T) + norms)
+            own, at = np.array([number[c] for c in clusters.to_pylist()], int), np.arange(len(rows))
+            size = sizes[own]
+            inside = total[at, own] / np.maximum(size - 1, 1)
+            mean = total / sizes
+            mean[at, own] = np.inf
+            outside = mean.min(axis=1)
+            both = np.maximum(inside, outside)
+            yield pa.array(np.where((size > 1) & (both > 0), (outside - inside) / np.where(both > 0, both, 1), 0.0))
+
+    values.__annotations__ = {"columns": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    told = points.select(F.col(weight).alias("times"), F.arrow_udf(values, "double")(F.col("point").cast("array<double>"), F.col("cluster")).alias("value"))
+    return told.agg((F.sum(F.col("times") * F.col("value")) / F.sum("times")).alias("silhouette"))
+
+
 def k_sweep(points: DataFrame, key: str, ks: Iterable[int] = range(10, 300, 10), test_share: float = 0.25,
-            seed: int = 7) -> DataFrame:
+            seed: int = 7, draws: int | None = None) -> DataFrame:
     """(k, calinski_harabasz, davies_bouldin, silhouette) on held-out points, a new split for each k.
 
-    Values are null where the held-out points lie in one cluster or each in its own, for which they are not defined.
+    With `draws` the fits and measures are over so many draws of points, with replacement; a point counts as often as it
+    was drawn to a side, and its vector is there once. Values are null where the held-out points lie in one cluster or each in
+    its own, for which they are not defined.
     """
     schema = "k int, calinski_harabasz double, davies_bouldin double, silhouette double"
+    drawn = materialize(sample_rows(points.select(key), key, draws, seed), "draws") if draws else None
     rows = []
     for k in ks:
-        train, test = split(points, key, test_share, seed + k)
-        assigned = materialize(kmeans_assign(kmeans_fit(train, k, seed), test), "swept")
-        used, n = assigned.agg(F.count_distinct("cluster"), F.count(F.lit(1))).first()
-        if not 1 < used < n:
+        if drawn is None:
+            sides = [part.withColumn("times", F.lit(1)) for part in split(points, key, test_share, seed + k)]
+        else:
+            counts = [part.groupBy(key).agg(F.count(F.lit(1)).alias("times")) for part in split(drawn, "draw", test_share, seed + k)]
+            sides = [points.join(n, key) for n in counts]
+        train, test = sides
+        model = KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="cluster", weightCol="times").fit(
+            with_vector(train.withColumn("times", F.col("times").cast("double")), "point"))
+        assigned = materialize(kmeans_assign(model, test), "swept")
+        used, n = assigned.agg(F.count_distinct("cluster"), F.sum("times")).first()
+        if not 1 < used < (n or 0):
             rows.append((k, None, None, None))
             continue
         rows.append((
-            k, float(calinski_harabasz(assigned).first()[0]), float(davies_bouldin(assigned).first()[0]),
-            float(silhouette(assigned)),
+            k, float(calinski_harabasz(assigned, "times").first()[0]), float(davies_bouldin(assigned, "times").first()[0]),
+            float(weighted_silhouette(assigned, "times").first()[0]),
         ))
     return points.sparkSession.createDataFrame(rows, schema)

@@ -200,6 +200,42 @@ def test_cluster_measures_against_numpy(spark):
     assert few["k"] == 11 and few["silhouette"] is None
 
 
+def test_weights_count_like_copies(spark):
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.normal(c, 1.0, (20, 3)) for c in (0.0, 2.0, 5.0)])
+    times = rng.integers(1, 5, 60)
+    rows = [(i, i // 20, [float(v) for v in x], int(t)) for i, (x, t) in enumerate(zip(points, times, strict=True))]
+    df = spark.createDataFrame([*rows, (60, 3, [9.0, 9.0, 9.0], 1)], "id int, cluster int, point array<double>, times int")
+    copies = df.select(F.explode(F.sequence(F.lit(1), "times")), "cluster", "point").drop("col")
+    for measure in (clustering.calinski_harabasz, clustering.davies_bouldin):
+        assert measure(df, "times").first()[0] == pytest.approx(measure(copies).first()[0])
+    x, labels = np.array([r.point for r in copies.collect()]), np.array([r.cluster for r in copies.collect()])
+    apart = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    values = []
+    for i, own in enumerate(labels):
+        inside = apart[i, labels == own].sum() / max((labels == own).sum() - 1, 1)
+        outside = min(apart[i, labels == c].mean() for c in set(labels) - {own})
+        values.append(0.0 if (labels == own).sum() == 1 else (outside - inside) / max(inside, outside))
+    assert clustering.weighted_silhouette(df, "times").first()[0] == pytest.approx(np.mean(values))
+    sweep = clustering.k_sweep(df.drop("cluster", "times"), "id", [2, 3], draws=300).collect()
+    assert [r["k"] for r in sweep] == [2, 3] and all(r["silhouette"] > 0 for r in sweep)
+
+
+def test_lloyd_reaches_a_fixed_point(spark):
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(c, 0.5, (30, 2)) for c in ((0, 0), (6, 0), (0, 6))])
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(points)], "id int, point array<double>")
+    centres = clustering.lloyd(df, "id", 3)
+    placed = clustering.assign(centres, df).collect()
+    assert clustering.lloyd(df.repartition(5), "id", 3) == pytest.approx(centres)
+    for r in placed:
+        gaps = np.linalg.norm(centres - np.array(r["point"]), axis=1)
+        assert r["cluster"] == gaps.argmin() and r["strength"] == pytest.approx(gaps.min())
+    for c in range(3):
+        assert centres[c] == pytest.approx(np.mean([r["point"] for r in placed if r["cluster"] == c], axis=0))
+    assert clustering.lloyd(df.limit(0), "id", 3).size == 0 and len(clustering.lloyd(df.limit(2), "id", 3)) == 2
+
+
 def test_centres_are_compared_in_blocks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     points = spark.createDataFrame([(i % 23, [float(v) for v in rng.normal(i % 23, 1.0, 3)]) for i in range(115)], "cluster int, point array<double>")

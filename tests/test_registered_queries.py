@@ -20,7 +20,8 @@ CHECKED = (
     "score_fusion", "ev_counts", "ev_bpref", "ev_iprec", "ev_ndcg", "ev_pooled_ndcg", "win_count", "err_too_low",
     "err_worst_first", "triples", "train_pairs_graded", "qrel_lists", "src_docs", "trec_lines", "adarank_round",
     "pmi_corpus", "term_pairs", "shared_terms", "bm25_scores", "num_docs", "first_triples", "passage_to_doc", "group_summary",
-    "calinski_harabasz", "davies_bouldin", "silhouette", "density_clusters", "cluster_report", "regression_report", "index_append",
+    "calinski_harabasz", "davies_bouldin", "silhouette", "density_clusters",
+    "kmeans_assign", "query_clusters", "pmi_drawn", "upserted_postings", "index_compact", "feature_cache", "weighted_measures", "cluster_report", "regression_report", "index_append",
 )
 
 
