@@ -120,6 +120,12 @@ class WordTokenizer:
             parts.append(self._library(word) if normal is None else np.frombuffer(self.words[normal], np.int32))
         return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
+    def forget(self) -> None:
+        """Gives back the memory of known words, so that a worker that waits for its next task holds little."""
+        for known in (self.words, self.pieces):
+            known.clear()
+            known.older = {}
+
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
@@ -177,6 +183,12 @@ def tokenized(docs: DataFrame, tokenizer: Broadcast, key: str = "doc_id", text:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = of_worker(tokenizer, "encoder", WordTokenizer)
+        try:
+            yield from pieces_of(batches, encoder)
+        finally:
+            encoder.forget()
+
+    def pieces_of(batches: Iterator[pa.RecordBatch], encoder: WordTokenizer) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(capacity + 1, np.int64)
         block = TaskContext.get().partitionId()
         for batch in slices(batches):
