@@ -43,8 +43,9 @@ def src_queries(w: Workbench):
     SELECT qid, CASE WHEN qid IN (SELECT qid FROM positives) THEN text || ' (second)' ELSE text END AS text
     FROM queries""", "queries", "positives")
 def split_union(w: Workbench):
-    judged = judged_queries(w.queries, sampling.positives(w.qrels))
-    return trec.merge_queries([w.queries, judged.withColumn("text", F.concat("text", F.lit(" (second)")))])
+    queries = trec.placed(w.queries)
+    judged = judged_queries(queries, sampling.positives(w.qrels))
+    return trec.merge_queries([queries, judged.withColumn("text", F.concat("text", F.lit(" (second)")))])
 
 
 @register("src_qrels", "qid:s docid:s rel:i", "SELECT * FROM positives", "positives")

@@ -30,14 +30,20 @@ def read_docs(spark: SparkSession, path: str, num_docs: int | None = None) -> Da
     return docs.limit(num_docs) if num_docs is not None else docs
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows read from files with `_place`: by file name and, inside a file, by line. Parts of a file are ordered by where they
+    begin, lines of a part by their row numbers."""
+    return rows.withColumn("_place", F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id()))
+
+
 def merge_queries(sources: list[DataFrame]) -> DataFrame:
     """One row per qid over several query tables; the text of the last table and row wins.
 
-    The rows of a table are in the order of its files' names and, inside a file, of the lines: parts of a file are
-    ordered by where they begin, lines of a part by their row numbers.
+    The rows of a table are in the order of its files (see `placed`). Spark can't tell the file of a row after a join, so a
+    table that is joined before it is merged is placed before the join and keeps its `_place`.
     """
-    place = (F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
-    tagged = [source.select("qid", "text", F.struct(F.lit(i), *place).alias("_order")) for i, source in enumerate(sources)]
+    ordered = [source if "_place" in source.columns else placed(source) for source in sources]
+    tagged = [source.select("qid", "text", F.struct(F.lit(i), "_place").alias("_order")) for i, source in enumerate(ordered)]
     rows = tagged[0]
     for source in tagged[1:]:
         rows = rows.unionByName(source)

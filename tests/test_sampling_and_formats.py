@@ -116,6 +116,15 @@ def test_queries_later_file_wins(spark, tmp_path):
     assert plain == [("1", "old"), ("2", "last of file")]
 
 
+def test_merged_queries_may_come_from_a_join(spark, tmp_path):
+    spark.createDataFrame([("1", "a"), ("2", "b")], "qid string, text string").coalesce(1).write.parquet(str(tmp_path / "q"))
+    spark.createDataFrame([("2", "d")], "qid string, docid string").write.parquet(str(tmp_path / "j"))
+    queries = trec.placed(spark.read.parquet(str(tmp_path / "q")))
+    judged = queries.join(spark.read.parquet(str(tmp_path / "j")), "qid", "left_semi")
+    merged = trec.merge_queries([queries, judged.withColumn("text", F.concat("text", F.lit("!")))])
+    assert rows(merged) == [("1", "a"), ("2", "b!")]
+
+
 def test_qrels_checks(spark, tmp_path):
     (tmp_path / "qrels").write_text("1 0 d1 1\n1 0 d2 0\n2 0 d3 3\n", encoding="utf8")
     path = str(tmp_path / "qrels")
