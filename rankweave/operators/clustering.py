@@ -27,6 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MOST_CLUSTERS = 10_000
 ROUNDS = 20  # the limit of rounds of one fit
+ROUNDING = 1e-12  # a difference of two sums is taken as 0 below this share of them
 BLOCK = 1000  # centres that are compared with as many others at a time
 
 
@@ -104,7 +105,10 @@ def centroids(points: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def calinski_harabasz(points: DataFrame, weight: str | None = None) -> DataFrame:
-    """(calinski_harabasz) of points(cluster, point array): dispersion between over dispersion within clusters."""
+    """(calinski_harabasz) of points(cluster, point array): dispersion between over dispersion within clusters.
+
+    It is 1 where every cluster holds copies of one point, as in scikit-learn: nothing but rounding is left within them then.
+    """
     groups = centroids(points, weight)
     overall = centroids(points.withColumn("cluster", F.lit(0)), weight).first()  # one row
     whole = overall["n"] * sum(v * v for v in overall["centre"])
@@ -112,7 +116,8 @@ def calinski_harabasz(points: DataFrame, weight: str | None = None) -> DataFrame
     between = spread - F.lit(whole)
     within = F.sum("squares") - spread
     k, n = F.count(F.lit(1)), F.lit(float(overall["n"]))
-    return groups.agg(((between / (k - 1)) / (within / (n - k))).alias("calinski_harabasz"))
+    ratio = F.when(within > ROUNDING * F.sum("squares"), (between / (k - 1)) / (within / (n - k))).otherwise(F.lit(1.0))
+    return groups.agg(ratio.alias("calinski_harabasz"))
 
 
 def davies_bouldin(points: DataFrame, weight: str | None = None) -> DataFrame:
@@ -200,8 +205,5 @@ def k_sweep(points: DataFrame, key: str, ks: Iterable[int] = range(10, 300, 10),
         if not 1 < used < (n or 0):
             rows.append((k, None, None, None))
             continue
-        rows.append((
-            k, float(calinski_harabasz(assigned, "times").first()[0]), float(davies_bouldin(assigned, "times").first()[0]),
-            float(weighted_silhouette(assigned, "times").first()[0]),
-        ))
+        rows.append((k, *(measure(assigned, "times").first()[0] for measure in (calinski_harabasz, davies_bouldin, weighted_silhouette))))
     return points.sparkSession.createDataFrame(rows, schema)

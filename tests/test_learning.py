@@ -221,6 +221,13 @@ def test_weights_count_like_copies(spark):
     assert [r["k"] for r in sweep] == [2, 3] and all(r["silhouette"] > 0 for r in sweep)
 
 
+def test_clusters_of_copies_of_one_point(spark):
+    df = spark.createDataFrame([(i, i, [0.1 * i, 0.7], 3) for i in range(5)], "id int, cluster int, point array<double>, times int")
+    assert clustering.calinski_harabasz(df, "times").first()[0] == 1.0
+    sweep = clustering.k_sweep(df.drop("cluster", "times"), "id", [5], draws=400).first()
+    assert tuple(sweep) == (5, 1.0, pytest.approx(0.0, abs=1e-9), pytest.approx(1.0))
+
+
 def test_lloyd_reaches_a_fixed_point(spark):
     rng = np.random.default_rng(1)
     points = np.concatenate([rng.normal(c, 0.5, (30, 2)) for c in ((0, 0), (6, 0), (0, 6))])
