@@ -120,7 +120,24 @@ def test_salted_join_equals_broadcast(spark):
         assert both[0] == both[1]
 
 
-def test_search_without_broadcast(micro, built, monkeypatch):
+def test_only_frequent_keys_are_cut_and_copies_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "FREQUENT_ROWS", 100)
+    big = spark.range(500).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.when(F.col("id") % 7 > 0, F.col("id").cast(
+        "string"))).alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3), (None, 4)], "k string, w int")
+    often = joins.frequent_keys(big.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"], "n")
+    assert [r["k"] for r in often.collect()] == ["hot"]
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        cut = joins.lookup_join(big, small, ["k"], ["v"], False, how, frequent=often)
+        whole = joins.lookup_join(big, small, ["k"], ["v"], True, how)
+        assert cut.columns == whole.columns and sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    plan = joins.lookup_join(big, small, ["k"], ["v"], False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_search_without_broadcast(micro, built, monkeypatch, limit):
+    monkeypatch.setattr(joins, "FREQUENT_ROWS", limit)
     monkeypatch.setattr(search, "fits_in_memory", lambda *a, **k: False)
     assert as_map(search.search(micro[1], built, mode="or")) == OKAPI
 
