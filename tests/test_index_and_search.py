@@ -1,6 +1,7 @@
 import math
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,22 @@ def test_no_query_makes_more_rows_than_taking_all_postings(skewed, mode):
     assert ways == {True, False} if mode != 5 else False in ways
 
 
+@pytest.mark.parametrize("mode", ["or", 5])
+def test_matches_of_shared_terms_are_not_shuffled(skewed, monkeypatch, mode):
+    _, queries, ix = skewed
+    plan = search.planned
+    monkeypatch.setattr(search, "planned", lambda w, d: plan(w, d).withColumn("_lookup", F.lit(False)))
+    runs = []
+    for shared, moved in ((search.SHARED, ["docid"]), (10**9, ["docid", "qid"])):
+        monkeypatch.setattr(search, "SHARED", shared)
+        scored = search.score_matches(search.matches(queries, ix, mode=mode), ix, {"okapi": scoring.okapi}, mode)
+        steps = scored._jdf.queryExecution().executedPlan().toString().splitlines()
+        keys = [re.findall(r"(\w+)#", s.split("hashpartitioning(")[1]) for s in steps if "hashpartitioning(" in s]
+        assert [sorted(k) for k in keys if "docid" in k] == [moved]
+        runs.append(as_map(scored))
+    assert runs[0] == runs[1] and runs[0]
+
+
 def test_salted_join_equals_broadcast(spark):
     big = spark.range(500).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
         F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
