@@ -373,8 +373,10 @@ def _counts(gathered: DataFrame) -> DataFrame:
         return rows.select("block", lead.cast("int").alias("leads"), "key", F.sum("n").over(whole).alias("c"))
 
     words, grams = over(WORD, "data"), over(GRAM, "key")
-    contexts = grams.filter(f"leads = 1 AND key != {ROOT}").groupBy(F.shiftright("key", 8).alias("key")).agg(
-        F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    # Both uses of the n-grams share one shuffle as long as no condition on the key can move below it: the empty n-gram is never
+    # counted, so it leads nowhere, and a key that cannot be null gets no check of its own from the join.
+    context = F.coalesce(F.shiftright("key", 8), F.lit(0)).alias("key")
+    contexts = grams.filter("leads = 1").groupBy(context).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
     known = grams.join(contexts, "key", "left").select(
         "block", "leads", "key", "c", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kinds", F.lit(0)).alias("kinds"))
     return _bundled(words, WORD).unionByName(_bundled(known, GRAM))

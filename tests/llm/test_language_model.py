@@ -130,3 +130,17 @@ def test_contexts_have_five_bytes(spark):
     score = {r.doc_id: r.score for r in lm.score_documents(df, F.col("held_out")).collect()}
     assert score[20] > score[21] + 0.5
     assert int.from_bytes(b"\x01cdefgh", "big") in lm.counted_grams(b"\nabcdefgh")[0].tolist()
+
+
+def test_ngrams_are_shuffled_once_for_their_counts_and_their_contexts(spark):
+    docs = spark.createDataFrame([(i, i % 3 == 0, prose(i, 20)) for i in range(12)], "doc_id long, held_out boolean, text string")
+    gathered = lm.materialize(lm._gathered(docs), "gathered")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = lm._counts(gathered)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "ReusedExchange" in plan
+    roots = gathered.filter((F.col("kind") == lm.GRAM) & (F.col("key") == lm.ROOT))
+    assert roots.agg(F.max("n")).first()[0] == 0
