@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankweave.llm.bpe import OTHER_SPACE, printable_bytes
-from rankweave.llm.common import column, of_worker
+from rankweave.llm.common import column, give_back, of_worker
 from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.session import materialize
 
@@ -187,6 +187,7 @@ def tokenized(docs: DataFrame, tokenizer: Broadcast, key: str = "doc_id", text:
             yield from pieces_of(batches, encoder)
         finally:
             encoder.forget()
+            give_back()
 
     def pieces_of(batches: Iterator[pa.RecordBatch], encoder: WordTokenizer) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(capacity + 1, np.int64)

@@ -5,13 +5,15 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rankweave.llm import bpe, packing
+from rankweave.llm import bpe, common, packing
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -168,3 +170,12 @@ def test_exact_complements_are_found():
     assert planned([1500, 300, 248], 2048) == 1
     assert planned([1100, 400, 300, 248] * 50, 2048) == 50
     assert planned([1024] * 7, 2048) == 4
+
+
+def test_a_task_gives_unused_memory_back_when_it_ends(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(True))
+    function = common.arrow_function(lambda: lambda x: pc.utf8_upper(x), "string").func
+    results = function(iter([pa.array(["a"]), pa.array(["b", None])]))
+    assert next(results).to_pylist() == ["A"] and not calls
+    assert [x.to_pylist() for x in results] == [["B", None]] and calls == [True]
