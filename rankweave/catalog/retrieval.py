@@ -345,7 +345,7 @@ def first_five_per_query(w: Workbench):
 def index_append(w: Workbench):
     path = new_path(w.spark, "appended")
     source = tables.table(w.spark, w.folder, "documents").select(F.col("doc_id").cast("string").alias("docid"), "lang")
-    english = w.docs.join(source.filter(F.col("lang") == "en"), "docid", "left_semi")
+    english = w.texts.join(source.filter(F.col("lang") == "en"), "docid", "left_semi")
     index.write_index(english, path, stem=True)
     index.append_documents(path, w.docs, "second", stem=True)
     return index.append_documents(path, english, "third", stem=True).term_stats()
@@ -354,7 +354,7 @@ def index_append(w: Workbench):
 def _upserted(w: Workbench) -> str:
     """An index with a wrong URL field, of which the English documents and then all are replaced in place."""
     path = new_path(w.spark, "upserted")
-    index.write_index(w.docs.withColumn("url", F.concat(F.lit("old "), "title")), path, stem=True)
+    index.write_index(w.texts.withColumn("url", F.concat(F.lit("old "), "title")), path, stem=True)
     source = tables.table(w.spark, w.folder, "documents").select(F.col("doc_id").cast("string").alias("docid"), "lang")
     english = w.docs.join(source.filter(F.col("lang") == "en"), "docid", "left_semi")
     index.upsert_field(path, english.withColumn("url", F.lit("wrong again")), "url_text", "first", stem=True)
@@ -381,6 +381,6 @@ def index_compact(w: Workbench):
 @register("index_clear", "field:s n_docs:i field_len:i avg_len:d", "SELECT * FROM totals", "totals")
 def index_clear(w: Workbench):
     path = new_path(w.spark, "rebuilt")
-    index.write_index(w.docs.withColumn("body", F.col("title")), path, stem=True)
+    index.write_index(w.texts.withColumn("body", F.col("title")), path, stem=True)
     index.clear_index(w.spark, path)
-    return index.write_index(w.docs, path, stem=True).field_stats()
+    return index.write_index(w.texts, path, stem=True).field_stats()

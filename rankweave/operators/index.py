@@ -15,6 +15,7 @@ An index is a folder of Parquet tables, each split by `batch` (one value per gro
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ from rankweave.session import exists, materialize, new_path
 
 FIELDS = ("body", "title", "url_text")
 BASE_BATCH = "base"
+TEXT_PART = 8 * 1024 * 1024  # bytes of text whose postings a task counts and sorts in memory
+MAX_PARTS = 100_000
 SCHEMAS = {
     "docs": "docid string, batch string",
     "postings": "docid string, dl bigint, term string, tf bigint, batch string, field string",
@@ -96,14 +99,31 @@ def field_tokens(docs: DataFrame, fields: tuple[str, ...] = FIELDS, stem: bool =
     return docs.select("docid", F.inline(F.array(*entries)))
 
 
+def text_parts(docs: DataFrame, fields: tuple[str, ...] = FIELDS) -> int:
+    """Partitions for the measured text of `docs`: TEXT_PART bytes each, less where that leaves cores without work."""
+    size = sum((F.coalesce(F.octet_length(field_text(f)), F.lit(0)).cast("long") for f in fields), F.lit(0))
+    size = docs.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(math.ceil(size / TEXT_PART), MAX_PARTS), min(math.ceil(16 * size / TEXT_PART), cores))
+
+
 def build_postings(docs: DataFrame, fields: tuple[str, ...] = FIELDS, stem: bool = False,
                    with_positions: bool = False) -> DataFrame:
     """One row per (field, docid, term).
 
-    The documents are shuffled by docid before they are analysed: the text is many times smaller than its
-    postings, and the grouping by (docid, ...) then needs no shuffle of its own.
+    The text is shuffled by docid before its terms are counted: it is many times smaller than its postings, and the
+    grouping by (docid, ...) then needs no shuffle of its own. Spark forgets how rows lie where they pass through Python, so
+    the stems are made before, and shuffled as one string; a scan of few splits is best dealt out first.
+
+    A task holds the postings of its text, so partitions are numbered by the size of the text.
     """
-    tokens = field_tokens(docs.repartition("docid"), fields, stem).filter(F.size("tokens") > 0)
+    parts = text_parts(docs, fields)
+    if stem:
+        tokens = field_tokens(docs, fields, stem).filter(F.size("tokens") > 0)
+        lines = tokens.select("field", "docid", F.array_join("tokens", " ").alias("line"))
+        tokens = lines.repartition(parts, "docid").select("field", "docid", F.split("line", " ").alias("tokens"))
+    else:
+        tokens = field_tokens(docs.repartition(parts, "docid"), fields).filter(F.size("tokens") > 0)
     entry = F.posexplode("tokens").alias("pos", "term") if with_positions else F.explode("tokens").alias("term")
     extra = [F.array_sort(F.collect_list("pos")).alias("positions")] if with_positions else []
     return (

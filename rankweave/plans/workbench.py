@@ -59,7 +59,7 @@ class Workbench:
     @cached_property
     def index(self) -> Index:
         """The stemmed index, on which everything else builds."""
-        return build_index(self.docs, stem=True)
+        return build_index(self.texts, stem=True)
 
     @cached_property
     def plain_index(self) -> Index:

@@ -388,3 +388,26 @@ def test_features_without_broadcast(micro, built, monkeypatch):
         assert one.keys() == two.keys()
         for key in one:
             assert one[key] == pytest.approx(two[key], abs=1e-9)
+
+
+def exchanges(df):
+    return len(re.findall(r"Exchange \w*(?:hash|range|Round)", df._jdf.queryExecution().executedPlan().toString()))
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_text_is_shuffled_once_and_in_parts_of_its_size(spark, micro, monkeypatch, stem):
+    docs = spark.createDataFrame(
+        [(f"d{i % 30}", "http://a.b", "panels", "running panels. runs running") for i in range(40)] + [("e", None, "", None)],
+        "docid string, url string, title string, body string")
+    whole = index.build_postings(docs, stem=stem)
+    rows = sorted(tuple(r) for r in whole.collect())
+    size = sum(len(r[n].encode()) for r in docs.collect() for n in ("url", "title", "body") if r[n])
+    monkeypatch.setattr(index, "TEXT_PART", 100)
+    small = index.build_postings(docs, stem=stem)
+    assert exchanges(small) == 1
+    assert small.rdd.getNumPartitions() == math.ceil(size / 100)
+    assert sorted(tuple(r) for r in small.collect()) == rows
+    body = {(r["docid"], r["term"]): (r["dl"], r["tf"]) for r in whole.filter("field = 'body'").collect()}
+    # documents d0 to d9 have two rows of equal length, which count together
+    assert body["d0", "run" if stem else "running"] == (4, 6 if stem else 4)
+    assert body["d20", "run" if stem else "running"] == (4, 3 if stem else 2)
