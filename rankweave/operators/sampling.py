@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankweave.functions.draws import draw, draw_int, draw_share
 from rankweave.operators.joins import fits_in_memory, lookup_join
 from rankweave.operators.ordering import positions
+from rankweave.session import materialize
 
 # Depth of the candidate lists, and grades given to sampled positives and negatives.
 CANDIDATE_DEPTH = 100
@@ -103,9 +104,13 @@ def triples(queries: DataFrame, docs: DataFrame, candidates: DataFrame, qrels: D
         kept = kept.orderBy("qid").limit(limit)
     chosen = pick_one(positives(qrels), "qid", "docid", seed).withColumnRenamed("docid", "pos_docid")
     rows = queries.withColumnRenamed("text", "query").join(kept, "qid").join(chosen, "qid")
+    rows = materialize(rows.select("qid", "query", "pos_docid", "rnd_docid"), "triple-ids")
+    ids = rows.select(F.explode(F.array("pos_docid", "rnd_docid")).alias("docid")).distinct()
+    # triples are few: documents are met where they lie, and only theirs are moved
+    shown = lookup_join(docs.select("docid", "url", "title", "body"), ids, ["docid"], ["docid"], fits_in_memory(ids), "left_semi", salts=1)
+    shown = materialize(shown, "triple-docs")
     for side in ("pos", "rnd"):
-        sided = docs.select(*[F.col(name).alias(f"{side}_{name}") for name in ("docid", "url", "title", "body")])
-        rows = rows.join(sided, f"{side}_docid")
+        rows = rows.join(shown.select(*[F.col(name).alias(f"{side}_{name}") for name in shown.columns]), f"{side}_docid")
     return rows.select(
         "qid", "query", *[f"{side}_{name}" for side in ("pos", "rnd") for name in ("docid", "url", "title", "body")]
     )
@@ -173,5 +178,7 @@ def sampled_corpus(candidates: DataFrame, docs: DataFrame, k: int, seed: int) ->
         return docs.select("docid", F.lit(0).cast("long").alias("copies"), "body").limit(0)
     draws = candidates.sparkSession.range(k).select((draw_int(seed, F.lit(n), "id") + 1).alias("pos"))
     copies = draws.groupBy("pos").agg(F.count(F.lit(1)).alias("copies"))
+    drawn = materialize(placed.join(copies, "pos").select("docid", "copies"), "drawn")
     bodies = docs.select("docid", "body").filter(F.length(F.rtrim("body")) > 0)
-    return placed.join(copies, "pos").join(bodies, "docid").select("docid", "copies", "body")
+    # candidates are few: bodies are met where they lie, and only those drawn are moved
+    return lookup_join(bodies, drawn, ["docid"], ["docid"], fits_in_memory(drawn), salts=1).select("docid", "copies", "body")

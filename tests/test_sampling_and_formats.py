@@ -154,3 +154,30 @@ def test_cached_table(spark):
     assert trec.cached(spark, path, build).count() == 1
     assert trec.cached(spark, path, build, force=True).count() == 2
     assert len(calls) == 2
+
+
+def test_documents_are_met_where_they_lie(spark, pool, monkeypatch):
+    queries, docs, candidates, qrels = pool
+    kept = {}
+
+    def keep(df, label):
+        kept[label] = df
+        return table(df, label)
+
+    table = sampling.materialize
+    monkeypatch.setattr(sampling, "materialize", keep)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = sampling.triples(queries, docs, candidates, qrels, 8).collect()
+        corpus = sampling.sampled_corpus(candidates, docs, 40, 3)
+        drawn = rows(corpus)
+        for df in (kept["triple-docs"], corpus):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r["docid"] for r in kept["triple-docs"].collect()} == {r[f"{s}_docid"] for r in made for s in ("pos", "rnd")}
+    bodies = {r["docid"]: r["body"] for r in docs.collect()}
+    assert drawn and all(body == bodies[docid] and body.strip() for docid, _, body in drawn)
+    assert sum(copies for _, copies, _ in drawn) <= 40
