@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankweave.functions import scoring
-from rankweave.operators import cooccurrence, index, joins, search
+from rankweave.operators import blocks, cooccurrence, index, joins, search
 from rankweave.operators.features import FIELD_FEATURES, VECTOR, pair_features, query_features
 from rankweave.operators.search import query_terms
 from rankweave.session import new_path
@@ -92,6 +92,27 @@ def test_every_way_of_matching_gives_the_same_run(skewed, monkeypatch, mode, fit
     assert set(runs["chosen"]) <= {(r.qid, r.docid) for r in anything.collect()}
 
 
+@pytest.mark.parametrize("mode", ["and", 2, 5])
+@pytest.mark.parametrize("k", [2, 50])
+def test_scores_added_up_in_blocks_give_the_same_run(spark, skewed, monkeypatch, mode, k):
+    docs, queries, _ = skewed
+    odd = [("d000", "u", "t", "common worda worda wordb"), (None, "u", "t", "common worda"), (None, "u", "t", "common wordb wordb")]
+    ix = index.build_index(docs.unionByName(spark.createDataFrame(odd, docs.schema)))
+    again = [("q00", "common worda wordb wordc wordd"), (None, "common worda"), ("q40", "common worda"), ("q40", "common wordb")]
+    queries = queries.unionByName(spark.createDataFrame(again, queries.schema))
+    plan = search.planned
+    monkeypatch.setattr(search, "planned", lambda w, d: plan(w, d).withColumn("_lookup", F.coalesce(F.col("qid") == "q01", F.lit(False))))
+    rows = lambda: sorted(search.search(queries, ix, k=k, mode=mode).drop("run_id").collect(), key=str)
+    expected = rows()
+    monkeypatch.setattr(search, "BLOCK_MATCHES", 0)
+    monkeypatch.setattr(blocks, "BLOCK_POSTINGS", 100)
+    monkeypatch.setattr(blocks, "CHUNK_TERMS", 60)
+    asked, called = search._planned_matches, []
+    monkeypatch.setattr(search, "_planned_matches", lambda w, *a: called.append(w.select("qid").distinct().count()) or asked(w, *a))
+    assert rows() == expected and len(expected) > 20
+    assert sum(called) <= 2  # one that is looked up, and one whose texts differ in length
+
+
 @pytest.mark.parametrize("mode", ["and", 2, 5])
 def test_no_query_makes_more_rows_than_taking_all_postings(skewed, mode):
     _, queries, ix = skewed
